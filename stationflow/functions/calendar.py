@@ -40,8 +40,18 @@ class DayPlan:
         return [self.start.replace(day=n) for n in days]
 
 
+def date_sql(days: Iterable[date]) -> str:
+    return ", ".join(f"DATE'{d.isoformat()}'" for d in days)
+
+
+def in_days(days: Iterable[date], column: str = "date") -> str:
+    """Predicate text; a list of literals prunes partitions and reaches the scan."""
+    listed = date_sql(days)
+    return f"{column} IN ({listed})" if listed else "FALSE"
+
+
 def date_array(days: Iterable[date]) -> Column:
-    return F.array(*[F.lit(d) for d in days])
+    return F.expr(f"array({date_sql(days)})")
 
 
 def week_of(day: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions import calendar as cal
@@ -23,8 +23,12 @@ HOUR_SERIES = ("stationID", "hour")
 GUARD = 0.001
 
 
-def _by_day(keys: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy("date")
+def series_window(keys: Sequence[str]) -> str:
+    return f"(PARTITION BY {', '.join(keys)} ORDER BY date)"
+
+
+def _lagged(source: str, k: int, window: str, name: str) -> str:
+    return f"coalesce(lag({source}, {k}) OVER {window}, 0) AS {name}"
 
 
 def lag_name(flow: str, k: int) -> str:
@@ -38,13 +42,9 @@ def lag_features(
     lags: Sequence[int] = (1, 2, 3, 4, 5),
 ) -> DataFrame:
     """Flows of the k-th kept day before, 0 where there is none."""
-    series = _by_day(keys)
-    return df.withColumns(
-        {
-            lag_name(f, k): F.coalesce(F.lag(f, k).over(series), F.lit(0).cast(df.schema[f].dataType))
-            for k in lags
-            for f in flows
-        }
+    window = series_window(keys)
+    return df.selectExpr(
+        "*", *[_lagged(f, k, window, lag_name(f, k)) for k in lags for f in flows]
     )
 
 
@@ -61,10 +61,10 @@ def previous_kept_day(
     """
     if first not in ("self", "zero"):
         raise ValueError(f"first must be 'self' or 'zero', not {first!r}")
-    series = _by_day(keys)
-    start = (lambda f: F.col(f)) if first == "self" else (lambda f: F.lit(0).cast(df.schema[f].dataType))
-    return df.withColumns(
-        {f"{f}_last": F.coalesce(F.lag(f, 1).over(series), start(f)) for f in flows}
+    window = series_window(keys)
+    start = (lambda f: f) if first == "self" else (lambda f: "0")
+    return df.selectExpr(
+        "*", *[f"coalesce(lag({f}) OVER {window}, {start(f)}) AS {f}_last" for f in flows]
     )
 
 
@@ -72,63 +72,40 @@ def group_shift(
     df: DataFrame, column: str, k: int, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """One column shifted by ``k`` rows inside its group."""
-    series = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(f"{column}_shift_{k}", F.lag(column, k).over(series))
+    window = f"(PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)})"
+    return df.selectExpr("*", f"lag({column}, {k}) OVER {window} AS {column}_shift_{k}")
 
 
 def change_features(
     df: DataFrame, flows: Sequence[str] = FLOWS, guard: float = GUARD
 ) -> DataFrame:
     """Mean of three lags, differences between them, and guarded ratios."""
-    added: dict[str, Column] = {}
+    added = []
     for f in flows:
-        one, two, three = (F.col(lag_name(f, k)) for k in (1, 2, 3))
-        added[f"{f}_mean_3"] = rs.row_mean([one, two, three])
-        added[f"{f}_diff_1"] = one - two
-        added[f"{f}_diff_2"] = two - three
-        added[f"{f}_diff_diff"] = (one - two) - (two - three)
-        added[f"{f}_divide_1"] = one / (two + F.lit(guard))
-        added[f"{f}_divide_2"] = two / (three + F.lit(guard))
-    return df.withColumns(added)
-
-
-def _value_stats(cols: Sequence[Column], prefix: str) -> dict[str, Column]:
-    return {
-        f"{prefix}_sum": rs.row_sum(cols),
-        f"{prefix}_median": rs.row_median(cols),
-        f"{prefix}_std": rs.row_std(cols),
-        f"{prefix}_min": rs.row_min(cols),
-        f"{prefix}_max": rs.row_max(cols),
-        f"{prefix}_mean_change": rs.row_mean_change(cols),
-    }
-
-
-def _share_stats(cols: Sequence[Column], prefix: str, guard: float) -> dict[str, Column]:
-    total = rs.row_sum(cols) + F.lit(guard)
-    shares = [c / total for c in cols]
-    return {
-        f"{prefix}_median": rs.row_median(shares),
-        f"{prefix}_std": rs.row_std(shares),
-        f"{prefix}_min": rs.row_min(shares),
-        f"{prefix}_max": rs.row_max(shares),
-        # Named after the shares, but taken over the values themselves.
-        f"{prefix}_skew": rs.row_skew(cols),
-    }
-
-
-def _lags_of(flow: str, window: int) -> list[Column]:
-    return [F.col(lag_name(flow, k)) for k in range(1, window + 1)]
+        one, two, three = (lag_name(f, k) for k in (1, 2, 3))
+        added += [
+            f"{rs.row_mean([one, two, three])} AS {f}_mean_3",
+            f"{one} - {two} AS {f}_diff_1",
+            f"{two} - {three} AS {f}_diff_2",
+            f"({one} - {two}) - ({two} - {three}) AS {f}_diff_diff",
+            f"{one} / ({two} + {guard}D) AS {f}_divide_1",
+            f"{two} / ({three} + {guard}D) AS {f}_divide_2",
+        ]
+    return df.selectExpr("*", *added)
+
+
+def _lag_names(flow: str, window: int) -> tuple[str, ...]:
+    return tuple(lag_name(flow, k) for k in range(1, window + 1))
 
 
 def past_value_stats(
     df: DataFrame, flows: Sequence[str] = FLOWS, windows: Sequence[int] = (3, 5)
 ) -> DataFrame:
     """Sum, median, std, min, max and mean change over the last 3 and 5 lags."""
-    added: dict[str, Column] = {}
-    for f in flows:
-        for n in windows:
-            added |= _value_stats(_lags_of(f, n), f"district_{f}_last{n}")
-    return df.withColumns(added)
+    groups = [
+        rs.RowGroup(_lag_names(f, n), values=f"district_{f}_last{n}") for f in flows for n in windows
+    ]
+    return rs.with_row_stats(df, groups)
 
 
 def past_share_stats(
@@ -138,19 +115,40 @@ def past_share_stats(
     guard: float = GUARD,
 ) -> DataFrame:
     """The same windows as shares of their sum, plus the skew of the values."""
-    added: dict[str, Column] = {}
-    for f in flows:
-        for n in windows:
-            added |= _share_stats(_lags_of(f, n), f"district_percent_{f}_last{n}", guard)
-    return df.withColumns(added)
+    groups = [
+        rs.RowGroup(_lag_names(f, n), shares=f"district_percent_{f}_last{n}", guard=guard)
+        for f in flows
+        for n in windows
+    ]
+    return rs.with_row_stats(df, groups)
+
+
+def past_stats(
+    df: DataFrame,
+    flows: Sequence[str] = FLOWS,
+    windows: Sequence[int] = (3, 5),
+    guard: float = GUARD,
+) -> DataFrame:
+    """Value and share statistics together, from the same sums and moments."""
+    groups = [
+        rs.RowGroup(
+            _lag_names(f, n),
+            values=f"district_{f}_last{n}",
+            shares=f"district_percent_{f}_last{n}",
+            guard=guard,
+        )
+        for f in flows
+        for n in windows
+    ]
+    return rs.with_row_stats(df, groups)
 
 
 def past_means(
     df: DataFrame, flows: Sequence[str] = FLOWS, windows: Sequence[int] = (3, 5)
 ) -> DataFrame:
     """Plain mean over the past n kept days."""
-    return df.withColumns(
-        {f"{f}_past{n}_mean": rs.row_mean(_lags_of(f, n)) for f in flows for n in windows}
+    return df.selectExpr(
+        "*", *[f"{rs.row_mean(_lag_names(f, n))} AS {f}_past{n}_mean" for f in flows for n in windows]
     )
 
 
@@ -166,24 +164,21 @@ def past_n_features(
 
     The lags are computed once for the longest window. Missing lags count as 0.
     """
-    series = _by_day(keys)
+    window = series_window(keys)
     before = lambda f, k: f"{f}_before_{k}"
-    lagged = df.withColumns(
-        {
-            before(f, k): F.coalesce(F.lag(f, k).over(series), F.lit(0).cast(df.schema[f].dataType))
-            for f in flows
-            for k in range(1, max(windows) + 1)
-        }
-    )
-    added: dict[str, Column] = {}
-    for f in flows:
-        for n in windows:
-            cols = [F.col(before(f, k)) for k in range(1, n + 1)]
-            if include_current:
-                cols.append(F.col(f))
-            added |= _value_stats(cols, f"district_{f}_last{n}")
-            added |= _share_stats(cols, f"district_percent_{f}_last{n}", guard)
-    return lagged.select(*df.columns, *[c.alias(name) for name, c in added.items()])
+    depth = range(1, max(windows) + 1)
+    lagged = df.selectExpr("*", *[_lagged(f, k, window, before(f, k)) for f in flows for k in depth])
+    groups = [
+        rs.RowGroup(
+            tuple(before(f, k) for k in range(1, n + 1)) + ((f,) if include_current else ()),
+            values=f"district_{f}_last{n}",
+            shares=f"district_percent_{f}_last{n}",
+            guard=guard,
+        )
+        for f in flows
+        for n in windows
+    ]
+    return rs.with_row_stats(lagged, groups, keep=df.columns)
 
 
 def same_weekday_features(
@@ -196,33 +191,21 @@ def same_weekday_features(
 
     Expects every calendar day to be present, so that seven rows are a week.
     """
-    series = _by_day(keys)
-    back = lambda f, w: f"{f}_week_back_{w}"
-    lagged = df.withColumns(
-        {
-            back(f, w): F.coalesce(F.lag(f, 7 * w).over(series), F.lit(0).cast(df.schema[f].dataType))
-            for f in flows
-            for w in weeks
-        }
+    window = series_window(keys)
+    back = lambda f, w: f"{f}_last_week" if w == 1 else f"{f}_week_back_{w}"
+    lagged = df.selectExpr(
+        "*", *[_lagged(f, 7 * w, window, back(f, w)) for f in flows for w in weeks]
     )
-    added: dict[str, Column] = {}
-    for f in flows:
-        added[f"{f}_last_week"] = F.col(back(f, 1))
-        for w in weeks:
-            cols = [F.col(back(f, k)) for k in range(1, w + 1)] + [F.col(f)]
-            added |= _week_stats(cols, f"{f}_w{w}")
-    return lagged.select(*df.columns, *[c.alias(name) for name, c in added.items()])
-
-
-def _week_stats(cols: Sequence[Column], prefix: str) -> dict[str, Column]:
-    stats = {f"{prefix}_mean": rs.row_mean(cols)}
-    if len(cols) > 2:
-        stats |= {
-            f"{prefix}_median": rs.row_median(cols),
-            f"{prefix}_std": rs.row_std(cols),
-            f"{prefix}_mean_change": rs.row_mean_change(cols),
-        }
-    return stats
+    groups = [
+        rs.RowGroup(
+            (*[back(f, k) for k in range(1, w + 1)], f),
+            values=f"{f}_w{w}",
+            stats=rs.HISTORY_STATS if w > 1 else ("mean",),
+        )
+        for f in flows
+        for w in weeks
+    ]
+    return rs.with_row_stats(lagged, groups, keep=[*df.columns, *[back(f, 1) for f in flows]])
 
 
 def weekday_history(
@@ -236,43 +219,31 @@ def weekday_history(
     Holds when some days are missing: the k-th earlier row of that weekday is
     taken, wherever it lies. The current value is not part of the statistics.
     """
-    series = Window.partitionBy(*keys, "week").orderBy("date")
+    window = series_window([*keys, "week"])
     back = lambda f, w: f"{f}_weekday_back_{w}"
-    lagged = df.withColumns(
-        {
-            back(f, w): F.coalesce(F.lag(f, w).over(series), F.lit(0).cast(df.schema[f].dataType))
-            for f in flows
-            for w in weeks
-        }
-    )
-    added: dict[str, Column] = {}
-    for f in flows:
-        cols = [F.col(back(f, w)) for w in weeks]
-        added |= {
-            f"{f}_weekday_mean": rs.row_mean(cols),
-            f"{f}_weekday_median": rs.row_median(cols),
-            f"{f}_weekday_std": rs.row_std(cols),
-            f"{f}_weekday_mean_change": rs.row_mean_change(cols),
-        }
-    return lagged.withColumns(added)
+    lagged = df.selectExpr("*", *[_lagged(f, w, window, back(f, w)) for f in flows for w in weeks])
+    groups = [
+        rs.RowGroup(
+            tuple(back(f, w) for w in weeks), values=f"{f}_weekday", stats=rs.HISTORY_STATS
+        )
+        for f in flows
+    ]
+    return rs.with_row_stats(lagged, groups)
+
+
+AGGREGATES = {"max": "max", "min": "min", "mean": "avg", "std": "stddev_samp"}
 
 
 def _group_stats(
-    flow: str, prefix: str, window, stats: Sequence[str], hidden: Sequence[date]
-) -> dict[str, Column]:
-    value = F.col(flow)
-    if hidden:
-        value = F.when(~F.col("date").isin(list(hidden)), value)
-    makers = {
-        "max": F.max,
-        "min": F.min,
-        "mean": F.avg,
-        # Null for a single row, which the reference data treats as 0.
-        "std": lambda c: F.stddev_samp(c),
-    }
-    return {
-        f"{flow}_{prefix}_{s}": F.coalesce(makers[s](value).over(window), F.lit(0)) for s in stats
-    }
+    flows: Sequence[str], prefix: str, keys: str, stats: Sequence[str], hidden: Sequence[date]
+) -> list[str]:
+    seen = (lambda f: f"CASE WHEN NOT ({cal.in_days(hidden)}) THEN {f} END") if hidden else str
+    # The sample std of a single row is null and counts as 0.
+    return [
+        f"coalesce({AGGREGATES[s]}({seen(f)}) OVER (PARTITION BY {keys}), 0) AS {f}_{prefix}_{s}"
+        for f in flows
+        for s in stats
+    ]
 
 
 def slot_statistics(
@@ -286,11 +257,8 @@ def slot_statistics(
     Attached by window, so there is no aggregate-and-join. ``exclude_days``
     keeps the placeholder rows of the days to forecast out of the statistics.
     """
-    window = Window.partitionBy("stationID", "hour", "week", "minute")
-    added: dict[str, Column] = {}
-    for f in flows:
-        added |= _group_stats(f, "whm", window, stats, exclude_days)
-    return df.withColumns(added)
+    keys = "stationID, hour, week, minute"
+    return df.selectExpr("*", *_group_stats(flows, "whm", keys, stats, exclude_days))
 
 
 def hour_statistics(
@@ -300,11 +268,8 @@ def hour_statistics(
     exclude_days: Sequence[date] = (),
 ) -> DataFrame:
     """Per station, weekday and hour: max, min, mean, sample std of each flow."""
-    window = Window.partitionBy("stationID", "hour", "week")
-    added: dict[str, Column] = {}
-    for f in flows:
-        added |= _group_stats(f, "wh", window, stats, exclude_days)
-    return df.withColumns(added)
+    keys = "stationID, hour, week"
+    return df.selectExpr("*", *_group_stats(flows, "wh", keys, stats, exclude_days))
 
 
 def attach_hour_statistics(
@@ -314,12 +279,11 @@ def attach_hour_statistics(
     stats: Sequence[str] = ("max", "min", "mean", "std"),
 ) -> DataFrame:
     """Hour statistics taken from another table, for instance the unfiltered roll-up."""
-    makers = {"max": F.max, "min": F.min, "mean": F.avg, "std": F.stddev_samp}
     keys = ["stationID", "week", "hour"]
-    names = {f"{f}_wh_{s}": (f, s) for f in flows for s in stats}
-    table = hours.groupBy(*keys).agg(*[makers[s](f).alias(n) for n, (f, s) in names.items()])
+    names = {f"{f}_wh_{s}": f"{AGGREGATES[s]}({f})" for f in flows for s in stats}
+    table = hours.groupBy(*keys).agg(*[F.expr(a).alias(n) for n, a in names.items()])
     joined = df.join(table, keys, "left")
-    return joined.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in names})
+    return joined.selectExpr(*df.columns, *[f"coalesce({n}, 0) AS {n}" for n in names])
 
 
 def join_stations(df: DataFrame, stations: DataFrame) -> DataFrame:

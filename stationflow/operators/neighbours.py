@@ -4,31 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.operators.features import SLOT_SERIES, _value_stats
+from stationflow.functions import rowstats as rs
+from stationflow.operators.features import SLOT_SERIES, series_window
 from stationflow.sources.schemas import FLOWS
 
 OFFSETS = {"prev2": -2, "prev1": -1, "next1": 1, "next2": 2}
+DAY = {
+    "slot": "(PARTITION BY stationID, date ORDER BY hour, minute)",
+    "hour": "(PARTITION BY stationID, date ORDER BY hour)",
+}
 
 
-def _within_day(grain: str):
-    order = ["hour", "minute"] if grain == "slot" else ["hour"]
-    return Window.partitionBy("stationID", "date").orderBy(*order)
+def _at(column: str, offset: int, window: str) -> str:
+    """The column ``offset`` rows later (earlier if negative)."""
+    if offset == 0:
+        return column
+    return f"{'lead' if offset > 0 else 'lag'}({column}, {abs(offset)}) OVER {window}"
 
 
 def neighbour_slots(
     df: DataFrame, grain: str = "slot", flows: Sequence[str] = FLOWS
 ) -> DataFrame:
     """One and two slots before and after, null beyond the day's ends."""
-    day = _within_day(grain)
-    return df.withColumns(
-        {
-            f"{f}_{name}": (F.lead(f, k) if k > 0 else F.lag(f, -k)).over(day)
-            for f in flows
-            for name, k in OFFSETS.items()
-        }
+    return df.selectExpr(
+        "*", *[f"{_at(f, k, DAY[grain])} AS {f}_{name}" for f in flows for name, k in OFFSETS.items()]
     )
 
 
@@ -42,34 +44,27 @@ def neighbour_history(
 
     ``df`` comes from :func:`neighbour_slots`; missing values count as 0.
     """
-    series = Window.partitionBy(*keys).orderBy("date")
+    window = series_window(keys)
     names = [f if not where else f"{f}_{where}" for f in flows for where in ("", *OFFSETS)]
-    zero = F.lit(0)
-    lagged = df.withColumns(
-        {
-            f"{n}_d{k}": F.coalesce(F.lag(n, k).over(series), zero)
-            for n in names
-            for k in range(1, past_days + 1)
-        }
+    past = range(1, past_days + 1)
+    lagged = df.selectExpr(
+        "*", *[f"coalesce({_at(n, -k, window)}, 0) AS {n}_d{k}" for n in names for k in past]
     )
-    added: dict[str, Column] = {}
-    for n in names:
-        cols = [F.col(f"{n}_d{k}") for k in range(1, past_days + 1)]
-        added |= _value_stats(cols, f"{n}_past{past_days}")
-    return lagged.select(*df.columns, *[c.alias(name) for name, c in added.items()])
+    groups = [
+        rs.RowGroup(tuple(f"{n}_d{k}" for k in past), values=f"{n}_past{past_days}") for n in names
+    ]
+    return rs.with_row_stats(lagged, groups, keep=df.columns)
 
 
 def slot_trend(df: DataFrame, flows: Sequence[str] = FLOWS) -> DataFrame:
     """Difference and ratio to the following slot, for the previous, current and next slot."""
-    day = _within_day("slot")
-    at = lambda f, k: F.col(f) if k == 0 else (F.lead(f, k) if k > 0 else F.lag(f, -k)).over(day)
-    added: dict[str, Column] = {}
+    added = []
     for f in flows:
         for name, k in (("prev", -1), ("cur", 0), ("next", 1)):
-            here, after = at(f, k), at(f, k + 1)
-            added[f"{f}_diff_{name}"] = after - here
-            added[f"{f}_ratio_{name}"] = F.try_divide(after, here)
-    return df.withColumns(added)
+            here, after = _at(f, k, DAY["slot"]), _at(f, k + 1, DAY["slot"])
+            added.append(f"{after} - {here} AS {f}_diff_{name}")
+            added.append(f"try_divide({after}, {here}) AS {f}_ratio_{name}")
+    return df.selectExpr("*", *added)
 
 
 def sliding_history(
@@ -79,18 +74,20 @@ def sliding_history(
 
     Sums start at midnight; the first kept day gets 0.
     """
-    day, series = _within_day("slot"), Window.partitionBy(*SLOT_SERIES).orderBy("date")
-    sums = df.withColumns(
-        {
-            f"_{f}_{m}": F.sum(f).over(day.rowsBetween(1 - m // 10, Window.currentRow))
+    window = series_window(SLOT_SERIES)
+    sums = df.selectExpr(
+        "*",
+        *[
+            f"sum({f}) OVER (PARTITION BY stationID, date ORDER BY hour, minute "
+            f"ROWS BETWEEN {m // 10 - 1} PRECEDING AND CURRENT ROW) AS _{f}_{m}"
             for f in flows
             for m in minutes
-        }
+        ],
     )
-    return sums.select(
+    return sums.selectExpr(
         *df.columns,
         *[
-            F.coalesce(F.lag(f"_{f}_{m}", 1).over(series), F.lit(0)).alias(f"{f}_yesterday_{m}")
+            f"coalesce({_at(f'_{f}_{m}', -1, window)}, 0) AS {f}_yesterday_{m}"
             for f in flows
             for m in minutes
         ],
@@ -107,28 +104,35 @@ def linear_history(
     The line is fitted to the rows before the current one, so a row's own
     value never enters its features. 0 with fewer than two earlier days.
     """
-    series = Window.partitionBy(*keys).orderBy("date")
-    past = series.rowsBetween(Window.unboundedPreceding, -1)
-    x = F.unix_date("date").cast("double")
-    fitted = df.withColumns(
-        {
-            name: column
+    by = ", ".join(keys)
+    past = f"(PARTITION BY {by} ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    latest = series_window(keys)
+    fitted = df.selectExpr("*", "CAST(unix_date(date) AS DOUBLE) AS _x").selectExpr(
+        "*",
+        f"avg(_x) OVER {past} AS _x_mean",
+        f"lag(_x) OVER {latest} AS _x_last",
+        *[
+            expression
             for f in flows
-            for name, column in (
-                (f"_{f}_slope", F.regr_slope(F.col(f), x).over(past)),
-                (f"_{f}_mean", F.avg(f).over(past)),
-                (f"_{f}_last", F.lag(f, 1).over(series)),
+            for expression in (
+                f"regr_slope({f}, _x) OVER {past} AS _{f}_slope",
+                f"avg({f}) OVER {past} AS _{f}_mean",
+                f"lag({f}) OVER {latest} AS _{f}_last",
             )
-        }
-        | {"_x_mean": F.avg(x).over(past), "_x_last": F.lag(x, 1).over(series)}
+        ],
+    )
+    return fitted.selectExpr(
+        *df.columns,
+        *[
+            expression
+            for f in flows
+            for expression in (
+                f"coalesce(_{f}_slope, 0D) AS {f}_slope",
+                f"coalesce(_{f}_last - (_{f}_mean + _{f}_slope * (_x_last - _x_mean)), 0D) "
+                f"AS {f}_residual",
+            )
+        ],
     )
-    zero = F.lit(0.0)
-    added: dict[str, Column] = {}
-    for f in flows:
-        line = F.col(f"_{f}_mean") + F.col(f"_{f}_slope") * (F.col("_x_last") - F.col("_x_mean"))
-        added[f"{f}_slope"] = F.coalesce(F.col(f"_{f}_slope"), zero)
-        added[f"{f}_residual"] = F.coalesce(F.col(f"_{f}_last") - line, zero)
-    return fitted.select(*df.columns, *[c.alias(name) for name, c in added.items()])
 
 
 def line_edges(stations: DataFrame) -> DataFrame:
@@ -140,6 +144,17 @@ def line_edges(stations: DataFrame) -> DataFrame:
     return here.join(there, ["lineID", "linePos"]).select("stationID", "neighborID", "side")
 
 
+ADJACENT = {
+    "before": "sum({f}) FILTER (WHERE side = -1)",
+    "after": "sum({f}) FILTER (WHERE side = 1)",
+    "min": "min({f})",
+    "max": "max({f})",
+    "mean": "avg({f})",
+    "std": "stddev_samp({f})",
+    "skew": "skewness({f})",
+}
+
+
 def adjacent_flow(
     df: DataFrame,
     edges: DataFrame,
@@ -162,20 +177,11 @@ def adjacent_flow(
         F.pmod(F.unix_date("date"), F.lit(salts)).alias("salt"),
     )
     pairs = flow.join(salted, ["neighborID", "salt"])
-    makers = {
-        "min": F.min,
-        "max": F.max,
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "skew": F.skewness,
-    }
-    stats = {f"{f}_adj_{s}": make(f) for f in flows for s, make in makers.items()}
-    sides = {
-        f"{f}_adj_{name}": F.sum(F.when(F.col("side") == at, F.col(f)))
+    stats = {
+        f"{f}_adj_{name}": aggregate.format(f=f)
         for f in flows
-        for name, at in (("before", -1), ("after", 1))
+        for name, aggregate in ADJACENT.items()
     }
-    table = pairs.groupBy(*keys).agg(*[c.alias(n) for n, c in (sides | stats).items()])
+    table = pairs.groupBy(*keys).agg(*[F.expr(a).alias(n) for n, a in stats.items()])
     joined = df.join(table, list(keys), "left")
-    return joined.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in sides | stats})
-
+    return joined.selectExpr(*df.columns, *[f"coalesce({n}, 0) AS {n}" for n in stats])

@@ -23,12 +23,11 @@ CLUSTER = ("stationID", "hour")
 
 def with_slot_keys(taps: DataFrame, ts: str = "time") -> DataFrame:
     """Add the columns that name a tap's slot."""
-    return taps.withColumns(
-        {
-            "date": F.to_date(ts),
-            "hour": F.hour(ts),
-            "minute": cal.slot_minute(F.col(ts)),
-        }
+    return taps.selectExpr(
+        "*",
+        f"to_date({ts}) AS date",
+        f"hour({ts}) AS hour",
+        f"minute({ts}) - minute({ts}) % 10 AS minute",
     )
 
 
@@ -37,13 +36,12 @@ def with_calendar(df: DataFrame) -> DataFrame:
 
     They are functions of the date alone, so rows without taps get them too.
     """
-    return df.withColumns(
-        {
-            "day": F.dayofmonth("date"),
-            "week": cal.week_of(F.col("date")),
-            "weekend": cal.weekend_of(F.col("date")),
-            "day_since_first": F.dayofmonth("date") - F.lit(1),
-        }
+    return df.selectExpr(
+        "*",
+        "dayofmonth(date) AS day",
+        "weekday(date) + 1 AS week",
+        "CAST(weekday(date) >= 5 AS INT) AS weekend",
+        "dayofmonth(date) - 1 AS day_since_first",
     )
 
 
@@ -114,14 +112,13 @@ def station_grid(stations: DataFrame, days: Sequence[date], grain: str = "slot")
     if grain not in ("slot", "hour"):
         raise ValueError(f"unknown grain {grain!r}")
     hours = (
-        stations.select("stationID")
-        .withColumn("date", F.explode(cal.date_array(days)))
-        .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
+        stations.selectExpr("stationID", f"explode(array({cal.date_sql(days)})) AS date")
+        .selectExpr("*", "explode(sequence(0, 23)) AS hour")
         .repartition(*CLUSTER)
     )
     if grain == "hour":
         return hours
-    return hours.withColumn("minute", F.explode(F.sequence(F.lit(0), F.lit(50), F.lit(10))))
+    return hours.selectExpr("*", "explode(sequence(0, 50, 10)) AS minute")
 
 
 def fill_gaps(facts: DataFrame, grid: DataFrame, keys: Sequence[str] = SLOT_KEYS) -> DataFrame:
@@ -130,17 +127,14 @@ def fill_gaps(facts: DataFrame, grid: DataFrame, keys: Sequence[str] = SLOT_KEYS
     Facts and grid are partitioned alike and stacked, then combined per key
     inside each partition: no sort, no join. Facts outside the grid drop out.
     """
-    measures = [c for c in facts.columns if c not in keys]
-    spread = facts.repartition(*CLUSTER)
-    empty = grid.select(
-        *keys,
-        *[F.lit(None).cast(facts.schema[m].dataType).alias(m) for m in measures],
-        F.lit(1).alias("in_grid"),
+    types = {c: t for c, t in facts.dtypes if c not in keys}
+    rows = facts.repartition(*CLUSTER).selectExpr(*keys, *types, "0 AS in_grid")
+    empty = grid.selectExpr(
+        *keys, *[f"CAST(NULL AS {t}) AS {m}" for m, t in types.items()], "1 AS in_grid"
     )
-    stacked = spread.select(*keys, *measures, F.lit(0).alias("in_grid")).unionByName(empty)
-    merged = stacked.groupBy(*keys).agg(
-        *[F.coalesce(F.max(m), F.lit(0)).cast(facts.schema[m].dataType).alias(m) for m in measures],
-        F.max("in_grid").alias("in_grid"),
+    merged = rows.unionByName(empty).groupBy(*keys).agg(
+        *[F.expr(f"coalesce(max({m}), 0)").alias(m) for m in types],
+        F.expr("max(in_grid)").alias("in_grid"),
     )
     return merged.filter("in_grid = 1").drop("in_grid")
 
@@ -179,11 +173,11 @@ def rejoin_stations(forecast: DataFrame, special: DataFrame) -> DataFrame:
 
 
 def on_days(df: DataFrame, days: Sequence[date]) -> DataFrame:
-    return df.filter(F.col("date").isin(list(days)))
+    return df.filter(cal.in_days(days))
 
 
 def drop_days(df: DataFrame, days: Sequence[date]) -> DataFrame:
-    return df.filter(~F.col("date").isin(list(days)))
+    return df.filter(f"NOT ({cal.in_days(days)})")
 
 
 def day_range(df: DataFrame, first: date, last: date) -> DataFrame:
@@ -207,9 +201,9 @@ def drop_warm_up(df: DataFrame, kept: Sequence[date], n: int = 5) -> DataFrame:
 
 def mask_days(df: DataFrame, days: Sequence[date], columns: Sequence[str] = FLOWS) -> DataFrame:
     """Set measures to 0 on the days to forecast, as the template rows have them."""
-    hidden = F.col("date").isin(list(days))
-    return df.withColumns(
-        {c: F.when(hidden, F.lit(0)).otherwise(F.col(c)).cast(df.schema[c].dataType) for c in columns}
+    hidden = cal.in_days(days)
+    return df.selectExpr(
+        *[f"CASE WHEN {hidden} THEN 0 ELSE {c} END AS {c}" if c in columns else c for c in df.columns]
     )
 
 

@@ -31,7 +31,7 @@ def minute_features(
     base = sl.mask_days(sl.with_calendar(filled), [target])
     hidden = [target] if exclude_target else []
     lagged = ft.change_features(ft.lag_features(base))
-    rows = ft.past_share_stats(ft.past_value_stats(lagged))
+    rows = ft.past_stats(lagged)
     stats = ft.hour_statistics(
         ft.slot_statistics(rows, exclude_days=hidden), exclude_days=hidden
     )
@@ -50,7 +50,7 @@ def hour_features(
     grid = sl.station_grid(stations, days, "hour")
     filled = sl.fill_gaps(sl.on_days(rollup, days), grid, HOUR_KEYS)
     lagged = ft.lag_features(sl.with_calendar(filled), ft.HOUR_SERIES)
-    rows = ft.past_share_stats(ft.past_value_stats(ft.change_features(lagged)))
+    rows = ft.past_stats(ft.change_features(lagged))
     stats = ft.attach_hour_statistics(rows, sl.with_calendar(rollup))
     return sl.drop_warm_up(ft.opening_flag(stats, stations), days, warm_up)
 

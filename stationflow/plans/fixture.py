@@ -26,6 +26,11 @@ REST_AND_SOURCE = PLAN.on(1, 6, 7, 13, 14, 20, 21, 27, 28, 29)
 SPECIAL = (2, 7, 11)
 CLOSED = (4,)
 PEAK = (7, 8, 9, 17, 18)
+# Only the columns used; naming them spares the footer reads of schema inference.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "customer": "c_custkey bigint",
+}
 
 
 @dataclass(frozen=True)
@@ -34,34 +39,26 @@ class Fixture:
     sf_dir: str
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def taps(self) -> DataFrame:
-        entered = F.col("event_type").isin("view", "click")
-        return self._table("events").select(
-            F.col("ts").alias("time"),
-            F.expr("CAST(user_id DIV 10 AS INT)").alias("stationID"),
-            (F.col("event_id") % 13).cast("int").alias("deviceID"),
-            F.when(entered, 1).otherwise(0).alias("status"),
+        return self._table("events").selectExpr(
+            "ts AS time",
+            "CAST(user_id DIV 10 AS INT) AS stationID",
+            "CAST(event_id % 13 AS INT) AS deviceID",
+            "CASE WHEN event_type IN ('view', 'click') THEN 1 ELSE 0 END AS status",
         )
 
     def stations(self) -> DataFrame:
-        station = F.expr("CAST(c_custkey DIV 100 AS INT)").alias("stationID")
-        odd = (F.col("stationID") % 2).cast("string")
-        early = (F.col("stationID") % 2 + 5).cast("string")
-        return (
-            self._table("customer")
-            .select(station)
-            .distinct()
-            .select(
-                "stationID",
-                F.expr("CAST(stationID DIV 5 AS INT)").alias("lineID"),
-                (F.col("stationID") % 5).alias("linePos"),
-                F.concat(F.lit("0"), early, F.lit(":30")).alias("start_time"),
-                F.concat(F.lit("0"), early, F.lit(":40")).alias("start_time2"),
-                F.lit("22:50").alias("end_time"),
-                F.concat(F.lit("23:"), odd, F.lit("0")).alias("end_time2"),
-            )
+        numbers = self._table("customer").selectExpr("CAST(c_custkey DIV 100 AS INT) AS stationID")
+        return numbers.distinct().selectExpr(
+            "stationID",
+            "CAST(stationID DIV 5 AS INT) AS lineID",
+            "stationID % 5 AS linePos",
+            "concat('0', stationID % 2 + 5, ':30') AS start_time",
+            "concat('0', stationID % 2 + 5, ':40') AS start_time2",
+            "'22:50' AS end_time",
+            "concat('23:', stationID % 2, '0') AS end_time2",
         )
 
     def slots(self) -> DataFrame:

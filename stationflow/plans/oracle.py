@@ -244,7 +244,7 @@ def group_stats(grain: str, target: int, stats=("max", "min", "mean", "std"), fl
 def rollup_stats(table: str) -> str:
     """Grouped hour statistics of an unfiltered roll-up."""
     return f"""SELECT stationID, isodow(date) AS week, hour, {each(lambda f:
-        f'max({f}) AS {f}_max, min({f}) AS {f}_min, avg({f}) AS {f}_mean, stddev_samp({f}) AS {f}_std')}
+        f'CAST(max({f}) AS BIGINT) AS {f}_max, CAST(min({f}) AS BIGINT) AS {f}_min, avg({f}) AS {f}_mean, stddev_samp({f}) AS {f}_std')}
         FROM {table} GROUP BY ALL"""
 
 
@@ -414,7 +414,7 @@ def hour_matrix() -> str:
         (SELECT stationID, date, hour, avg(nuni_deviceID_of_stationID) a, avg(nuni_deviceID_of_stationID_hour) b
          FROM slot_table WHERE day <> 30 GROUP BY ALL) d USING (stationID, date, hour))"""
     rollup = "(SELECT stationID, date, hour, sum(inNums) AS inNums, sum(outNums) AS outNums FROM slot WHERE day(date) <> 30 GROUP BY ALL)"
-    return f"""SELECT m.*, {rollup_columns().replace('coalesce(r.inNums_m', 'coalesce(r.inNums_m')}, lineID, linePos,
+    return f"""SELECT m.*, {rollup_columns()}, lineID, linePos,
       {IS_RUN.format(t=HOUR_LABEL)}
       FROM (SELECT {', '.join(cols)} FROM ({lagged(base, HOUR_SERIES)})) m
       LEFT JOIN ({rollup_stats(rollup)}) r USING (stationID, week, hour)
