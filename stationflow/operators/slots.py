@@ -21,6 +21,20 @@ DEVICE_COUNTS = (
 CLUSTER = ("stationID", "hour")
 
 
+def clustered(df: DataFrame) -> DataFrame:
+    """Partition by station and hour into a fixed number of partitions.
+
+    The number is named so that adaptive execution does not merge them: the
+    rows are few bytes here but grow many features afterwards, and the size of
+    this exchange says nothing about the work behind it.
+    """
+    spark = df.sparkSession
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    return df.repartition(partitions, *CLUSTER)
+
+
 def with_slot_keys(taps: DataFrame, ts: str = "time") -> DataFrame:
     """Add the columns that name a tap's slot."""
     return taps.selectExpr(
@@ -111,10 +125,10 @@ def station_grid(stations: DataFrame, days: Sequence[date], grain: str = "slot")
     """
     if grain not in ("slot", "hour"):
         raise ValueError(f"unknown grain {grain!r}")
-    hours = (
-        stations.selectExpr("stationID", f"explode(array({cal.date_sql(days)})) AS date")
-        .selectExpr("*", "explode(sequence(0, 23)) AS hour")
-        .repartition(*CLUSTER)
+    hours = clustered(
+        stations.selectExpr("stationID", f"explode(array({cal.date_sql(days)})) AS date").selectExpr(
+            "*", "explode(sequence(0, 23)) AS hour"
+        )
     )
     if grain == "hour":
         return hours
@@ -128,7 +142,7 @@ def fill_gaps(facts: DataFrame, grid: DataFrame, keys: Sequence[str] = SLOT_KEYS
     inside each partition: no sort, no join. Facts outside the grid drop out.
     """
     types = {c: t for c, t in facts.dtypes if c not in keys}
-    rows = facts.repartition(*CLUSTER).selectExpr(*keys, *types, "0 AS in_grid")
+    rows = clustered(facts).selectExpr(*keys, *types, "0 AS in_grid")
     empty = grid.selectExpr(
         *keys, *[f"CAST(NULL AS {t}) AS {m}" for m, t in types.items()], "1 AS in_grid"
     )

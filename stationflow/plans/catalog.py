@@ -20,7 +20,7 @@ from stationflow.operators import slots as sl
 from stationflow.plans import features as plans
 from stationflow.plans import fixture as fx
 from stationflow.plans.fixture import PLAN, Fixture
-from stationflow.session import scratch_path
+from stationflow.session import scratch_path, tuned
 from stationflow.sources import readers, writers
 from stationflow.sources.schemas import FLOWS, FORECAST_COLUMNS, HOUR_KEYS, SLOT_KEYS
 
@@ -44,7 +44,7 @@ def rounded(df: DataFrame) -> DataFrame:
 
 def entry(name: str):
     def register(build: Callable[[Fixture], DataFrame]):
-        CATALOG[name] = lambda spark, sf_dir: rounded(build(Fixture(spark, sf_dir)))
+        CATALOG[name] = lambda spark, sf_dir: rounded(build(Fixture(tuned(spark), sf_dir)))
         return build
 
     return register

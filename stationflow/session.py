@@ -8,6 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The JVM never compiles a method of more bytecode than this.
+COMPILED_METHOD_BYTES = 8000
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Keep wide projections compiled.
+
+    A feature table of a hundred columns makes one generated method per stage
+    that is too long for the JVM to compile, so it would be interpreted. With
+    this limit Spark splits such stages into small methods instead; narrow
+    stages keep whole-stage code.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(COMPILED_METHOD_BYTES))
+    return spark
+
+
 def local_session(cores: str | int = "*", partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks; clusters bring their own."""
     return (
