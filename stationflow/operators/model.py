@@ -20,6 +20,7 @@ class BoostSettings:
     """Boosting parameters; fewer rounds with a larger step than a native library."""
 
     rounds: int = 50
+    patience: int = 10
     step: float = 0.1
     depth: int = 5
     row_share: float = 0.7
@@ -27,6 +28,13 @@ class BoostSettings:
     seed: int = 0
 
 
+# Depth, row and feature share of each kind of model.
+MINUTE = BoostSettings(depth=5, row_share=0.7, feature_share=0.7)
+PEAK = BoostSettings(depth=8, row_share=0.7, feature_share=0.7)
+HOUR = BoostSettings(depth=8, row_share=0.8, feature_share=0.8)
+DAY_BEFORE = BoostSettings(depth=6, row_share=0.9, feature_share=0.9)
+
+
 @dataclass(frozen=True)
 class BoostResult:
     """The refitted model of one flow, its round count and validation errors."""
@@ -60,6 +68,17 @@ def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> Dat
     return checkpointed(vectors.select(*keep, "features"))
 
 
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """The round with the least error before ``patience`` rounds bring nothing better."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def fit_boosted(vectors: DataFrame, flow: str, settings: BoostSettings) -> BoostResult:
     """Fit on train, take the best round on valid, refit on both with that count."""
 
@@ -80,7 +99,7 @@ def fit_boosted(vectors: DataFrame, flow: str, settings: BoostSettings) -> Boost
     train, valid = (vectors.filter(F.col("split") == s) for s in ("train", "valid"))
     trial = trees(settings.rounds).fit(train)
     errors = trial.evaluateEachIteration(valid, "absolute")
-    best = min(range(len(errors)), key=errors.__getitem__) + 1
+    best = best_round(errors, settings.patience)
     final = trees(best).fit(vectors.filter(F.col("split").isin("train", "valid")))
     return BoostResult(flow, final, best, tuple(errors))
 

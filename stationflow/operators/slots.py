@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions import calendar as cal
@@ -59,10 +59,14 @@ def with_calendar(df: DataFrame) -> DataFrame:
     )
 
 
-def _in_out(taps_in: Column, counted: Column) -> dict[str, Column]:
+def _flows(entered: str, counted: str) -> list[Column]:
     # A slot whose statuses are all null has a null sum but counts as empty.
-    entered = F.coalesce(taps_in, F.lit(0)).cast("long")
-    return {"inNums": entered, "outNums": counted.cast("long") - entered}
+    ins = f"coalesce({entered}, 0L)"
+    return [F.expr(ins).alias("inNums"), F.expr(f"{counted} - {ins}").alias("outNums")]
+
+
+def slot_flows_by(taps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return taps.groupBy(*keys).agg(*_flows("sum(status)", "count(status)"))
 
 
 def slot_flows(taps: DataFrame) -> DataFrame:
@@ -70,8 +74,7 @@ def slot_flows(taps: DataFrame) -> DataFrame:
 
     However many taps one station has, each task sends at most one row per slot.
     """
-    flows = _in_out(F.sum("status"), F.count("status"))
-    return with_slot_keys(taps).groupBy(*SLOT_KEYS).agg(*[c.alias(n) for n, c in flows.items()])
+    return slot_flows_by(with_slot_keys(taps), SLOT_KEYS)
 
 
 def slot_table(taps: DataFrame) -> DataFrame:
@@ -84,31 +87,25 @@ def slot_table(taps: DataFrame) -> DataFrame:
     used = (
         with_slot_keys(taps)
         .groupBy(*SLOT_KEYS, "deviceID")
-        .agg(F.sum("status").alias("entered"), F.count("status").alias("counted"))
+        .agg(F.expr("sum(status)").alias("entered"), F.expr("count(status)").alias("counted"))
     )
-    history = Window.partitionBy("stationID", "date", "deviceID").orderBy("hour", "minute")
-    earlier = F.lag("hour").over(history)
-    known = F.col("deviceID").isNotNull()
-    flagged = used.withColumns(
-        {
-            "new_today": (known & earlier.isNull()).cast("int"),
-            "new_hour": (known & (earlier.isNull() | (earlier != F.col("hour")))).cast("int"),
-        }
+    history = "(PARTITION BY stationID, date, deviceID ORDER BY hour, minute)"
+    seen = used.selectExpr("*", f"lag(hour) OVER {history} AS seen_hour")
+    known = seen.selectExpr(
+        "*",
+        "deviceID IS NOT NULL AND seen_hour IS NULL AS new_today",
+        "deviceID IS NOT NULL AND NOT seen_hour <=> hour AS new_hour",
     )
-    flows = _in_out(F.sum("entered"), F.sum("counted"))
-    slots = flagged.groupBy(*SLOT_KEYS).agg(
-        *[c.alias(n) for n, c in flows.items()],
-        F.sum("new_today").alias("new_today"),
-        F.sum("new_hour").alias("new_hour"),
-        F.count("deviceID").alias(DEVICE_COUNTS[2]),
+    slots = known.groupBy(*SLOT_KEYS).agg(
+        *_flows("sum(entered)", "sum(counted)"),
+        F.expr("count_if(new_today)").alias("new_today"),
+        F.expr("count_if(new_hour)").alias("new_hour"),
+        F.expr("count(deviceID)").alias(DEVICE_COUNTS[2]),
     )
-    by_day = Window.partitionBy("stationID", "date")
-    by_hour = Window.partitionBy("stationID", "date", "hour")
-    counted = slots.withColumns(
-        {
-            DEVICE_COUNTS[0]: F.sum("new_today").over(by_day),
-            DEVICE_COUNTS[1]: F.sum("new_hour").over(by_hour),
-        }
+    counted = slots.selectExpr(
+        "*",
+        f"sum(new_today) OVER (PARTITION BY stationID, date) AS {DEVICE_COUNTS[0]}",
+        f"sum(new_hour) OVER (PARTITION BY stationID, date, hour) AS {DEVICE_COUNTS[1]}",
     )
     return with_calendar(counted).select(
         "stationID", "date", "day", "week", "weekend", "hour", "minute",

@@ -19,6 +19,7 @@ from stationflow.operators import neighbours as nb
 from stationflow.operators import slots as sl
 from stationflow.plans import features as plans
 from stationflow.plans import fixture as fx
+from stationflow.plans import models
 from stationflow.plans.fixture import PLAN, Fixture
 from stationflow.session import scratch_path, tuned
 from stationflow.sources import readers, writers
@@ -584,22 +585,31 @@ def _(f: Fixture) -> DataFrame:
     return split.select(*SLOT_COLUMNS, "split")
 
 
+# Few shallow rounds: enough to run every step on the whole tables.
+QUICK = md.BoostSettings(rounds=8, depth=4)
+
+
 @entry("F11_boosted_hours")
 def _(f: Fixture) -> DataFrame:
-    return boosted_hours(f)[0]
+    return models.hour_model(
+        f.slot_table(), f.stations(), WORK, fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, fx.SPECIAL, QUICK
+    )[0]
 
 
-def boosted_hours(f: Fixture, settings: md.BoostSettings = md.BoostSettings(rounds=12, depth=4)):
-    """Hourly boosted trees on ordinary stations, and the fit results."""
-    table = sl.mask_days(f.slot_table(), [fx.WEEKDAY_TARGET])
-    matrix = plans.hour_features(table, f.stations(), WORK, fx.WEEKDAY_TARGET)
-    ordinary, _ = sl.split_stations(matrix, fx.SPECIAL)
-    columns = ft.feature_columns(
-        ordinary, ["date", "weekend", "day_since_first", *FLOWS, *sl.DEVICE_COUNTS]
-    )
-    return md.boosted_forecast(
-        ordinary, columns, ["stationID", "hour"], fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, settings
-    )
+@entry("F11_boosted_minutes")
+def _(f: Fixture) -> DataFrame:
+    return models.minute_model(
+        f.slots(), f.stations(), f.template(), WORK,
+        fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, fx.CLOSED, QUICK,
+    )[0]
+
+
+@entry("F11_boosted_weekend")
+def _(f: Fixture) -> DataFrame:
+    return models.day_before_model(
+        f.slots(), f.stations(), f.template(fx.WEEKEND_TARGET), WEEKEND,
+        fx.WEEKEND_SOURCE, fx.WEEKEND_TARGET, "self", fx.CLOSED, QUICK,
+    )[0]
 
 
 @entry("F12_trend")

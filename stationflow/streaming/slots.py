@@ -1,0 +1,51 @@
+"""Slot flows from tap files as they arrive, day after day."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from stationflow.operators.slots import slot_flows_by, with_slot_keys
+from stationflow.sources import schemas
+from stationflow.sources.readers import TIME_FORMAT
+
+
+def tap_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """New tap CSV files under ``path``."""
+    reader = (
+        spark.readStream.schema(schemas.TAP)
+        .option("header", True)
+        .option("timestampNTZFormat", TIME_FORMAT)
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
+    )
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(path)
+
+
+def slot_stream(taps: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """The batch slot flows, a slot being emitted once taps are ``lateness`` past its start.
+
+    A watermark needs a zoned timestamp, so each slot's start is also held as
+    one in UTC; the slot itself is still named by the zone-free tap time.
+    """
+    start = (
+        "make_timestamp(year(date), month(date), dayofmonth(date), hour, minute, 0, 'UTC')"
+        " AS slot_start"
+    )
+    started = with_slot_keys(taps).selectExpr("*", start).withWatermark("slot_start", lateness)
+    return slot_flows_by(started, [*schemas.SLOT_KEYS, "slot_start"]).drop("slot_start")
+
+
+def write_slot_stream(slots: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append finished slots to the partitioned slot table, then stop when caught up."""
+    return (
+        slots.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("date")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
