@@ -235,9 +235,9 @@ AGGREGATES = {"max": "max", "min": "min", "mean": "avg", "std": "stddev_samp"}
 
 
 def _group_stats(
-    flows: Sequence[str], prefix: str, keys: str, stats: Sequence[str], hidden: Sequence[date]
+    flows: Sequence[str], prefix: str, keys: str, stats: Sequence[str], only: str | None
 ) -> list[str]:
-    seen = (lambda f: f"CASE WHEN NOT ({cal.in_days(hidden)}) THEN {f} END") if hidden else str
+    seen = (lambda f: f"CASE WHEN {only} THEN {f} END") if only else str
     # The sample std of a single row is null and counts as 0.
     return [
         f"coalesce({AGGREGATES[s]}({seen(f)}) OVER (PARTITION BY {keys}), 0) AS {f}_{prefix}_{s}"
@@ -246,19 +246,27 @@ def _group_stats(
     ]
 
 
+def _shown(exclude_days: Sequence[date], only: str | None) -> str | None:
+    terms = [f"NOT ({cal.in_days(exclude_days)})"] if exclude_days else []
+    return " AND ".join(terms + ([f"({only})"] if only else [])) or None
+
+
 def slot_statistics(
     df: DataFrame,
     flows: Sequence[str] = FLOWS,
     stats: Sequence[str] = ("max", "min", "mean", "std"),
     exclude_days: Sequence[date] = (),
+    only: str | None = None,
 ) -> DataFrame:
     """Per station, weekday and slot: max, min, mean, sample std of each flow.
 
     Attached by window, so there is no aggregate-and-join. ``exclude_days``
-    keeps the placeholder rows of the days to forecast out of the statistics.
+    keeps the placeholder rows of the days to forecast out of the statistics,
+    ``only`` is a predicate for the rows to take them from.
     """
     keys = "stationID, hour, week, minute"
-    return df.selectExpr("*", *_group_stats(flows, "whm", keys, stats, exclude_days))
+    shown = _shown(exclude_days, only)
+    return df.selectExpr("*", *_group_stats(flows, "whm", keys, stats, shown))
 
 
 def hour_statistics(
@@ -266,10 +274,12 @@ def hour_statistics(
     flows: Sequence[str] = FLOWS,
     stats: Sequence[str] = ("max", "min", "mean", "std"),
     exclude_days: Sequence[date] = (),
+    only: str | None = None,
 ) -> DataFrame:
     """Per station, weekday and hour: max, min, mean, sample std of each flow."""
     keys = "stationID, hour, week"
-    return df.selectExpr("*", *_group_stats(flows, "wh", keys, stats, exclude_days))
+    shown = _shown(exclude_days, only)
+    return df.selectExpr("*", *_group_stats(flows, "wh", keys, stats, shown))
 
 
 def attach_hour_statistics(

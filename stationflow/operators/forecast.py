@@ -126,6 +126,24 @@ def with_template_slot(template: DataFrame) -> DataFrame:
     return template.withColumns({"hour": F.hour("startTime"), "minute": F.minute("startTime")})
 
 
+def _sum_and_count(f: str, tag: str, when: str) -> list[Column]:
+    return [
+        F.expr(f"sum({f}) FILTER (WHERE {when})").alias(f"_{f}_{tag}"),
+        F.expr(f"count({f}) FILTER (WHERE {when})").alias(f"_{f}_{tag}_n"),
+    ]
+
+
+def _share(f: str, tag: str, guard: float) -> Column:
+    total, rows = F.col(f"_{f}_{tag}"), F.col(f"_{f}_{tag}_n")
+    return F.try_divide(total, rows) / (_over_hour(total, rows) + F.lit(guard))
+
+
+def _level(f: str, tag: str) -> Column:
+    """The hour mean of a day, for the slots that day has."""
+    total, rows = F.col(f"_{f}_{tag}"), F.col(f"_{f}_{tag}_n")
+    return F.when(rows > 0, _over_hour(total, rows))
+
+
 def weekday_rule(
     slots: DataFrame,
     template: DataFrame,
@@ -139,29 +157,18 @@ def weekday_rule(
     Slots missing on either side forecast 0. Reference and source days are read
     in one pass: one aggregate per slot, then one window per hour.
     """
-    is_source = F.col("date") == F.lit(source)
-    is_reference = F.col("date").isin(list(reference))
     sums = on_days(slots, [*reference, source]).groupBy(*SLOT).agg(
         *[
             c
             for f in FLOWS
-            for c in (
-                F.sum(F.when(is_reference, F.col(f))).alias(f"_{f}_ref"),
-                F.count(F.when(is_reference, F.col(f))).alias(f"_{f}_ref_n"),
-                F.sum(F.when(is_source, F.col(f))).alias(f"_{f}_src"),
-                F.count(F.when(is_source, F.col(f))).alias(f"_{f}_src_n"),
-            )
+            for tag, days in (("ref", reference), ("src", [source]))
+            for c in _sum_and_count(f, tag, cal.in_days(days))
         ]
     )
-    rule = {}
-    for f in FLOWS:
-        ref, ref_n = F.col(f"_{f}_ref"), F.col(f"_{f}_ref_n")
-        src, src_n = F.col(f"_{f}_src"), F.col(f"_{f}_src_n")
-        share = F.try_divide(ref, ref_n) / (_over_hour(ref, ref_n) + F.lit(guard))
-        # Only slots the source day has carry its hour mean.
-        level = F.when(src_n > 0, _over_hour(src, src_n))
-        rule[f] = share * level * F.lit(factor)
-    forecast = sums.select(*SLOT, *[c.alias(f) for f, c in rule.items()])
+    forecast = sums.select(
+        *SLOT,
+        *[(_share(f, "ref", guard) * _level(f, "src") * F.lit(factor)).alias(f) for f in FLOWS],
+    )
     return attach_to_template(template, forecast)
 
 
@@ -173,17 +180,37 @@ def weekend_rule(
     source: date,
     guard: float = GUARD,
 ) -> DataFrame:
-    """Saturday's hour mean x Sunday/Saturday ratio x slot share of past Sundays."""
-    shares = slot_shares(slots, sundays, guard=guard).select(*SLOT, *[f"{f}_share" for f in FLOWS])
-    level = source_hour_means(slots, source).drop(*FLOWS)
-    ratios = weekend_ratios(slots, pairs)
-    parts = shares.join(level, list(SLOT)).join(ratios, list(HOUR))
-    forecast = parts.select(
-        *SLOT,
+    """Saturday's hour mean x Sunday/Saturday ratio x slot share of past Sundays.
+
+    The same rule as :func:`slot_shares`, :func:`source_hour_means` and
+    :func:`weekend_ratios` multiplied, but all days are read in one pass: one
+    aggregate per slot and one window per hour, where the three operators would
+    each read the slots and then be joined.
+    """
+    weekend = {f"{side}{i}": d for i, pair in enumerate(pairs) for side, d in zip(("sat", "sun"), pair, strict=True)}
+    first = cal.in_days([pairs[0][0]])
+    sums = on_days(slots, sorted({*sundays, source, *weekend.values()})).groupBy(*SLOT).agg(
+        *[c for f in FLOWS for c in _sum_and_count(f, "ref", cal.in_days(sundays))],
+        *[c for f in FLOWS for c in _sum_and_count(f, "src", cal.in_days([source]))],
         *[
-            (F.col(f"{f}_source_hour") * F.col(f"{f}_ratio") * F.col(f"{f}_share")).alias(f)
+            F.expr(f"max({f}) FILTER (WHERE {cal.in_days([d])})").alias(f"_{f}_{name}")
             for f in FLOWS
+            for name, d in weekend.items()
         ],
+        F.expr(f"count_if({first}) > 0").alias("_base"),
+    )
+    hour = "(PARTITION BY stationID, hour)"
+
+    def ratio(f: str) -> Column:
+        # Means over the slots the first Saturday has, as when days are joined to it.
+        mean = lambda name: f"avg(CASE WHEN _base THEN _{f}_{name} END) OVER {hour}"
+        weekly = [f"try_divide({mean(f'sun{i}')}, {mean(f'sat{i}')})" for i in range(len(pairs))]
+        some = f"count_if(_base) OVER {hour} > 0"
+        return F.expr(f"CASE WHEN {some} THEN coalesce(({' + '.join(weekly)}) / {len(pairs)}D, 1D) END")
+
+    forecast = sums.select(
+        *SLOT,
+        *[(_level(f, "src") * ratio(f) * _share(f, "ref", guard)).alias(f) for f in FLOWS],
     )
     return attach_to_template(template, forecast)
 

@@ -147,11 +147,11 @@ def line_edges(stations: DataFrame) -> DataFrame:
 ADJACENT = {
     "before": "sum({f}) FILTER (WHERE side = -1)",
     "after": "sum({f}) FILTER (WHERE side = 1)",
-    "min": "min({f})",
-    "max": "max({f})",
-    "mean": "avg({f})",
-    "std": "stddev_samp({f})",
-    "skew": "skewness({f})",
+    "min": "min({f}) FILTER (WHERE side <> 0)",
+    "max": "max({f}) FILTER (WHERE side <> 0)",
+    "mean": "avg({f}) FILTER (WHERE side <> 0)",
+    "std": "stddev_samp({f}) FILTER (WHERE side <> 0)",
+    "skew": "skewness({f}) FILTER (WHERE side <> 0)",
 }
 
 
@@ -164,24 +164,37 @@ def adjacent_flow(
 ) -> DataFrame:
     """Flows of the two neighbours and statistics over all connected stations.
 
+    Every station is also joined to itself (side 0), so one pass over the slots
+    yields both a row and its neighbours' flows, with one aggregate after it.
+
     A hub that neighbours many stations would send all its slots, times all its
     edges, through one task. Edges are repeated per salt and slots carry one
     salt by day, which spreads a hub over ``salts`` tasks and keeps every pair.
     Sums are combined before the second exchange.
     """
-    salted = edges.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    flow = df.select(
-        F.col("stationID").alias("neighborID"),
-        *[k for k in keys if k != "stationID"],
-        *flows,
-        F.pmod(F.unix_date("date"), F.lit(salts)).alias("salt"),
+    itself = edges.select("neighborID").distinct().selectExpr(
+        "neighborID AS stationID", "neighborID", "0 AS side"
+    )
+    targets = (
+        edges.select("stationID", "neighborID", "side")
+        .unionByName(itself)
+        .selectExpr("stationID AS _to", "neighborID AS stationID", "side", "explode(sequence(0, {})) AS _salt".format(salts - 1))
+    )
+    salted = df.selectExpr("*", f"pmod(unix_date(date), {salts}) AS _salt")
+    # A station without edges has no row here and is its own only target.
+    pairs = salted.join(targets, ["stationID", "_salt"], "left").selectExpr(
+        "coalesce(_to, stationID) AS stationID",
+        "coalesce(side, 0) AS side",
+        *[c for c in df.columns if c != "stationID"],
+    )
+    own = [c for c in df.columns if c not in keys]
+    stats = {f"{f}_adj_{n}": a.format(f=f) for f in flows for n, a in ADJACENT.items()}
+    table = pairs.groupBy(*keys).agg(
+        F.expr("max(side) FILTER (WHERE side = 0)").alias("_self"),
+        *[F.expr(f"max({c}) FILTER (WHERE side = 0)").alias(f"_own_{c}") for c in own],
+        *[F.expr(a).alias(n) for n, a in stats.items()],
+    )
+    columns = [c if c in keys else f"_own_{c} AS {c}" for c in df.columns]
+    return table.filter("_self = 0").selectExpr(
+        *columns, *[f"coalesce({n}, 0) AS {n}" for n in stats]
     )
-    pairs = flow.join(salted, ["neighborID", "salt"])
-    stats = {
-        f"{f}_adj_{name}": aggregate.format(f=f)
-        for f in flows
-        for name, aggregate in ADJACENT.items()
-    }
-    table = pairs.groupBy(*keys).agg(*[F.expr(a).alias(n) for n, a in stats.items()])
-    joined = df.join(table, list(keys), "left")
-    return joined.selectExpr(*df.columns, *[f"coalesce({n}, 0) AS {n}" for n in stats])

@@ -84,6 +84,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("S4_read_in_out_tables")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     path = scratch_path(f.spark, "in-out")
     ins, outs = _in_and_out(f)
     writers.write_csv(ins, f"{path}/in")
@@ -281,6 +282,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("J4_combine_in_out")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     return sl.combine_in_out(*_in_and_out(f))
 
 
@@ -316,6 +318,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("J10_forecast_join")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     return fc.join_forecasts([f.weekday_rule(), f.same_as(fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET)])
 
 
@@ -361,6 +364,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("A5_hour_statistics_of_rollup")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     rollup = sl.with_calendar(sl.hour_rollup(sl.drop_days(f.slots(), [fx.WEEKDAY_TARGET])))
     stats = ft.attach_hour_statistics(f.work_hours(), rollup)
     return added(stats, HOUR_KEYS, "inNums_wh_", "outNums_wh_")
@@ -509,6 +513,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("O4_rejoin_stations")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     last = sl.on_days(f.work_hours(), [fx.WEEKDAY_TARGET]).select("stationID", "hour", *FLOWS)
     trend = fc.trend_forecast(f.work_hours(), WORK, fx.WEEKDAY_TARGET)
     ordinary, _ = sl.split_stations(trend, fx.SPECIAL)
@@ -536,23 +541,27 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("F3_blend")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     return fc.blend([_naive(f), f.weekday_rule()], [0.6, 0.4])
 
 
 @entry("F3_blend_unmatched")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     ordinary, _ = sl.split_stations(f.weekday_rule(), fx.SPECIAL)
     return fc.blend([_naive(f), ordinary], [0.5, 0.5])
 
 
 @entry("F4_three_way_blend")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     last_week = f.same_as(PLAN.on(23)[0], fx.WEEKDAY_TARGET).fillna(0.0)
     return fc.blend([f.weekday_rule(), _naive(f), last_week], [0.25, 0.25, 0.5])
 
 
 @entry("F5_night_override")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     return fc.night_override(f.weekend_rule(), f.slots(), fx.SUNDAYS[-1])
 
 
@@ -568,6 +577,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("F8_clip_negative")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     # Twice today minus last week: a forecast that does go below zero.
     last_week = f.same_as(PLAN.on(23)[0], fx.WEEKDAY_TARGET).fillna(0.0)
     return fc.clip_negative(fc.blend([_naive(f), last_week], [2.0, -1.0]))
@@ -575,6 +585,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("F9_hours_to_slots")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     hourly = fc.trend_forecast(f.work_hours(), WORK, fx.WEEKDAY_TARGET)
     return fc.hours_to_slots(f.template(), hourly, fc.slot_shares(f.slots(), fx.REFERENCE))
 
@@ -592,8 +603,9 @@ QUICK = md.BoostSettings(rounds=8, depth=4)
 @entry("F11_boosted_hours")
 def _(f: Fixture) -> DataFrame:
     return models.hour_model(
-        f.slot_table(), f.stations(), WORK, fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, fx.SPECIAL, QUICK
-    )[0]
+        f.slot_table(), f.stations(), WORK,
+        fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, fx.SPECIAL, PLAN.days(), QUICK,
+    )[0]
 
 
 @entry("F11_boosted_minutes")
@@ -619,12 +631,14 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("F13_mean_absolute_error")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     actual = f.same_as(fx.WEEKDAY_TARGET, fx.WEEKDAY_TARGET).fillna(0.0)
     return fc.absolute_error(actual, f.weekday_rule(), fc.TEMPLATE_KEYS)
 
 
 @entry("F14_choose_by_station")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     return fc.choose_by_station(_naive(f), f.weekday_rule(), fx.SPECIAL)
 
 
@@ -727,8 +741,9 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("M3_hour_features")
 def _(f: Fixture) -> DataFrame:
-    table = sl.mask_days(f.slot_table(), [fx.WEEKDAY_TARGET])
-    return plans.hour_features(table, f.stations(), WORK, fx.WEEKDAY_TARGET)
+    return plans.hour_features(
+        f.slot_table(), f.stations(), WORK, fx.WEEKDAY_TARGET, PLAN.days()
+    )
 
 
 @entry("M4_workday_features")

@@ -43,16 +43,25 @@ def hour_features(
     stations: DataFrame,
     days: Sequence[date],
     target: date,
+    history: Sequence[date],
     warm_up: int = 5,
 ) -> DataFrame:
-    """The same at hour grain; weekday statistics come from the unfiltered roll-up."""
-    rollup = sl.hour_rollup(sl.drop_days(slot_table, [target]))
-    grid = sl.station_grid(stations, days, "hour")
-    filled = sl.fill_gaps(sl.on_days(rollup, days), grid, HOUR_KEYS)
-    lagged = ft.lag_features(sl.with_calendar(filled), ft.HOUR_SERIES)
+    """The same at hour grain; weekday statistics come from the unfiltered roll-up.
+
+    ``history`` lists all days of the roll-up, kept or not. The grid covers
+    both, a marker tells hours with taps from filled ones, and the statistics
+    are windows over the marked hours: the roll-up is neither read twice nor
+    joined to itself.
+    """
+    every = sorted({*history, *days})
+    rollup = sl.hour_rollup(sl.on_days(slot_table, every)).selectExpr("*", "1 AS has_taps")
+    filled = sl.fill_gaps(rollup, sl.station_grid(stations, every, "hour"), HOUR_KEYS)
+    measures = [c for c in rollup.columns if c not in HOUR_KEYS]
+    base = sl.mask_days(sl.with_calendar(filled), [target], measures)
+    stats = ft.hour_statistics(base, only="has_taps = 1").drop("has_taps")
+    lagged = ft.lag_features(sl.on_days(stats, days), ft.HOUR_SERIES)
     rows = ft.past_stats(ft.change_features(lagged))
-    stats = ft.attach_hour_statistics(rows, sl.with_calendar(rollup))
-    return sl.drop_warm_up(ft.opening_flag(stats, stations), days, warm_up)
+    return sl.drop_warm_up(ft.opening_flag(rows, stations), days, warm_up)
 
 
 def day_before_features(

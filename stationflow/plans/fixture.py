@@ -6,7 +6,7 @@ slots and features all grow with the tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stationflow.functions.calendar import DayPlan
 from stationflow.operators import forecast as fc
 from stationflow.operators import slots as sl
+from stationflow.session import stored
 
 PLAN = DayPlan(date(2024, 1, 1), date(2024, 1, 30), holidays=(date(2024, 1, 1),))
 REFERENCE = PLAN.on(22, 23, 24, 25, 26)
@@ -37,6 +38,7 @@ SCHEMAS = {
 class Fixture:
     spark: SparkSession
     sf_dir: str
+    kept_slots: DataFrame | None = None
 
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
@@ -63,7 +65,15 @@ class Fixture:
 
     def slots(self) -> DataFrame:
         """Flows of the slots that have taps."""
-        return sl.slot_flows(self.taps())
+        return self.kept_slots if self.kept_slots is not None else sl.slot_flows(self.taps())
+
+    def stored(self) -> Fixture:
+        """The same with the slots written once to the shared folder.
+
+        For queries that use the slots in several branches: the taps, by far
+        the largest table, are then read once.
+        """
+        return replace(self, kept_slots=stored(self.slots(), "slots"))
 
     def slot_table(self) -> DataFrame:
         return sl.slot_table(self.taps())

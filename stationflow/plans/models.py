@@ -38,11 +38,11 @@ def hour_model(
     validation: date,
     target: date,
     special: Sequence[int],
+    history: Sequence[date],
     settings: md.BoostSettings = md.HOUR,
 ) -> Fitted:
     """Hourly forecast of the ordinary stations."""
-    masked = sl.mask_days(slot_table, [target])
-    matrix = plans.hour_features(masked, stations, days, target)
+    matrix = plans.hour_features(slot_table, stations, days, target, history)
     ordinary, _ = sl.split_stations(matrix, special)
     return _boost(ordinary, ["stationID", "hour"], validation, target, settings)
 
