@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,16 +116,15 @@ def slot_table(taps: DataFrame) -> DataFrame:
 def station_grid(stations: DataFrame, days: Sequence[date], grain: str = "slot") -> DataFrame:
     """Every station x day x hour (x ten minutes), without a join.
 
-    ``stations`` holds one row per ``stationID``. The hour rows are spread over
-    the cluster before the minutes are added, so neither one task nor the
-    exchange carries the full grid.
+    ``stations`` holds one row per ``stationID``. Only stations x hours are
+    exchanged; days and minutes are added where the rows will stay, so neither
+    one task nor the exchange carries the full grid.
     """
     if grain not in ("slot", "hour"):
         raise ValueError(f"unknown grain {grain!r}")
-    hours = clustered(
-        stations.selectExpr("stationID", f"explode(array({cal.date_sql(days)})) AS date").selectExpr(
-            "*", "explode(sequence(0, 23)) AS hour"
-        )
+    spread = clustered(stations.selectExpr("stationID", "explode(sequence(0, 23)) AS hour"))
+    hours = spread.selectExpr(
+        "stationID", f"explode(array({cal.date_sql(days)})) AS date", "hour"
     )
     if grain == "hour":
         return hours
@@ -183,6 +182,21 @@ def rejoin_stations(forecast: DataFrame, special: DataFrame) -> DataFrame:
     return forecast.unionByName(special.select(*forecast.columns))
 
 
+def taps_on_days(taps: DataFrame, days: Sequence[date]) -> DataFrame:
+    """Taps of the given days.
+
+    The bounds on the raw time reach the scan and skip whole row groups; the
+    list of days then takes out the days between.
+    """
+    if not days:
+        return taps.filter("FALSE")
+    first, end = min(days), max(days) + timedelta(1)
+    return taps.filter(
+        f"time >= TIMESTAMP_NTZ'{first} 00:00:00' AND time < TIMESTAMP_NTZ'{end} 00:00:00'"
+        f" AND {cal.in_days(days, 'to_date(time)')}"
+    )
+
+
 def on_days(df: DataFrame, days: Sequence[date]) -> DataFrame:
     return df.filter(cal.in_days(days))
 

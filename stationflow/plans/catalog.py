@@ -169,7 +169,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("P5_day_in_list")
 def _(f: Fixture) -> DataFrame:
-    return sl.on_days(f.slots(), fx.REST_AND_SOURCE)
+    return f.slots(fx.REST_AND_SOURCE)
 
 
 @entry("P6_drop_days")
@@ -184,7 +184,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("P8_single_day")
 def _(f: Fixture) -> DataFrame:
-    return sl.on_days(f.slots(), [fx.WEEKDAY_SOURCE])
+    return f.slots([fx.WEEKDAY_SOURCE])
 
 
 @entry("P9_drop_warm_up")
@@ -207,7 +207,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("P12_day_reindex")
 def _(f: Fixture) -> DataFrame:
-    kept = sl.on_days(f.slots(), WORK)
+    kept = f.slots(WORK)
     indexed = kept.withColumn("day_index", cal.day_index(F.col("date"), WORK))
     return indexed.withColumn("day_back", cal.day_at(F.col("day_index"), WORK)).select(
         *SLOT_KEYS, "day_index", "day_back"
@@ -306,12 +306,12 @@ def _(f: Fixture) -> DataFrame:
 @entry("J8_days_side_by_side")
 def _(f: Fixture) -> DataFrame:
     days = {"12": PLAN.on(13)[0], "13": PLAN.on(14)[0], "19": PLAN.on(20)[0], "20": PLAN.on(21)[0]}
-    return fc.days_side_by_side(f.slots(), days)
+    return fc.days_side_by_side(f.slots(list(days.values())), days)
 
 
 @entry("J9_template_join")
 def _(f: Fixture) -> DataFrame:
-    shares = fc.slot_shares(f.slots(), fx.REFERENCE)
+    shares = fc.slot_shares(f.slots(fx.REFERENCE), fx.REFERENCE)
     joined = fc.with_template_slot(f.template()).join(shares, list(fc.SLOT), "left")
     return joined.select(*fc.TEMPLATE_KEYS, "inNums_share", "outNums_share").fillna(0.0)
 
@@ -372,22 +372,22 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("A6_slot_mean")
 def _(f: Fixture) -> DataFrame:
-    return fc.slot_means(f.slots(), fx.REFERENCE)
+    return fc.slot_means(f.slots(fx.REFERENCE), fx.REFERENCE)
 
 
 @entry("A7_hour_mean")
 def _(f: Fixture) -> DataFrame:
-    return fc.hour_means(f.slots(), fx.REFERENCE)
+    return fc.hour_means(f.slots(fx.REFERENCE), fx.REFERENCE)
 
 
 @entry("A8_slot_share")
 def _(f: Fixture) -> DataFrame:
-    return fc.slot_shares(f.slots(), fx.REFERENCE)
+    return fc.slot_shares(f.slots(fx.REFERENCE), fx.REFERENCE)
 
 
 @entry("A9_source_hour_mean")
 def _(f: Fixture) -> DataFrame:
-    return fc.source_hour_means(f.slots(), fx.WEEKDAY_SOURCE)
+    return fc.source_hour_means(f.slots([fx.WEEKDAY_SOURCE]), fx.WEEKDAY_SOURCE)
 
 
 @entry("A10_weekend_ratio")
@@ -403,12 +403,12 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("A12_slot_series")
 def _(f: Fixture) -> DataFrame:
-    return _joined_series(sl.slot_series(f.filled(), fx.REST_AND_SOURCE, ft.SLOT_SERIES))
+    return _joined_series(sl.slot_series(f.filled(fx.REST_AND_SOURCE), fx.REST_AND_SOURCE, ft.SLOT_SERIES))
 
 
 @entry("A12_hour_series")
 def _(f: Fixture) -> DataFrame:
-    return _joined_series(sl.slot_series(f.slots(), PLAN.weekends(), ft.HOUR_SERIES))
+    return _joined_series(sl.slot_series(f.slots(WEEKEND), WEEKEND, ft.HOUR_SERIES))
 
 
 def _joined_series(df: DataFrame) -> DataFrame:
@@ -494,14 +494,12 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("O1_sorted_series")
 def _(f: Fixture) -> DataFrame:
-    rest = sl.on_days(f.slots(), fx.REST_AND_SOURCE)
-    return rest.orderBy("stationID", "hour", "minute", "date")
+    return f.slots(fx.REST_AND_SOURCE).orderBy("stationID", "hour", "minute", "date")
 
 
 @entry("O2_union_days")
 def _(f: Fixture) -> DataFrame:
-    taps = sl.with_slot_keys(f.taps())
-    days = [sl.on_days(taps, [d]).drop("date", "hour", "minute") for d in PLAN.on(26, 28, 1)]
+    days = [sl.taps_on_days(f.taps(), [d]) for d in PLAN.on(26, 28, 1)]
     return sl.slot_flows(sl.union_days(*days))
 
 
@@ -587,7 +585,7 @@ def _(f: Fixture) -> DataFrame:
 def _(f: Fixture) -> DataFrame:
     f = f.stored()
     hourly = fc.trend_forecast(f.work_hours(), WORK, fx.WEEKDAY_TARGET)
-    return fc.hours_to_slots(f.template(), hourly, fc.slot_shares(f.slots(), fx.REFERENCE))
+    return fc.hours_to_slots(f.template(), hourly, fc.slot_shares(f.slots(fx.REFERENCE), fx.REFERENCE))
 
 
 @entry("F10_time_split")
@@ -729,12 +727,12 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("M1_minute_features")
 def _(f: Fixture) -> DataFrame:
-    return plans.minute_features(f.slots(), f.stations(), WORK, fx.WEEKDAY_TARGET)
+    return plans.minute_features(f.slots(WORK), f.stations(), WORK, fx.WEEKDAY_TARGET)
 
 
 @entry("M2_peak_features")
 def _(f: Fixture) -> DataFrame:
-    matrix = plans.minute_features(f.slots(), f.stations(), WORK, fx.WEEKDAY_TARGET)
+    matrix = plans.minute_features(f.slots(WORK), f.stations(), WORK, fx.WEEKDAY_TARGET)
     ordinary, _ = sl.split_stations(matrix, fx.SPECIAL)
     return sl.peak_hours(ordinary, fx.PEAK)
 
@@ -748,9 +746,9 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("M4_workday_features")
 def _(f: Fixture) -> DataFrame:
-    return plans.day_before_features(f.slots(), f.stations(), WORK, fx.WEEKDAY_TARGET, "zero")
+    return plans.day_before_features(f.slots(WORK), f.stations(), WORK, fx.WEEKDAY_TARGET, "zero")
 
 
 @entry("M5_weekend_features")
 def _(f: Fixture) -> DataFrame:
-    return plans.day_before_features(f.slots(), f.stations(), WEEKEND, fx.WEEKEND_TARGET, "self")
+    return plans.day_before_features(f.slots(WEEKEND), f.stations(), WEEKEND, fx.WEEKEND_TARGET, "self")

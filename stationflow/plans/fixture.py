@@ -6,6 +6,7 @@ slots and features all grow with the tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 
@@ -63,9 +64,12 @@ class Fixture:
             "concat('23:', stationID % 2, '0') AS end_time2",
         )
 
-    def slots(self) -> DataFrame:
-        """Flows of the slots that have taps."""
-        return self.kept_slots if self.kept_slots is not None else sl.slot_flows(self.taps())
+    def slots(self, days: Sequence[date] | None = None) -> DataFrame:
+        """Flows of the slots that have taps, of the given days (default: all)."""
+        if self.kept_slots is not None:
+            return self.kept_slots if days is None else sl.on_days(self.kept_slots, days)
+        taps = self.taps()
+        return sl.slot_flows(taps if days is None else sl.taps_on_days(taps, days))
 
     def stored(self) -> Fixture:
         """The same with the slots written once to the shared folder.
@@ -81,12 +85,12 @@ class Fixture:
     def filled(self, days: list[date] | None = None) -> DataFrame:
         """Gap-free slots of the given days (default: all) with calendar columns."""
         days = PLAN.days() if days is None else days
-        facts = sl.on_days(self.slots(), days)
-        return sl.with_calendar(sl.fill_gaps(facts, sl.station_grid(self.stations(), days)))
+        grid = sl.station_grid(self.stations(), days)
+        return sl.with_calendar(sl.fill_gaps(self.slots(days), grid))
 
     def filled_hours(self, days: list[date] | None = None) -> DataFrame:
         days = PLAN.days() if days is None else days
-        facts = sl.hour_rollup(sl.on_days(self.slots(), days))
+        facts = sl.hour_rollup(self.slots(days))
         grid = sl.station_grid(self.stations(), days, "hour")
         return sl.with_calendar(sl.fill_gaps(facts, grid, ("stationID", "date", "hour")))
 
@@ -105,7 +109,8 @@ class Fixture:
         return fc.template_for(self.stations(), day)
 
     def weekday_rule(self) -> DataFrame:
-        return fc.weekday_rule(self.slots(), self.template(), REFERENCE, WEEKDAY_SOURCE)
+        slots = self.slots([*REFERENCE, WEEKDAY_SOURCE])
+        return fc.weekday_rule(slots, self.template(), REFERENCE, WEEKDAY_SOURCE)
 
     def weekend_rule(self) -> DataFrame:
         days = sorted({*SUNDAYS, *[d for pair in PAIRS for d in pair], WEEKEND_SOURCE})
@@ -116,5 +121,5 @@ class Fixture:
     def same_as(self, day: date, target: date) -> DataFrame:
         """A forecast that repeats an earlier day, for the slots that day has."""
         flows = [F.col(f).cast("double").alias(f) for f in sl.FLOWS]
-        earlier = sl.on_days(self.slots(), [day]).select("stationID", "hour", "minute", *flows)
+        earlier = self.slots([day]).select("stationID", "hour", "minute", *flows)
         return fc.attach_to_template(self.template(target), earlier, fill=False)
