@@ -194,6 +194,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("P10_special_stations")
 def _(f: Fixture) -> DataFrame:
+    f = f.stored()
     ordinary, special = sl.split_stations(f.slots(), fx.SPECIAL)
     return ordinary.withColumn("part", F.lit("ordinary")).unionByName(
         special.withColumn("part", F.lit("special"))
