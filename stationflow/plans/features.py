@@ -30,12 +30,10 @@ def minute_features(
     filled = sl.fill_gaps(sl.on_days(slots, days), sl.station_grid(stations, days))
     base = sl.mask_days(sl.with_calendar(filled), [target])
     hidden = [target] if exclude_target else []
-    lagged = ft.change_features(ft.lag_features(base))
-    rows = ft.past_stats(lagged)
-    stats = ft.hour_statistics(
-        ft.slot_statistics(rows, exclude_days=hidden), exclude_days=hidden
-    )
-    return sl.drop_warm_up(ft.opening_flag(stats, stations), days, warm_up)
+    # Windows sort and buffer rows, so they come first, while rows are narrow.
+    stats = ft.hour_statistics(ft.slot_statistics(base, exclude_days=hidden), exclude_days=hidden)
+    rows = ft.past_stats(ft.change_features(ft.lag_features(stats)))
+    return sl.drop_warm_up(ft.opening_flag(rows, stations), days, warm_up)
 
 
 def hour_features(
