@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.session import checkpointed
+from stationflow.session import stored
 from stationflow.sources.schemas import FLOWS
 
 
@@ -59,13 +59,14 @@ def label_split(df: DataFrame, validation: date, target: date) -> DataFrame:
 def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Feature vector plus the columns to keep, cut from the feature plan.
 
-    Boosting reads its input once per tree level, so the vectors are written to
-    the shared checkpoint folder first; the features are not computed again.
+    Boosting starts many jobs from its input, so the vectors are written to the
+    shared folder first: a lost executor costs a re-read, never the features
+    again. Read back, they are split by size, whatever partitions wrote them.
     """
     vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(
         df.fillna(0, subset=list(features))
     )
-    return checkpointed(vectors.select(*keep, "features"))
+    return stored(vectors.select(*keep, "features"), "vectors")
 
 
 def best_round(errors: Sequence[float], patience: int) -> int:

@@ -59,19 +59,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/stationflow/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage there.
-
-    Lost executors then cost a re-read of these files, not a recomputation.
-    """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    Unlike a checkpoint it is columnar, so later reads prune columns and rows.
+    It cuts the lineage as a checkpoint does, and is columnar, so later reads
+    prune columns and rows.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
