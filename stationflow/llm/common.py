@@ -7,6 +7,8 @@ if that is longer, so a task's memory is bounded by its longest text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -173,7 +175,7 @@ def counters(df: DataFrame, columns: list, keys, width: int) -> np.ndarray:
             for k in np.flatnonzero(parts.any(axis=1)):
                 yield record(slice=pa.array([int(k)], pa.int32()), counts=pa.array([parts[k].tobytes()], pa.binary()))
 
-    def merge(key, batches):
+    def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLICE, np.int64)
         for batch in batches:
             for x in batch.column("counts"):

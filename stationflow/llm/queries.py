@@ -1,8 +1,10 @@
 """The queries of this package, by name, and their DuckDB twins."""
 
-from stationflow.llm import rules
+from stationflow.llm import fingerprints, passages, rules
 
 QUERIES = {
+    "op7_substring_dedup": passages.op7_substring_dedup,
     "op8_quality_rules": rules.op8_quality_rules,
+    "op10_fingerprints": fingerprints.op10_fingerprints,
 }
 ORACLES: dict[str, str] = {}

@@ -31,6 +31,8 @@ ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 LEAST = 1e-4
 FENCE = 4.0
+# Groups whose cutoffs (some 100 bytes each) are broadcast.
+BROADCAST_GROUPS = 100_000
 
 # Measure: (expression, least cutoff). A text fails above
 # max(least, q50 + FENCE * (q75 - q50)) of its language and source.
@@ -161,8 +163,11 @@ def judged(docs: DataFrame) -> DataFrame:
     fits = F.lit(True)
     for k, (e, _) in MEASURES.items():
         fits = fits & (F.expr(e) <= F.col(f"max_{k}"))
+    limits = stored(cutoffs(rows), "rule-cutoffs")
+    if limits.count() <= BROADCAST_GROUPS:
+        limits = F.broadcast(limits)  # else a hot source would be one task's
     return (
-        rows.join(cutoffs(rows), ["lang", "source"], "left")
+        rows.join(limits, ["lang", "source"], "left")
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & fits)
     )
