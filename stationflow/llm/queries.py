@@ -1,10 +1,12 @@
 """The queries of this package, by name, and their DuckDB twins."""
 
-from stationflow.llm import fingerprints, passages, rules
+from stationflow.llm import bpe, fingerprints, packing, passages, rules
 
 QUERIES = {
+    "op6_packing": packing.op6_packing,
     "op7_substring_dedup": passages.op7_substring_dedup,
     "op8_quality_rules": rules.op8_quality_rules,
+    "op9_bpe": bpe.op9_bpe,
     "op10_fingerprints": fingerprints.op10_fingerprints,
 }
 ORACLES: dict[str, str] = {}
