@@ -173,13 +173,15 @@ def counters(df: DataFrame, columns: list, keys, width: int) -> np.ndarray:
         if total.any():
             parts = total.reshape(slices, SLICE)
             for k in np.flatnonzero(parts.any(axis=1)):
-                yield record(slice=pa.array([int(k)], pa.int32()), counts=pa.array([parts[k].tobytes()], pa.binary()))
+                small = parts[k].astype(np.uint16 if parts[k].max() < 1 << 16 else np.uint64)
+                yield record(slice=pa.array([int(k)], pa.int32()), counts=pa.array([small.tobytes()], pa.binary()))
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLICE, np.int64)
         for batch in batches:
             for x in batch.column("counts"):
-                total += np.frombuffer(x.as_py(), np.int64)
+                raw = x.as_py()
+                total += np.frombuffer(raw, np.uint16 if len(raw) == 2 * SLICE else np.uint64).astype(np.int64)
         level = np.zeros(SLICE, np.uint8)
         some = total > 0
         level[some] = 1 + np.floor(np.log2(total[some])).astype(np.uint8)
