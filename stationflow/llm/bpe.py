@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import U, mix, record
+from stationflow.llm.common import U, mix, ranges, record
 
 NONE = np.int64(1 << 40)
 MAX_WORDS = 400_000
@@ -76,12 +76,6 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """start[0], ..., start[0] + length[0] - 1, start[1], ..."""
-    ends = np.cumsum(length)
-    return np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-
-
 class Vocabulary:
     """Tables of a BPE vocabulary. A symbol is a byte, or 256 + byte if it ends a word with an end mark."""
 

@@ -1,8 +1,9 @@
 """The queries of this package, by name, and their DuckDB twins."""
 
-from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, rules
+from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, rules, suffixes
 
 QUERIES = {
+    "op2_suffix_dedup": suffixes.op2_suffix_dedup,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op6_packing": packing.op6_packing,
     "op7_substring_dedup": passages.op7_substring_dedup,
