@@ -1,10 +1,11 @@
 """The queries of this package, by name, and their DuckDB twins."""
 
-from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, rules, suffixes
+from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, quality, rules, suffixes
 
 QUERIES = {
     "op2_suffix_dedup": suffixes.op2_suffix_dedup,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
+    "op5_quality_classifier": quality.op5_quality_classifier,
     "op6_packing": packing.op6_packing,
     "op7_substring_dedup": passages.op7_substring_dedup,
     "op8_quality_rules": rules.op8_quality_rules,
