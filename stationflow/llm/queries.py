@@ -1,8 +1,9 @@
 """The queries of this package, by name, and their DuckDB twins."""
 
-from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, quality, rules, suffixes
+from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, quality, rules, suffixes, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_suffix_dedup": suffixes.op2_suffix_dedup,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_quality_classifier": quality.op5_quality_classifier,
