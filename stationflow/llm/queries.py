@@ -1,10 +1,11 @@
 """The queries of this package, by name, and their DuckDB twins."""
 
-from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, quality, rules, suffixes, toxicity
+from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, privacy, quality, rules, suffixes, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_suffix_dedup": suffixes.op2_suffix_dedup,
+    "op3_pii": privacy.op3_pii,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_quality_classifier": quality.op5_quality_classifier,
     "op6_packing": packing.op6_packing,
