@@ -224,7 +224,7 @@ def id_hash(column) -> np.ndarray:
     return mix(column.cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(U))
 
 
-def split_by_filter(docs: DataFrame, column: str, bits: np.ndarray) -> tuple[DataFrame, DataFrame]:
+def split_by_filter(docs: DataFrame, column, bits: np.ndarray) -> tuple[DataFrame, DataFrame]:
     """(rows whose id may be in the filter, rows whose id surely is not)."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -235,5 +235,5 @@ def split_by_filter(docs: DataFrame, column: str, bits: np.ndarray) -> tuple[Dat
         at = mix(ids.fillna(-1).to_numpy().astype(np.int64).view(U)) & U(ID_BITS - 1)
         return pd.Series(shared.value[at.astype(np.int64)])
 
-    inside = maybe(F.col(column).cast("long"))
+    inside = maybe((F.col(column) if isinstance(column, str) else column).cast("long"))
     return docs.filter(inside), docs.filter(~inside)

@@ -33,9 +33,9 @@ LEVELS = 8
 # The cost of verifying a pair, in prefix entries read.
 VERIFY = 16.0
 # Shingle groups above this go through hubs first.
-SMALL_GROUP = 8
+SMALL_GROUP = 2
 # Hub rounds end when the pairs left are no more than this per prefix entry.
-PAIRS_PER_ENTRY = 4
+PAIRS_PER_ENTRY = 1
 HUB_ROUNDS = 8
 NO_ID = (1 << 63) - 1
 
@@ -130,7 +130,9 @@ def entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     rows = arrow_map(docs, ["doc_id", "text"], work, "token long, s1 long, doc_id long, n int, level int")
     one = rows.groupBy("token", "s1", "n", "level").agg(F.min("doc_id").alias("rep")).drop("s1")
-    common = one.groupBy("token").agg(F.count("*").alias("df")).filter("df >= 2")
+    # The least rep is asked for so that both sides read the same columns, hence one exchange.
+    common = one.groupBy("token").agg(F.count("*").alias("df"), F.min("rep").alias("least")).filter("df >= 2 AND least IS NOT NULL")
+    common = common.select("token", "df")
     return one.join(common, "token")
 
 
@@ -152,34 +154,31 @@ def adapted(rows: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+    """The pairs (a, b) whose whole sets are similar enough.
+
+    Texts travel rather than sets of hashes, which are larger and do not compress.
+    """
     pairs = stored(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    near, _ = split_by_filter(docs, "doc_id", id_filter(ids, "doc_id"))
 
-    def work(batch):
-        for first, last, offsets, data in blocks(batch.column("text")):
-            found, begin, _ = shingle_sets(data, offsets, width)
-            yield record(
-                id=batch.column("doc_id").slice(first, last - first),
-                tokens=pa.array([found[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)], pa.binary()),
-            )
+    def side(name: str, text: str) -> DataFrame:
+        near, _ = split_by_filter(docs, "doc_id", id_filter(pairs.select(name), name))
+        return near.select(F.col("doc_id").alias(name), F.col("text").alias(text))
 
-    near = near.join(ids.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left_semi")
-    sets = stored(arrow_map(near, ["doc_id", "text"], work, "id long, tokens binary"), "sets")
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    def sets(column):
+        for _, _, offsets, data in blocks(column):
+            found, begin, _ = shingle_sets(data, offsets, width)
+            yield from (found[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True))
 
     def compare(batch):
-        a, b = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-        good = []
-        for x, y in zip(a, b, strict=True):
-            x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(100 * both >= percent * (len(x) + len(y) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        for first in range(0, batch.num_rows, 256):
+            part, good = batch.slice(first, 256), []
+            for x, y in zip(sets(part.column("x")), sets(part.column("y")), strict=True):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return arrow_map(pairs.join(left, "a").join(right, "b"), ["a", "b", "x", "y"], compare, "a long, b long")
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    return arrow_map(both, ["a", "b", "x", "y"], compare, "a long, b long")
 
 
 def labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -209,7 +208,7 @@ def similar_sizes(percent: int):
 
 
 def hub_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each member of a large group with the group's hub, another one each turn."""
+    """Each member of a large group with the hub of most of its groups; other hubs each turn."""
     big = rows.filter(F.col("size") > SMALL_GROUP)
     order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
     hubs = big.groupBy("token").agg(F.min(F.struct(order.alias("o"), "rep", "n", "component")).alias("h"))
@@ -218,7 +217,8 @@ def hub_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
         .filter("component <> h.component")
         .select(F.col("rep").alias("a"), F.col("h.rep").alias("b"), F.col("n").alias("n_a"), F.col("h.n").alias("n_b"))
         .filter(similar_sizes(percent))
-        .select("a", "b").distinct()
+        .groupBy("a", "b").agg(F.count("*").alias("shared"))
+        .groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
     )
 
 
@@ -275,5 +275,25 @@ def joined(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all their columns: of each component the document of the smallest id.
+
+    Of several rows of one id one stays. Texts without words stay.
+    """
+    found = joined(docs, width, percent).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.coalesce("component_id", F.lit(NO_ID)).alias("__of"))
+    found = stored(found, "near-duplicates")
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    gone = found.filter("__id <> __of").select("__id").distinct()
+    touched, clean = split_by_filter(docs, own, id_filter(gone, "__id"))
+    kept = clean.unionByName(touched.join(gone, own == F.col("__id"), "left_anti"))
+    several = found.filter(f"__id = __of AND __id <> {NO_ID}").groupBy("__id").agg(F.count("*").alias("__n")).filter("__n > 1")
+    if not several.head(1):
+        return kept
+    touched, clean = split_by_filter(kept, own, id_filter(several, "__id"))
+    touched = touched.join(several, own == F.col("__id"), "left")
+    repeated = touched.filter("__n IS NOT NULL").dropDuplicates(["__id"])
+    return clean.unionByName(touched.filter("__n IS NULL").unionByName(repeated).select(docs.columns))
+
+
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     return joined(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -122,27 +122,27 @@ def entity(span: Column) -> Column:
 
 
 def with_base(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key`` and ``_base``; needs a column ``text``, without nulls."""
-    return docs.withColumn("_base", base_spans(F.col("text"))).withColumn("_key", F.monotonically_increasing_id())
+    """``docs`` with ``__pii_key`` and ``__pii_base``; needs a column ``text``, without nulls."""
+    return docs.withColumn("__pii_base", base_spans(F.col("text"))).withColumn("__pii_key", F.monotonically_increasing_id())
 
 
 def revealing(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """_key and its terms to remove and to generalise (lists no longer than the text).
+    """__pii_key and its terms to remove and to generalise (lists no longer than the text).
 
-    ``found`` has _key, _base and the texts that hold entities; ``texts`` all texts.
+    ``found`` has __pii_key, __pii_base and the texts that hold entities; ``texts`` all texts.
     """
     pair = F.explode(
         F.array_distinct(
             F.flatten(
                 F.transform(
-                    F.col("_base"),
+                    F.col("__pii_base"),
                     lambda s: F.transform(nearby(F.col("text"), s), lambda w: F.struct(entity(s).alias("e"), w.alias("t"))),
                 )
             )
         )
     )
-    pairs = stored(found.filter(F.size("_base") > 0).select("_key", pair.alias("p")).select("_key", "p.e", "p.t"), "private-pairs")
-    entities = found.filter(F.size("_base") > 0).select(F.explode(F.array_distinct(F.transform("_base", entity))).alias("e"))
+    pairs = stored(found.filter(F.size("__pii_base") > 0).select("__pii_key", pair.alias("p")).select("__pii_key", "p.e", "p.t"), "private-pairs")
+    entities = found.filter(F.size("__pii_base") > 0).select(F.explode(F.array_distinct(F.transform("__pii_base", entity))).alias("e"))
     holders = entities.groupBy("e").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= SUPPORT)
     together = pairs.groupBy("e", "t").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= SUPPORT)
     words = F.explode(F.array_distinct(F.split(F.lower(F.col("text")), NOT_TERM)))
@@ -159,10 +159,10 @@ def revealing(found: DataFrame, texts: DataFrame) -> DataFrame:
     )
     return (
         pairs.join(judged, ["e", "t"])
-        .groupBy("_key", "t").agg(F.min("kind").alias("kind"))
-        .groupBy("_key").agg(
-            F.collect_set(F.when(F.col("kind") == 4, F.col("t"))).alias("_remove"),
-            F.collect_set(F.when(F.col("kind") == 5, F.col("t"))).alias("_generalise"),
+        .groupBy("__pii_key", "t").agg(F.min("kind").alias("kind"))
+        .groupBy("__pii_key").agg(
+            F.collect_set(F.when(F.col("kind") == 4, F.col("t"))).alias("__pii_remove"),
+            F.collect_set(F.when(F.col("kind") == 5, F.col("t"))).alias("__pii_generalise"),
         )
     )
 
@@ -173,11 +173,11 @@ def term_spans(text: Column, terms: Column, kind: int) -> Column:
 
 
 def with_spans(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """``found`` with ``_spans``: base spans and those of revealing terms, by start, then kind."""
+    """``found`` with ``__pii_spans``: base spans and those of revealing terms, by start, then kind."""
     terms = stored(revealing(found, texts), "private-terms")
-    extra = F.concat(term_spans(F.col("text"), F.col("_remove"), 4), term_spans(F.col("text"), F.col("_generalise"), 5))
-    both = F.when(F.col("_remove").isNotNull(), F.sort_array(F.concat("_base", extra))).otherwise(F.col("_base"))
-    return found.join(terms, "_key", "left").withColumn("_spans", both).drop("_remove", "_generalise")
+    extra = F.concat(term_spans(F.col("text"), F.col("__pii_remove"), 4), term_spans(F.col("text"), F.col("__pii_generalise"), 5))
+    both = F.when(F.col("__pii_remove").isNotNull(), F.sort_array(F.concat("__pii_base", extra))).otherwise(F.col("__pii_base"))
+    return found.join(terms, "__pii_key", "left").withColumn("__pii_spans", both).drop("__pii_remove", "__pii_generalise")
 
 
 def written(spans: Column) -> Column:
@@ -194,13 +194,13 @@ def counted(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # Only texts that hold something are kept for the second look.
-    kept = with_base(rows).withColumn("text", F.when(F.size("_base") > 0, F.col("text")))
+    kept = with_base(rows).withColumn("text", F.when(F.size("__pii_base") > 0, F.col("text")))
     found = with_spans(stored(kept, "private-spans"), rows.select("text"))
     return found.select(
         "doc_id",
-        *[F.size(F.filter("_base", is_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])],
-        F.sha2(written(F.col("_base")).cast("binary"), 256).alias("base_sha256"),
-        written(F.col("_spans")).alias("spans"),
+        *[F.size(F.filter("__pii_base", is_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])],
+        F.sha2(written(F.col("__pii_base")).cast("binary"), 256).alias("base_sha256"),
+        written(F.col("__pii_spans")).alias("spans"),
     )
 
 
@@ -223,8 +223,8 @@ def sanitised(docs: DataFrame) -> DataFrame:
 
     Null texts stay null.
     """
-    marked = stored(with_base(docs.withColumn("_text", F.col("text")).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))), "private-documents")
-    out = with_spans(marked, marked.select("text")).withColumn("text", F.when(F.col("_text").isNotNull(), replaced(F.col("text"), F.col("_spans"))))
+    marked = stored(with_base(docs.withColumn("__pii_text", F.col("text")).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))), "private-documents")
+    out = with_spans(marked, marked.select("text")).withColumn("text", F.when(F.col("__pii_text").isNotNull(), replaced(F.col("text"), F.col("__pii_spans"))))
     return out.select(docs.columns)
 
 

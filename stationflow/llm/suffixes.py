@@ -23,6 +23,7 @@ from __future__ import annotations
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +33,9 @@ from stationflow.session import stored
 
 LENGTH = 100
 GRAM = 24
-# Pieces of one key above which its windows are keyed one by one.
-HOT_KEY = 1000
+# A key's windows are keyed one by one if it has more pieces than ``HOT_SHARE`` times a task's mean
+# (and than ``HOT_LEAST``), or than a sort block should hold.
+HOT_SHARE, HOT_LEAST, HOT_MOST = 3, 1000, 20_000
 # Distinct pieces that a task remembers; a full memory starts anew.
 MEMORY = 500_000
 SORT_BLOCK = 1 << 20
@@ -215,11 +217,11 @@ def sorted_directly(at: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return at
 
 
-def suffix_array(text: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Suffixes of ``text`` (bytes from 1, 0 between pieces and at the end) by their first ``LENGTH`` bytes.
+def suffix_array(text: np.ndarray, keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The ``wanted`` suffixes of ``text`` (bytes from 1, 0 between pieces and at the end) by their first ``LENGTH`` bytes.
 
-    Two stages: direct sorting of those smaller than their successors, then
-    induction of the rest, bucket by bucket.
+    Two stages: direct sorting of suffixes smaller than their successors, as far
+    as wanted ones are or lead to them, then induction of the rest, bucket by bucket.
     """
     n = len(text)
     step = np.zeros(n, np.int8)
@@ -227,7 +229,11 @@ def suffix_array(text: np.ndarray, keys: np.ndarray) -> np.ndarray:
     turn = np.minimum.accumulate(np.where(step != 0, np.arange(n), n - 1)[::-1])[::-1]
     smaller = step[turn] > 0
     smaller[text == 0] = False
-    direct = sorted_directly(np.flatnonzero(smaller), keys)
+    # A larger suffix is induced from the next smaller one to its right.
+    to_right = np.minimum.accumulate(np.where(smaller, np.arange(n), n)[::-1])[::-1]
+    needed = np.zeros(n + 1, bool)
+    needed[to_right[wanted]] = True
+    direct = sorted_directly(np.flatnonzero(smaller & needed[:n]), keys)
     edges = np.searchsorted(text[direct], np.arange(257))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
     induced[0] = [np.flatnonzero(text == 0)]
@@ -251,32 +257,25 @@ def suffix_array(text: np.ndarray, keys: np.ndarray) -> np.ndarray:
         for k, a in enumerate(cuts):
             b = cuts[k + 1] if k + 1 < len(cuts) else len(byte)
             induced[byte[a]].append(before[a:b])
-    return np.concatenate(whole)
+    rows = np.concatenate(whole)
+    return rows[wanted[rows]]
 
 
-def common_prefixes(suffixes: np.ndarray, text: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Common prefix of each suffix with the one before it, up to the end of a piece or ``LENGTH``."""
-    n = len(text)
-    zero = np.flatnonzero(text == 0)
-    room = zero[np.searchsorted(zero, np.arange(n))] - np.arange(n)
-    a, b = suffixes[:-1], suffixes[1:]
-    most = np.minimum(np.minimum(room[a], room[b]), LENGTH)
+def common_prefixes(suffixes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Common prefix of each suffix with the one before it, up to ``LENGTH``; none ends sooner."""
     out = np.zeros(len(suffixes), np.int64)
-    live = np.flatnonzero(most > 0)
+    live = np.arange(len(suffixes) - 1)
     for depth in range(0, LENGTH, 8):
-        differ = keys[np.minimum(a[live] + depth, n - 1)] ^ keys[np.minimum(b[live] + depth, n - 1)]
+        differ = keys[suffixes[live] + depth] ^ keys[suffixes[live + 1] + depth]
         same = differ == 0
-        ends = live[~same]
+        ends, left = live[~same], differ[~same]
         lead = np.zeros(len(ends), np.int64)
-        left = differ[~same]
         for k in range(1, 8):
             lead += left < (U(1) << U(64 - 8 * k))
         out[ends + 1] = depth + lead
         live = live[same]
         out[live + 1] = depth + 8
-        live = live[most[live] > depth + 8]
-    out[1:] = np.minimum(out[1:], most)
-    return out
+    return np.minimum(out, LENGTH)
 
 
 def repeated(contents: list[bytes], doc_ids: np.ndarray, starts: np.ndarray):
@@ -284,8 +283,9 @@ def repeated(contents: list[bytes], doc_ids: np.ndarray, starts: np.ndarray):
     sizes = np.array([len(c) + 1 for c in contents])
     text = np.frombuffer(b"\xff".join(contents) + b"\xff", np.uint8) + np.uint8(1)  # no UTF-8 byte is 255
     keys = eights(text)
-    suffixes = suffix_array(text, keys)
-    linked = common_prefixes(suffixes, text, keys) >= LENGTH
+    ends = np.repeat(np.cumsum(sizes) - 1, sizes)
+    suffixes = suffix_array(text, keys, ends - np.arange(len(text)) >= LENGTH)
+    linked = common_prefixes(suffixes, np.append(keys, np.zeros(8, U))) >= LENGTH
     group = np.cumsum(~linked)
     member = linked.copy()
     member[:-1] |= linked[1:]
@@ -345,10 +345,12 @@ def spans_of(rows: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id and its spans (start, end) in bytes, overlapping or not."""
     rows = stored(pieces(docs), "pieces")
-    hot = rows.filter("bytes IS NOT NULL").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_KEY).select("key")
-    hot = stored(hot, "hot-keys")
+    sent = rows.filter("bytes IS NOT NULL")
+    share = sent.count() // int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bound = min(HOT_MOST, max(HOT_LEAST, HOT_SHARE * share))
+    hot = stored(sent.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > bound).select("key"), "hot-keys")
     plain = rows.join(hot, "key", "left_anti")
-    cut = stored(singles(rows.filter("bytes IS NOT NULL").join(hot, "key", "left_semi")), "single-windows")
+    cut = stored(singles(sent.join(hot, "key", "left_semi")), "single-windows")
     copies = rows.filter("bytes IS NULL").join(hot, "key", "left_semi").select(plain.columns)
     spans = spans_of(plain.unionByName(copies).unionByName(cut))
     return spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
@@ -402,6 +404,34 @@ def removed(docs: DataFrame) -> DataFrame:
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
+def cut_texts(docs: DataFrame) -> DataFrame:
+    """``docs``, all their columns, without the repeated strings in ``text``.
+
+    A character that would be cut in two goes whole. Null texts stay null.
+    """
+    found = stored(repeats(normal(docs)), "repeated-spans").select(F.col("doc_id").alias("__cut_id"), F.col("spans").alias("__cut_spans"))
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    touched, clean = split_by_filter(docs, own, id_filter(found, "__cut_id"))
+
+    @F.pandas_udf("string")
+    def rest(texts, spans):
+        out = []
+        for text, found in zip(texts, spans, strict=True):
+            if text is None or found is None:
+                out.append(text)
+                continue
+            raw, parts, at = text.encode(), [], 0
+            for a, b in merged((s["start"], s["end"]) for s in found):
+                parts.append(raw[at:a].decode("utf-8", "ignore"))
+                at = b
+            out.append("".join([*parts, raw[at:].decode("utf-8", "ignore")]))
+        return pd.Series(out, dtype=object)
+
+    touched = touched.join(found, own == F.col("__cut_id"), "left")
+    touched = touched.withColumn("text", rest(F.col("text").cast("string"), "__cut_spans"))
+    return touched.select(docs.columns).unionByName(clean)
+
+
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return removed(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
