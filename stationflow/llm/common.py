@@ -172,10 +172,11 @@ def counters(df: DataFrame, columns: list, keys, width: int) -> np.ndarray:
     slices = width // SLICE
 
     def count(batches):
-        total = np.zeros(width, np.int64)
+        total = np.zeros(width, np.uint32)
         for batch in batches:
             for found in keys(batch):
-                total += np.bincount((found & U(width - 1)).astype(np.int64), minlength=width)
+                at, n = np.unique(found & U(width - 1), return_counts=True)
+                total[at.astype(np.int64)] += n.astype(np.uint32)
         if total.any():
             parts = total.reshape(slices, SLICE)
             for k in np.flatnonzero(parts.any(axis=1)):

@@ -12,6 +12,8 @@ shared shingles before verification. A pair must share the lesser of its two l.
 - Large groups of near copies are not paired off: their members are first
   verified against a few hubs and merged into components; only pairs of
   different components remain to be joined and verified.
+- A pair goes on to verification if its sets' parity signatures differ in no more
+  bits than similar sets may differ in shingles, which no similar pair fails.
 - Verification compares whole shingle sets.
 """
 
@@ -28,15 +30,17 @@ from stationflow.llm.common import (
 from stationflow.llm.components import components
 from stationflow.session import stored
 
-SKETCH = 1 << 22
+SKETCH = 1 << 24
+# Bits of a set's parity signature.
+PARITY = 1024
 LEVELS = 8
 # The cost of verifying a pair, in prefix entries read.
 VERIFY = 16.0
 # Shingle groups above this go through hubs first.
 SMALL_GROUP = 2
-# Hub rounds end when the pairs left are no more than this per prefix entry.
+# Hub rounds end when the pairs left are no more than this per prefix entry, or hardly fewer than before.
 PAIRS_PER_ENTRY = 1
-HUB_ROUNDS = 8
+LEAST_PROGRESS = 0.7
 NO_ID = (1 << 63) - 1
 
 
@@ -87,16 +91,27 @@ def digests(found: np.ndarray, begin: np.ndarray):
     return out
 
 
+def parities(found: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """For each text a bit per class of hashes: whether its set has an odd number of them."""
+    bit = (found >> U(40)).astype(np.int64) % PARITY
+    odd = np.bincount(owner * PARITY + bit, minlength=n * PARITY).reshape(n, PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1)
+
+
 def sized(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, s1, s2 (digest of the set), n (its size)."""
+    """doc_id, s1, s2 (digest of the set), n (its size), parity (its signature)."""
 
     def work(batch):
         for first, last, offsets, data in blocks(batch.column("text")):
-            found, begin, _ = shingle_sets(data, offsets, width)
+            found, begin, owner = shingle_sets(data, offsets, width)
             s1, s2 = digests(found, begin)
-            yield record(doc_id=batch.column("doc_id").slice(first, last - first), s1=s1, s2=s2, n=np.diff(begin))
+            signs = parities(found, owner, last - first)
+            yield record(
+                doc_id=batch.column("doc_id").slice(first, last - first), s1=s1, s2=s2, n=np.diff(begin),
+                parity=pa.array([x.tobytes() for x in signs], pa.binary()),
+            )
 
-    return arrow_map(docs, ["doc_id", "text"], work, "doc_id long, s1 long, s2 long, n long")
+    return arrow_map(docs, ["doc_id", "text"], work, "doc_id long, s1 long, s2 long, n long, parity binary")
 
 
 def entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -153,12 +168,30 @@ def adapted(rows: DataFrame) -> DataFrame:
     return rows.join(chosen, "rep").filter("level <= l").select("token", "rep", "n", "l")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def plausible(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures leave room for similarity.
+
+    Sets of similarity t differ in at most (1 - t) / (1 + t) of their summed
+    sizes, and their signatures in no more bits than that.
+    """
+
+    def compare(batch):
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARITY // 8) for c in ("x", "y"))
+        apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        yield batch.select(["a", "b"]).filter(pa.array(apart * (100 + percent) <= both * (100 - percent)))
+
+    a = sizes.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("parity").alias("x"))
+    b = sizes.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("parity").alias("y"))
+    return arrow_map(pairs.join(a, "a").join(b, "b"), ["a", "b", "n_a", "n_b", "x", "y"], compare, "a long, b long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough.
 
     Texts travel rather than sets of hashes, which are larger and do not compress.
     """
-    pairs = stored(pairs, "pairs")
+    pairs = stored(plausible(pairs, sizes, percent), "pairs")
 
     def side(name: str, text: str) -> DataFrame:
         near, _ = split_by_filter(docs, "doc_id", id_filter(pairs.select(name), name))
@@ -236,21 +269,21 @@ def candidate_pairs(rows: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def class_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def class_components(docs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, component) of the classes that are linked with another class."""
     rows = stored(adapted(stored(entries(docs, width, percent), "prefixes")), "prefixes-chosen")
     bound = PAIRS_PER_ENTRY * rows.count()
-    links, found = None, None
-    for turn in range(HUB_ROUNDS):
+    links, found, turn, before = None, None, 0, float("inf")
+    while True:
         left = stored(mixed(labelled(rows, found)), "prefixes-left")
-        if pairs_left(left) <= bound:
+        now = pairs_left(left)
+        if now <= bound or now > LEAST_PROGRESS * before:
             break
-        fresh = stored(verified(hub_pairs(left, turn, percent), docs, width, percent), "links")
+        fresh = stored(verified(hub_pairs(left, turn, percent), docs, sizes, width, percent), "links")
         links = fresh if links is None else links.union(fresh)
         found = stored(components(links), "components")
-    else:
-        left = stored(mixed(labelled(rows, found)), "prefixes-left")
-    fresh = verified(candidate_pairs(left, percent), docs, width, percent)
+        turn, before = turn + 1, now
+    fresh = verified(candidate_pairs(left, percent), docs, sizes, width, percent)
     return stored(components(fresh if links is None else links.union(fresh)), "components")
 
 
@@ -265,7 +298,7 @@ def joined(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     docs = normal(docs)
     rows = stored(sized(docs, width), "shingle-sizes")
     classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
-    found = class_components(docs, width, percent).withColumnRenamed("id", "rep")
+    found = class_components(docs, rows, width, percent).withColumnRenamed("id", "rep")
     classes = classes.join(found, "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     some = rows.filter("n > 0").join(classes, ["s1", "s2"]).select("doc_id", "n", "component")
     none = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))
