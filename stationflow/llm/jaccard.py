@@ -311,12 +311,13 @@ def joined(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all their columns: of each component the document of the smallest id.
 
-    Of several rows of one id one stays. Texts without words stay.
+    Of several rows of one id one stays. Texts without words stay, and so do rows
+    of a null id: no id tells a copy among them from other texts.
     """
     found = joined(docs, width, percent).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.coalesce("component_id", F.lit(NO_ID)).alias("__of"))
     found = stored(found, "near-duplicates")
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    gone = found.filter("__id <> __of").select("__id").distinct()
+    gone = found.filter(f"__id <> __of AND __id <> {NO_ID}").select("__id").distinct()
     touched, clean = split_by_filter(docs, own, id_filter(gone, "__id"))
     kept = clean.unionByName(touched.join(gone, own == F.col("__id"), "left_anti"))
     several = found.filter(f"__id = __of AND __id <> {NO_ID}").groupBy("__id").agg(F.count("*").alias("__n")).filter("__n > 1")
