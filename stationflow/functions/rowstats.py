@@ -92,12 +92,16 @@ def _output(n: int, group: RowGroup) -> list[str]:
             f"sqrt(_square{n}) / abs({total}) AS {group.shares}_std",
             f"least({low}, {high}) AS {group.shares}_min",
             f"greatest({low}, {high}) AS {group.shares}_max",
-            f"CASE WHEN _square{n} > 0 THEN _cube{n} / (_square{n} * sqrt(_square{n})) "
+            f"CASE WHEN _square{n} > {NOISE} * _mean{n} * _mean{n} THEN _cube{n} / (_square{n} * sqrt(_square{n})) "
             f"ELSE 0D END AS {group.shares}_skew",
         ]
     return made
 
 
+# A variance below this share of the squared mean is rounding noise of equal values.
+NOISE = "1e-24D"
+
+
 def with_row_stats(
     df: DataFrame, groups: Sequence[RowGroup], keep: Sequence[str] | None = None
 ) -> DataFrame:

@@ -15,6 +15,10 @@ from stationflow.session import stored
 from stationflow.sources.schemas import FLOWS
 
 
+# Stations on either side that are a station's context.
+WINDOW = 5
+
+
 @dataclass(frozen=True)
 class BoostSettings:
     """Boosting parameters; fewer rounds with a larger step than a native library."""
@@ -133,14 +137,21 @@ def station_vectors(
 ) -> DataFrame:
     """Word vectors of stations, with a line as a sentence and a station as a word.
 
-    Lines longer than ``sentence`` stations are cut there, as Word2Vec does
-    itself, so no line is gathered whole. The model Spark returns holds one
-    vector per station, and its size follows the network, not the taps.
+    Lines longer than ``sentence`` stations are cut, as Word2Vec does itself, so
+    no line is gathered whole. Pieces overlap by the window, so that stations on
+    either side of a cut are still each other's context. The model Spark returns
+    holds one vector per station, and its size follows the network, not the taps.
     """
-    piece = F.floor(F.col("linePos") / sentence)
+    overlap = min(WINDOW, sentence // 2)
+    step = sentence - overlap
+    last = F.floor(F.col("linePos") / step)
+    # The head of a piece also ends the one before it.
+    also = (last > 0) & (F.col("linePos") % step < overlap)
+    piece = F.explode(F.when(also, F.array(last - 1, last)).otherwise(F.array(last)))
     ordered = F.sort_array(F.collect_list(F.struct("linePos", F.col("stationID").cast("string").alias("word"))))
     lines = (
-        stations.groupBy("lineID", piece.alias("piece"))
+        stations.withColumn("piece", piece)
+        .groupBy("lineID", "piece")
         .agg(ordered.alias("cells"))
         .select(F.col("cells.word").alias("words"))
     )
@@ -148,6 +159,7 @@ def station_vectors(
         vectorSize=size,
         minCount=1,
         maxSentenceLength=sentence,
+        windowSize=WINDOW,
         numPartitions=partitions,
         maxIter=partitions,
         inputCol="words",

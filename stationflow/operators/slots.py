@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions import calendar as cal
-from stationflow.sources.schemas import FLOWS, HOUR_KEYS, SLOT_KEYS
+from stationflow.sources.schemas import FLOWS, HOUR_KEYS, SLOT_KEYS, TAP_DAY
 
 DEVICE_COUNTS = (
     "nuni_deviceID_of_stationID",
@@ -45,17 +45,20 @@ def with_slot_keys(taps: DataFrame, ts: str = "time") -> DataFrame:
     )
 
 
-def with_calendar(df: DataFrame) -> DataFrame:
+def with_calendar(df: DataFrame, first: date | None = None) -> DataFrame:
     """Day of month, weekday, weekend flag and days since the first, from ``date``.
 
     They are functions of the date alone, so rows without taps get them too.
+    ``first`` is the first day of the data; without it days count from the first
+    of their month.
     """
+    start = f"DATE'{first}'" if first else "trunc(date, 'MM')"
     return df.selectExpr(
         "*",
         "dayofmonth(date) AS day",
         "weekday(date) + 1 AS week",
         "CAST(weekday(date) >= 5 AS INT) AS weekend",
-        "dayofmonth(date) - 1 AS day_since_first",
+        f"datediff(date, {start}) AS day_since_first",
     )
 
 
@@ -77,7 +80,7 @@ def slot_flows(taps: DataFrame) -> DataFrame:
     return slot_flows_by(with_slot_keys(taps), SLOT_KEYS)
 
 
-def slot_table(taps: DataFrame) -> DataFrame:
+def slot_table(taps: DataFrame, first: date | None = None) -> DataFrame:
     """Flows plus distinct devices per station, hour and slot, each within a day.
 
     Taps are combined to one row per slot and device first. A device's earlier
@@ -107,7 +110,7 @@ def slot_table(taps: DataFrame) -> DataFrame:
         f"sum(new_today) OVER (PARTITION BY stationID, date) AS {DEVICE_COUNTS[0]}",
         f"sum(new_hour) OVER (PARTITION BY stationID, date, hour) AS {DEVICE_COUNTS[1]}",
     )
-    return with_calendar(counted).select(
+    return with_calendar(counted, first).select(
         "stationID", "date", "day", "week", "weekend", "hour", "minute",
         *FLOWS, *DEVICE_COUNTS, "day_since_first",
     )
@@ -171,9 +174,9 @@ def union_days(*tables: DataFrame) -> DataFrame:
     return stacked
 
 
-def append_template(slots: DataFrame, template: DataFrame) -> DataFrame:
+def append_template(slots: DataFrame, template: DataFrame, first: date | None = None) -> DataFrame:
     """Add the slots to forecast as rows; columns the template lacks become 0."""
-    rows = with_calendar(with_slot_keys(template, "startTime")).drop("startTime", "endTime")
+    rows = with_calendar(with_slot_keys(template, "startTime"), first).drop("startTime", "endTime")
     return slots.unionByName(rows, allowMissingColumns=True).fillna(0)
 
 
@@ -185,16 +188,29 @@ def rejoin_stations(forecast: DataFrame, special: DataFrame) -> DataFrame:
 def taps_on_days(taps: DataFrame, days: Sequence[date]) -> DataFrame:
     """Taps of the given days.
 
-    The bounds on the raw time reach the scan and skip whole row groups; the
-    list of days then takes out the days between.
+    One range on the raw time per run of consecutive days reaches the scan and
+    skips whole row groups between them; where the files lie in folders by day,
+    the folders of other days are not read at all.
     """
     if not days:
         return taps.filter("FALSE")
-    first, end = min(days), max(days) + timedelta(1)
-    return taps.filter(
-        f"time >= TIMESTAMP_NTZ'{first} 00:00:00' AND time < TIMESTAMP_NTZ'{end} 00:00:00'"
-        f" AND {cal.in_days(days, 'to_date(time)')}"
+    ranges = " OR ".join(
+        f"(time >= TIMESTAMP_NTZ'{first} 00:00:00' AND time < TIMESTAMP_NTZ'{last + timedelta(1)} 00:00:00')"
+        for first, last in day_runs(days)
     )
+    taken = taps.filter(ranges)
+    return taken.filter(cal.in_days(days, TAP_DAY)) if TAP_DAY in taps.columns else taken
+
+
+def day_runs(days: Sequence[date]) -> list[tuple[date, date]]:
+    """First and last day of each run of consecutive days."""
+    runs: list[tuple[date, date]] = []
+    for day in sorted(set(days)):
+        if runs and day == runs[-1][1] + timedelta(1):
+            runs[-1] = (runs[-1][0], day)
+        else:
+            runs.append((day, day))
+    return runs
 
 
 def on_days(df: DataFrame, days: Sequence[date]) -> DataFrame:
@@ -236,12 +252,16 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
-def slot_series(df: DataFrame, days: Sequence[date], keys: Sequence[str]) -> DataFrame:
+def slot_series(
+    df: DataFrame, days: Sequence[date], keys: Sequence[str], first: date | None = None
+) -> DataFrame:
     """Per key, the flows ordered by day: one entry for each listed day at most.
 
     Flows are summed to one row per key and day first, so an array is never
-    longer than the day list, whatever the data holds.
+    longer than the day list, whatever the data holds. Days are numbered from 1
+    at ``first`` (default: the first listed).
     """
+    start = f"DATE'{first or min(days)}'" if first or days else "c.date"
     daily = (
         on_days(df, days)
         .groupBy(*keys, "date")
@@ -251,7 +271,7 @@ def slot_series(df: DataFrame, days: Sequence[date], keys: Sequence[str]) -> Dat
     )
     return daily.select(
         *keys,
-        F.transform("cells", lambda c: F.dayofmonth(c["date"])).alias("days"),
+        F.expr(f"transform(cells, c -> datediff(c.date, {start}) + 1)").alias("days"),
         F.col("cells.inNums").alias("in_series"),
         F.col("cells.outNums").alias("out_series"),
     )

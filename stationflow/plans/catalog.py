@@ -23,7 +23,7 @@ from stationflow.plans import models
 from stationflow.plans.fixture import PLAN, Fixture
 from stationflow.session import scratch_path, tuned
 from stationflow.sources import readers, writers
-from stationflow.sources.schemas import FLOWS, FORECAST_COLUMNS, HOUR_KEYS, SLOT_KEYS
+from stationflow.sources.schemas import FLOWS, FORECAST_COLUMNS, HOUR_KEYS, SLOT_KEYS, TAP_DAY
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -63,7 +63,7 @@ def added(df: DataFrame, keys, *prefixes: str) -> DataFrame:
 def _(f: Fixture) -> DataFrame:
     path = scratch_path(f.spark, "taps")
     writers.write_taps(f.taps(), path)
-    return readers.read_taps(f.spark, path)
+    return readers.read_taps(f.spark, path, by_day=True).drop(TAP_DAY)
 
 
 @entry("S2_scan_by_extension")
@@ -79,7 +79,7 @@ def _(f: Fixture) -> DataFrame:
 def _(f: Fixture) -> DataFrame:
     path = scratch_path(f.spark, "slots")
     writers.write_slots(f.slots(), path)
-    return sl.on_days(readers.read_slots(f.spark, path), fx.SUNDAYS).select(*SLOT_COLUMNS)
+    return readers.read_slots(f.spark, path).select(*SLOT_COLUMNS)
 
 
 @entry("S4_read_in_out_tables")
@@ -164,7 +164,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("P4_days_since_first")
 def _(f: Fixture) -> DataFrame:
-    return sl.with_calendar(f.slots()).select(*SLOT_KEYS, "day_since_first")
+    return sl.with_calendar(f.slots(), PLAN.start).select(*SLOT_KEYS, "day_since_first")
 
 
 @entry("P5_day_in_list")
@@ -194,11 +194,8 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("P10_special_stations")
 def _(f: Fixture) -> DataFrame:
-    f = f.stored()
-    ordinary, special = sl.split_stations(f.slots(), fx.SPECIAL)
-    return ordinary.withColumn("part", F.lit("ordinary")).unionByName(
-        special.withColumn("part", F.lit("special"))
-    )
+    special = F.col("stationID").isin(list(fx.SPECIAL))
+    return f.slots().withColumn("part", F.when(special, "special").otherwise("ordinary"))
 
 
 @entry("P11_peak_hours")
@@ -319,7 +316,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("J10_forecast_join")
 def _(f: Fixture) -> DataFrame:
-    f = f.stored()
+    f = f.stored(fx.RULE_DAYS)
     return fc.join_forecasts([f.weekday_rule(), f.same_as(fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET)])
 
 
@@ -404,12 +401,12 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("A12_slot_series")
 def _(f: Fixture) -> DataFrame:
-    return _joined_series(sl.slot_series(f.filled(fx.REST_AND_SOURCE), fx.REST_AND_SOURCE, ft.SLOT_SERIES))
+    return _joined_series(sl.slot_series(f.filled(fx.REST_AND_SOURCE), fx.REST_AND_SOURCE, ft.SLOT_SERIES, PLAN.start))
 
 
 @entry("A12_hour_series")
 def _(f: Fixture) -> DataFrame:
-    return _joined_series(sl.slot_series(f.slots(WEEKEND), WEEKEND, ft.HOUR_SERIES))
+    return _joined_series(sl.slot_series(f.slots(WEEKEND), WEEKEND, ft.HOUR_SERIES, PLAN.start))
 
 
 def _joined_series(df: DataFrame) -> DataFrame:
@@ -500,14 +497,15 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("O2_union_days")
 def _(f: Fixture) -> DataFrame:
-    days = [sl.taps_on_days(f.taps(), [d]) for d in PLAN.on(26, 28, 1)]
-    return sl.slot_flows(sl.union_days(*days))
+    path = scratch_path(f.spark, "daily-taps")
+    writers.write_taps(f.taps(), path)
+    return sl.slot_flows(readers.read_taps(f.spark, path, by_day=True))
 
 
 @entry("O3_append_template")
 def _(f: Fixture) -> DataFrame:
     past = sl.drop_days(f.slot_table(), [fx.WEEKDAY_TARGET])
-    return sl.append_template(past, f.template())
+    return sl.append_template(past, f.template(), PLAN.start)
 
 
 @entry("O4_rejoin_stations")
@@ -540,27 +538,27 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("F3_blend")
 def _(f: Fixture) -> DataFrame:
-    f = f.stored()
+    f = f.stored(fx.RULE_DAYS)
     return fc.blend([_naive(f), f.weekday_rule()], [0.6, 0.4])
 
 
 @entry("F3_blend_unmatched")
 def _(f: Fixture) -> DataFrame:
-    f = f.stored()
+    f = f.stored(fx.RULE_DAYS)
     ordinary, _ = sl.split_stations(f.weekday_rule(), fx.SPECIAL)
     return fc.blend([_naive(f), ordinary], [0.5, 0.5])
 
 
 @entry("F4_three_way_blend")
 def _(f: Fixture) -> DataFrame:
-    f = f.stored()
+    f = f.stored(fx.RULE_DAYS)
     last_week = f.same_as(PLAN.on(23)[0], fx.WEEKDAY_TARGET).fillna(0.0)
     return fc.blend([f.weekday_rule(), _naive(f), last_week], [0.25, 0.25, 0.5])
 
 
 @entry("F5_night_override")
 def _(f: Fixture) -> DataFrame:
-    f = f.stored()
+    f = f.stored(fx.WEEKEND_RULE_DAYS)
     return fc.night_override(f.weekend_rule(), f.slots(), fx.SUNDAYS[-1])
 
 
@@ -576,7 +574,7 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("F8_clip_negative")
 def _(f: Fixture) -> DataFrame:
-    f = f.stored()
+    f = f.stored([PLAN.on(23)[0], fx.WEEKDAY_SOURCE])
     # Twice today minus last week: a forecast that does go below zero.
     last_week = f.same_as(PLAN.on(23)[0], fx.WEEKDAY_TARGET).fillna(0.0)
     return fc.clip_negative(fc.blend([_naive(f), last_week], [2.0, -1.0]))
@@ -595,32 +593,55 @@ def _(f: Fixture) -> DataFrame:
     return split.select(*SLOT_COLUMNS, "split")
 
 
-# Few shallow rounds: enough to run every step on the whole tables.
-QUICK = md.BoostSettings(rounds=8, depth=4)
+def checked(forecast: DataFrame, closed=()) -> DataFrame:
+    """What holds of any forecast: its keys, both flows known and not negative, closed stations at 0."""
+    keys = [c for c in forecast.columns if c not in FLOWS]
+    shut = F.col("stationID").isin(list(closed)) if closed else F.lit(False)
+    return forecast.select(
+        *keys,
+        *[F.coalesce(F.col(c) >= 0, F.lit(False)).alias(f"{c}_valid") for c in FLOWS],
+        (~shut | F.coalesce((F.col("inNums") == 0) & (F.col("outNums") == 0), F.lit(False))).alias("closed_zero"),
+    )
 
 
 @entry("F11_boosted_hours")
 def _(f: Fixture) -> DataFrame:
-    return models.hour_model(
+    return checked(models.hour_model(
         f.slot_table(), f.stations(), WORK,
-        fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, fx.SPECIAL, PLAN.days(), QUICK,
-    )[0]
+        fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, fx.SPECIAL, PLAN.days(),
+    )[0])
 
 
 @entry("F11_boosted_minutes")
 def _(f: Fixture) -> DataFrame:
-    return models.minute_model(
+    return checked(models.minute_model(
         f.slots(), f.stations(), f.template(), WORK,
-        fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, fx.CLOSED, QUICK,
-    )[0]
+        fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, fx.CLOSED,
+    )[0], fx.CLOSED)
+
+
+@entry("F11_boosted_peak")
+def _(f: Fixture) -> DataFrame:
+    return checked(models.peak_model(
+        f.slots(), f.stations(), WORK,
+        fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, fx.SPECIAL, fx.PEAK,
+    )[0])
+
+
+@entry("F11_boosted_workday")
+def _(f: Fixture) -> DataFrame:
+    return checked(models.day_before_model(
+        f.slots(), f.stations(), f.template(), WORK,
+        fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET, "zero", fx.CLOSED,
+    )[0], fx.CLOSED)
 
 
 @entry("F11_boosted_weekend")
 def _(f: Fixture) -> DataFrame:
-    return models.day_before_model(
+    return checked(models.day_before_model(
         f.slots(), f.stations(), f.template(fx.WEEKEND_TARGET), WEEKEND,
-        fx.WEEKEND_SOURCE, fx.WEEKEND_TARGET, "self", fx.CLOSED, QUICK,
-    )[0]
+        fx.WEEKEND_SOURCE, fx.WEEKEND_TARGET, "self", fx.CLOSED,
+    )[0], fx.CLOSED)
 
 
 @entry("F12_trend")
@@ -630,14 +651,14 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("F13_mean_absolute_error")
 def _(f: Fixture) -> DataFrame:
-    f = f.stored()
+    f = f.stored([*fx.RULE_DAYS, fx.WEEKDAY_TARGET])
     actual = f.same_as(fx.WEEKDAY_TARGET, fx.WEEKDAY_TARGET).fillna(0.0)
     return fc.absolute_error(actual, f.weekday_rule(), fc.TEMPLATE_KEYS)
 
 
 @entry("F14_choose_by_station")
 def _(f: Fixture) -> DataFrame:
-    f = f.stored()
+    f = f.stored(fx.RULE_DAYS)
     return fc.choose_by_station(_naive(f), f.weekday_rule(), fx.SPECIAL)
 
 
@@ -696,8 +717,10 @@ def _(f: Fixture) -> DataFrame:
 @entry("R7_station_vectors")
 def _(f: Fixture) -> DataFrame:
     vectors = md.station_vectors(f.stations())
-    parts = [F.get(F.col("v"), F.lit(i)).alias(f"v{i}") for i in range(8)]
-    return vectors.select("stationID", vector_to_array("vector").alias("v")).select("stationID", *parts)
+    # What holds of any embedding: a vector of eight numbers per station.
+    parts = vectors.select("stationID", vector_to_array("vector").alias("v"))
+    known = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x))
+    return parts.select("stationID", F.size("v").alias("size"), known.alias("known"))
 
 
 @entry("R8_line_number")

@@ -25,6 +25,8 @@ SUNDAYS = PLAN.on(7, 14, 21)
 PAIRS = [tuple(PLAN.on(13, 14)), tuple(PLAN.on(20, 21))]
 WEEKEND_SOURCE, WEEKEND_TARGET = PLAN.on(27, 28)
 REST_AND_SOURCE = PLAN.on(1, 6, 7, 13, 14, 20, 21, 27, 28, 29)
+RULE_DAYS = [*REFERENCE, WEEKDAY_SOURCE]
+WEEKEND_RULE_DAYS = sorted({*SUNDAYS, *[d for pair in PAIRS for d in pair], WEEKEND_SOURCE})
 SPECIAL = (2, 7, 11)
 CLOSED = (4,)
 PEAK = (7, 8, 9, 17, 18)
@@ -71,28 +73,28 @@ class Fixture:
         taps = self.taps()
         return sl.slot_flows(taps if days is None else sl.taps_on_days(taps, days))
 
-    def stored(self) -> Fixture:
-        """The same with the slots written once to the shared folder.
+    def stored(self, days: Sequence[date] | None = None) -> Fixture:
+        """The same with the slots of the given days (default: all) written once to the shared folder.
 
         For queries that use the slots in several branches: the taps, by far
         the largest table, are then read once.
         """
-        return replace(self, kept_slots=stored(self.slots(), "slots"))
+        return replace(self, kept_slots=stored(self.slots(days), "slots"))
 
     def slot_table(self) -> DataFrame:
-        return sl.slot_table(self.taps())
+        return sl.slot_table(self.taps(), PLAN.start)
 
     def filled(self, days: list[date] | None = None) -> DataFrame:
         """Gap-free slots of the given days (default: all) with calendar columns."""
         days = PLAN.days() if days is None else days
         grid = sl.station_grid(self.stations(), days)
-        return sl.with_calendar(sl.fill_gaps(self.slots(days), grid))
+        return sl.with_calendar(sl.fill_gaps(self.slots(days), grid), PLAN.start)
 
     def filled_hours(self, days: list[date] | None = None) -> DataFrame:
         days = PLAN.days() if days is None else days
         facts = sl.hour_rollup(self.slots(days))
         grid = sl.station_grid(self.stations(), days, "hour")
-        return sl.with_calendar(sl.fill_gaps(facts, grid, ("stationID", "date", "hour")))
+        return sl.with_calendar(sl.fill_gaps(facts, grid, ("stationID", "date", "hour")), PLAN.start)
 
     def workdays(self) -> DataFrame:
         """Gap-free workday slots, the target day masked."""
@@ -109,13 +111,12 @@ class Fixture:
         return fc.template_for(self.stations(), day)
 
     def weekday_rule(self) -> DataFrame:
-        slots = self.slots([*REFERENCE, WEEKDAY_SOURCE])
+        slots = self.slots(RULE_DAYS)
         return fc.weekday_rule(slots, self.template(), REFERENCE, WEEKDAY_SOURCE)
 
     def weekend_rule(self) -> DataFrame:
-        days = sorted({*SUNDAYS, *[d for pair in PAIRS for d in pair], WEEKEND_SOURCE})
         return fc.weekend_rule(
-            self.filled(days), self.template(WEEKEND_TARGET), SUNDAYS, PAIRS, WEEKEND_SOURCE
+            self.filled(WEEKEND_RULE_DAYS), self.template(WEEKEND_TARGET), SUNDAYS, PAIRS, WEEKEND_SOURCE
         )
 
     def same_as(self, day: date, target: date) -> DataFrame:

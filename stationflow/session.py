@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,12 +43,15 @@ def local_session(cores: str | int = "*", partitions: int = 8) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, from ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests, a laptop) gets a temporary folder.
+    Only a local session that names none (tests, a laptop) gets a temporary
+    folder: on a cluster every executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext.getCheckpointDir()
         # The context appends its own unique child to the folder it was given.
+        if not current and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = current.rsplit("/", 1)[0] if current else tempfile.mkdtemp(prefix="stationflow-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

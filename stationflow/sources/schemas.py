@@ -2,6 +2,15 @@
 
 TAP = "time timestamp_ntz, stationID int, deviceID int, status int"
 
+# The day column of the folders that ``write_taps`` makes.
+TAP_DAY = "record_day"
+
+SLOT = (
+    "stationID int, hour int, minute int, inNums bigint, outNums bigint, day int, week int, weekend int, "
+    "nuni_deviceID_of_stationID bigint, nuni_deviceID_of_stationID_hour bigint, "
+    "nuni_deviceID_of_stationID_hour_minute bigint, day_since_first int, date date"
+)
+
 FLOW_IN = "stationID int, time timestamp_ntz, inNums bigint"
 FLOW_OUT = "stationID int, time timestamp_ntz, outNums bigint"
 

@@ -10,12 +10,13 @@ from stationflow.sources.readers import TIME_FORMAT
 
 
 def write_slots(slots: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Parquet by date.
+    """Parquet by date. Overwriting replaces the days written and leaves the others.
 
     The rebalance hint lets Spark gather a day's rows into few files and split
     a day that is larger than one task should hold.
     """
-    slots.hint("rebalance", "date").write.mode(mode).partitionBy("date").parquet(path)
+    writer = slots.hint("rebalance", "date").write.mode(mode).partitionBy("date")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def _write_csv(df: DataFrame, path: str, mode: str) -> None:
@@ -30,13 +31,13 @@ def _write_csv(df: DataFrame, path: str, mode: str) -> None:
 def write_taps(taps: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Tap CSV in one folder per day."""
     columns = ["time", "stationID", "deviceID", "status"]
-    daily = taps.select(F.to_date("time").alias("record_day"), *columns)
+    daily = taps.select(F.to_date("time").alias(schemas.TAP_DAY), *columns)
     (
-        daily.hint("rebalance", "record_day")
+        daily.hint("rebalance", schemas.TAP_DAY)
         .write.mode(mode)
         .option("header", True)
         .option("timestampNTZFormat", TIME_FORMAT)
-        .partitionBy("record_day")
+        .partitionBy(schemas.TAP_DAY)
         .csv(path)
     )
 

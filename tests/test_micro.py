@@ -214,3 +214,17 @@ def test_trend_reads_the_line_at_the_target(spark):
     df = slots(spark, (1, 8, 0, 1, 9), (2, 8, 0, 3, 6), (4, 8, 0, 7, 0)).drop("minute")
     got = values(fc.trend_forecast(df, [D(1), D(2), D(4)], D(7)), *sl.FLOWS, by=("hour",))
     assert got[0] == pytest.approx((13.0, 0.0))
+
+
+def test_days_count_across_months(spark):
+    from datetime import date
+
+    from stationflow.operators import slots as sl
+
+    rows = [(0, date(2024, 1, 31), 5, 0, 1, 2), (0, date(2024, 2, 1), 5, 0, 3, 4), (0, date(2024, 2, 29), 5, 0, 5, 6)]
+    df = spark.createDataFrame(rows, "stationID int, date date, hour int, minute int, inNums long, outNums long")
+    counted = sl.with_calendar(df, date(2024, 1, 1)).orderBy("date").collect()
+    assert [r.day_since_first for r in counted] == [30, 31, 59]
+    series = sl.slot_series(df, [r[1] for r in rows], ["stationID"]).first()
+    assert series.days == [1, 2, 30] and series.in_series == [1, 3, 5]
+    assert sl.day_runs([r[1] for r in rows]) == [(rows[0][1], rows[1][1]), (rows[2][1], rows[2][1])]

@@ -34,7 +34,6 @@ def test_minute_model(spark, sf_dir):
     actual = f.same_as(fx.WEEKDAY_TARGET, fx.WEEKDAY_TARGET).fillna(0.0)
     for other in (forecast, f.weekday_rule(), f.same_as(fx.WEEKDAY_SOURCE, fx.WEEKDAY_TARGET).fillna(0.0)):
         mae = fc.absolute_error(actual, other, fc.TEMPLATE_KEYS).first()
-        print("mae", mae.inNums_mae, mae.outNums_mae)
         assert 0 <= mae.inNums_mae < 1e6 and mae.n == len(rows)
 
 
@@ -46,6 +45,11 @@ def test_boosting_learns_a_step(spark):
     fit = md.fit_boosted(vectors, "inNums", md.BoostSettings(rounds=30, row_share=1.0, feature_share=1.0))
     scored = fit.model.transform(vectors).selectExpr("max(abs(prediction - inNums)) AS e").first()
     assert scored.e < 0.5
+    # Better than repeating the row before.
+    valid = fit.model.transform(vectors.filter("split = 'valid'"))
+    naive = vectors.selectExpr("*", "lag(inNums, 1, 0) OVER (ORDER BY k) AS earlier").filter("split = 'valid'")
+    mae = valid.selectExpr("avg(abs(prediction - inNums)) AS e").first().e
+    assert mae <= naive.selectExpr("avg(abs(earlier - inNums)) AS e").first().e
 
 
 def test_peak_and_day_before_models(spark, sf_dir):

@@ -1,12 +1,10 @@
-"""File round trips, and the stream form of the slot flows."""
+"""File round trips."""
 
 import pytest
 
-from stationflow.operators import slots as sl
-from stationflow.plans.fixture import Fixture
+from stationflow.plans.fixture import WEEKDAY_SOURCE, Fixture
 from stationflow.session import scratch_path, shared_dir
 from stationflow.sources import readers, writers
-from stationflow.streaming import slots as stream
 
 
 @pytest.fixture(scope="module")
@@ -31,27 +29,12 @@ def test_forecast_column_order(spark, sf_dir, tmp_path):
     assert readers.read_template(spark, str(tmp_path / "f")).columns == ["stationID", "startTime", "endTime"]
 
 
-def test_stream_equals_batch(spark, sf_dir, tmp_path):
-    files, out, state = (str(tmp_path / d) for d in ("taps", "slots", "state"))
-
-    def run():
-        taps = stream.tap_stream(spark, files, files_per_batch=7)
-        # Files arrive in any order here, so nothing within the month is late.
-        query = stream.write_slot_stream(stream.slot_stream(taps, "40 days"), out, state)
-        query.awaitTermination(300)
-        assert query.exception() is None
-
-    taps = Fixture(spark, sf_dir).taps()
-    writers.write_taps(taps, f"{files}/january")
-    run()
-    # A tap much later closes every slot of January.
-    later = spark.sql("SELECT TIMESTAMP_NTZ'2024-06-01 00:00:00' AS time, 0 AS stationID, 0 AS deviceID, 1 AS status")
-    writers.write_taps(later, f"{files}/june")
-    run()
-    got = readers.read_slots(spark, out).select("stationID", "date", "hour", "minute", *sl.FLOWS)
-    want = sl.slot_flows(taps).select(*got.columns)
-    assert got.exceptAll(want).count() == 0
-    assert want.exceptAll(got).count() == 0
+def test_writing_a_day_leaves_the_others(spark, sf_dir, tmp_path):
+    f, path = Fixture(spark, sf_dir), str(tmp_path / "slots")
+    writers.write_slots(f.slots(), path)
+    before = readers.read_slots(spark, path).count()
+    writers.write_slots(f.slots([WEEKDAY_SOURCE]), path)
+    assert readers.read_slots(spark, path).count() == before
 
 
 def test_shared_folder_comes_from_the_session(spark):
