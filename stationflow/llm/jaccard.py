@@ -117,7 +117,8 @@ def sized(docs: DataFrame, width: int) -> DataFrame:
 def entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """token, rep, n, level: the longest prefixes of every class, tokens that two classes share only.
 
-    ``level`` is the least l whose prefix has the token.
+    ``level`` is the least l whose prefix has the token. Returned as a written
+    table, so that the order's counts can be released.
     """
 
     def keys(batch):
@@ -148,7 +149,9 @@ def entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
     # The least rep is asked for so that both sides read the same columns, hence one exchange.
     common = one.groupBy("token").agg(F.count("*").alias("df"), F.min("rep").alias("least")).filter("df >= 2 AND least IS NOT NULL")
     common = common.select("token", "df")
-    return one.join(common, "token")
+    out = stored(one.join(common, "token"), "prefixes")
+    shared.destroy()
+    return out
 
 
 def adapted(rows: DataFrame) -> DataFrame:
@@ -269,9 +272,34 @@ def candidate_pairs(rows: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def merged_once(links: DataFrame, found: DataFrame | None) -> DataFrame:
+    """(id, component): the components so far, merged along fresh links (a, b).
+
+    A component takes the least one within two links, then that one's least one,
+    twice. Equal components are surely linked, linked ones need not be equal yet:
+    between hub rounds that is enough to leave pairs out, and it takes one job
+    where whole components take many.
+    """
+    ids = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
+    if found is None:
+        known, edges = ids.withColumn("component", F.col("id")), links.toDF("x", "y")
+    else:
+        known = ids.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        known = known.union(found.join(ids, "id", "left_anti"))
+        a, b = (found.toDF(end, side) for end, side in (("a", "x"), ("b", "y")))
+        edges = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"))
+    edges = edges.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+    both = edges.union(edges.select("y", "x")).toDF("x", "y")
+    near = both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m"))
+    to = stored(both.join(near.toDF("y", "m"), "y").groupBy("x").agg(F.least(F.col("x"), F.min("m")).alias("to")), "nearest")
+    for _ in range(2):
+        to = to.join(to.toDF("to", "next"), "to", "left").select("x", F.coalesce("next", "to").alias("to"))
+    return known.join(to, known["component"] == to["x"], "left").select("id", F.coalesce("to", "component").alias("component"))
+
+
 def class_components(docs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, component) of the classes that are linked with another class."""
-    rows = stored(adapted(stored(entries(docs, width, percent), "prefixes")), "prefixes-chosen")
+    rows = stored(adapted(entries(docs, width, percent)), "prefixes-chosen")
     bound = PAIRS_PER_ENTRY * rows.count()
     links, found, turn, before = None, None, 0, float("inf")
     while True:
@@ -281,7 +309,7 @@ def class_components(docs: DataFrame, sizes: DataFrame, width: int, percent: int
             break
         fresh = stored(verified(hub_pairs(left, turn, percent), docs, sizes, width, percent), "links")
         links = fresh if links is None else links.union(fresh)
-        found = stored(components(links), "components")
+        found = stored(merged_once(fresh, found), "components-so-far")
         turn, before = turn + 1, now
     fresh = verified(candidate_pairs(left, percent), docs, sizes, width, percent)
     return stored(components(fresh if links is None else links.union(fresh)), "components")
