@@ -160,13 +160,16 @@ def record(**columns) -> pa.RecordBatch:
 
 
 SLICE = 1 << 13
+# Slices that travel in one batch.
+SENT = 128
 
 
 def counters(df: DataFrame, columns: list, keys, width: int) -> np.ndarray:
     """Count ``keys(batch)`` (uint64) by hash into ``width`` counters: a count-min row.
 
     The sketch has a fixed size whatever the input. Tasks send it in slices of
-    ``SLICE`` counters, slices are summed on the executors, and the driver gets
+    ``SLICE`` counters (those in use with their places, if they are few), slices
+    are summed on the executors, and the driver gets
     ``width`` quantised counts (one byte each: 1 + floor(log2), 0 for none).
     """
     slices = width // SLICE
@@ -177,29 +180,37 @@ def counters(df: DataFrame, columns: list, keys, width: int) -> np.ndarray:
             for found in keys(batch):
                 at, n = np.unique(found & U(width - 1), return_counts=True)
                 total[at.astype(np.int64)] += n.astype(np.uint32)
-        if total.any():
-            parts = total.reshape(slices, SLICE)
-            for k in np.flatnonzero(parts.any(axis=1)):
-                small = parts[k].astype(np.uint16 if parts[k].max() < 1 << 16 else np.uint64)
-                yield record(slice=pa.array([int(k)], pa.int32()), counts=pa.array([small.tobytes()], pa.binary()))
+        parts = total.reshape(slices, SLICE)
+        used = np.flatnonzero(parts.any(axis=1))
+        for first in range(0, len(used), SENT):
+            some = used[first : first + SENT]
+            places, counts = [], []
+            for k in some:
+                at = np.flatnonzero(parts[k])
+                few = 2 * len(at) < SLICE
+                here = parts[k][at] if few else parts[k]
+                places.append(at.astype(np.uint16).tobytes() if few else b"")
+                counts.append((here.astype(np.uint16) if here.max() < 1 << 16 else here).tobytes())
+            yield record(slice=some.astype(np.int32), places=pa.array(places, pa.binary()), counts=pa.array(counts, pa.binary()))
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLICE, np.int64)
         for batch in batches:
-            for x in batch.column("counts"):
-                raw = x.as_py()
-                total += np.frombuffer(raw, np.uint16 if len(raw) == 2 * SLICE else np.uint64).astype(np.int64)
+            for places, counts in zip(batch.column("places"), batch.column("counts"), strict=True):
+                at, raw = np.frombuffer(places.as_py(), np.uint16), counts.as_py()
+                n = len(at) or SLICE
+                total[at if len(at) else slice(None)] += np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32)
         level = np.zeros(SLICE, np.uint8)
         some = total > 0
         level[some] = 1 + np.floor(np.log2(total[some])).astype(np.uint8)
-        yield record(slice=pa.array([key[0].as_py()], pa.int32()), counts=pa.array([level.tobytes()], pa.binary()))
+        yield record(slice=pa.array([key[0].as_py()], pa.int32()), levels=pa.array([level.tobytes()], pa.binary()))
 
-    shape = "slice int, counts binary"
-    parts = df.select(*columns).mapInArrow(count, shape).groupBy("slice").applyInArrow(merge, shape)
+    sent = df.select(*columns).mapInArrow(count, "slice int, places binary, counts binary")
+    parts = sent.groupBy("slice").applyInArrow(merge, "slice int, levels binary")
     levels = np.zeros(width, np.uint8)
     # At most width / SLICE rows of SLICE bytes.
     for row in parts.collect():
-        levels[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["counts"], np.uint8)
+        levels[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["levels"], np.uint8)
     return levels
 
 
