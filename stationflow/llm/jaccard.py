@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm.common import (
@@ -31,8 +31,12 @@ from stationflow.llm.components import components
 from stationflow.session import stored
 
 SKETCH = 1 << 24
-# Bits of a set's parity signature.
+# Bits of a set's parity signature, and of its fold that prefix entries carry to the last join.
 PARITY = 1024
+FOLD = 256
+SIGNS = [f"p{k}" for k in range(FOLD // 64)]
+# Classes whose prefixes a task remembers to have sent; a full memory starts anew.
+MEMORY = 500_000
 LEVELS = 8
 # The cost of verifying a pair, in prefix entries read.
 VERIFY = 16.0
@@ -99,19 +103,23 @@ def parities(found: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
 
 
 def sized(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, s1, s2 (digest of the set), n (its size), parity (its signature)."""
+    """doc_id, s1, s2 (digest of the set), n (its size), parity (its signature) and the signature's fold."""
 
     def work(batch):
         for first, last, offsets, data in blocks(batch.column("text")):
             found, begin, owner = shingle_sets(data, offsets, width)
             s1, s2 = digests(found, begin)
             signs = parities(found, owner, last - first)
+            # A class of the fold is the union of PARITY / FOLD classes, so its parity is their sum's.
+            fold = np.bitwise_xor.reduce(signs.reshape(last - first, PARITY // FOLD, FOLD // 8), axis=1)
             yield record(
                 doc_id=batch.column("doc_id").slice(first, last - first), s1=s1, s2=s2, n=np.diff(begin),
                 parity=pa.array([x.tobytes() for x in signs], pa.binary()),
+                **{p: np.ascontiguousarray(x) for p, x in zip(SIGNS, np.ascontiguousarray(fold).view(np.int64).T, strict=True)},
             )
 
-    return arrow_map(docs, ["doc_id", "text"], work, "doc_id long, s1 long, s2 long, n long, parity binary")
+    more = "".join(f", {p} long" for p in SIGNS)
+    return arrow_map(docs, ["doc_id", "text"], work, f"doc_id long, s1 long, s2 long, n long, parity binary{more}")
 
 
 def entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -126,6 +134,16 @@ def entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
             yield shingle_sets(data, offsets, width)[0]
 
     shared = docs.sparkSession.sparkContext.broadcast(counters(docs, ["text"], keys, SKETCH))
+    sent: dict[int, int] = {}
+
+    def fresh(s1: int, doc_id: int) -> bool:
+        """Whether this task has not sent the class yet, or only for a larger id."""
+        if sent.get(s1, NO_ID + 1) <= doc_id:
+            return False
+        if len(sent) >= MEMORY:
+            sent.clear()
+        sent[s1] = doc_id
+        return True
 
     def work(batch):
         for first, last, offsets, data in blocks(batch.column("text")):
@@ -136,20 +154,19 @@ def entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
             place = np.arange(len(found)) - begin[owner]
             least = need(size, percent)
             level = np.maximum(1, place - (size - least)[owner] + 1)
-            keep = level <= np.minimum(LEVELS, least)[owner]
+            ids, s1 = batch.column("doc_id").slice(first, last - first), digests(found, begin)[0]
+            new = np.array([fresh(s, d) for s, d in zip(s1.tolist(), ids.to_pylist(), strict=True)], bool)
+            keep = (level <= np.minimum(LEVELS, least)[owner]) & new[owner]
             who = owner[keep]
-            ids = batch.column("doc_id").slice(first, last - first).take(pa.array(who))
             yield record(
-                token=signed(found[order][keep]), s1=digests(found, begin)[0][who], doc_id=ids,
+                token=signed(found[order][keep]), s1=s1[who], doc_id=ids.take(pa.array(who)),
                 n=size[who].astype(np.int32), level=level[keep].astype(np.int32),
             )
 
     rows = arrow_map(docs, ["doc_id", "text"], work, "token long, s1 long, doc_id long, n int, level int")
-    one = rows.groupBy("token", "s1", "n", "level").agg(F.min("doc_id").alias("rep")).drop("s1")
-    # The least rep is asked for so that both sides read the same columns, hence one exchange.
-    common = one.groupBy("token").agg(F.count("*").alias("df"), F.min("rep").alias("least")).filter("df >= 2 AND least IS NOT NULL")
-    common = common.select("token", "df")
-    out = stored(one.join(common, "token"), "prefixes")
+    # Copies were combined in their tasks, so one exchange by token serves the classes and their number.
+    one = rows.repartition("token").groupBy("token", "s1", "n", "level").agg(F.min("doc_id").alias("rep")).drop("s1")
+    out = stored(one.withColumn("df", F.count("*").over(Window.partitionBy("token"))).filter("df >= 2"), "prefixes")
     shared.destroy()
     return out
 
@@ -258,13 +275,25 @@ def hub_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     )
 
 
-def candidate_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share as many prefix shingles as the lesser l."""
-    a = rows.select("token", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("l").alias("l_a"), F.col("component").alias("c_a"))
-    b = rows.select("token", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("l").alias("l_b"), F.col("component").alias("c_b"))
+def candidate_pairs(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share as many prefix shingles as the lesser l.
+
+    The folds of the signatures are compared within the join, so that a large
+    group whose members share prefixes but little else makes few rows.
+    """
+    # Texts of one id that differ have a signature each.
+    signs = sizes.select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), *SIGNS).distinct()
+    signed_rows = rows.join(signs, ["rep", "n"])
+
+    def side(x: str) -> DataFrame:
+        names = {"rep": x, "n": f"n_{x}", "l": f"l_{x}", "component": f"c_{x}"} | {p: f"{p}_{x}" for p in SIGNS}
+        return signed_rows.select("token", *[F.col(c).alias(to) for c, to in names.items()])
+
+    apart = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in SIGNS)
+    alike = apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
     return (
-        a.join(b, "token")
-        .filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & similar_sizes(percent))
+        side("a").join(side("b"), "token")
+        .filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & similar_sizes(percent) & alike)
         .groupBy("a", "b", F.least("l_a", "l_b").alias("l"))
         .agg(F.count("*").alias("shared"))
         .filter("shared >= l")
@@ -311,7 +340,7 @@ def class_components(docs: DataFrame, sizes: DataFrame, width: int, percent: int
         links = fresh if links is None else links.union(fresh)
         found = stored(merged_once(fresh, found), "components-so-far")
         turn, before = turn + 1, now
-    fresh = verified(candidate_pairs(left, percent), docs, sizes, width, percent)
+    fresh = verified(candidate_pairs(left, sizes, percent), docs, sizes, width, percent)
     return stored(components(fresh if links is None else links.union(fresh)), "components")
 
 
