@@ -1,6 +1,8 @@
 """The queries of this package, by name, and their DuckDB twins."""
 
-from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, privacy, quality, rules, suffixes, toxicity
+from stationflow.llm import (
+    bpe, collocations, fingerprints, jaccard, mixing, packing, passages, privacy, quality, rules, suffixes, toxicity, whitening,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,5 +15,8 @@ QUERIES = {
     "op8_quality_rules": rules.op8_quality_rules,
     "op9_bpe": bpe.op9_bpe,
     "op10_fingerprints": fingerprints.op10_fingerprints,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_source_mix": mixing.op13_source_mix,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op12_collocations": collocations.OP12_SQL, "op13_source_mix": mixing.OP13_SQL}
