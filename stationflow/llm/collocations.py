@@ -16,6 +16,8 @@ Scores are ratios of whole numbers in 38 digits.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -30,7 +32,7 @@ LEAST_COUNT = 100
 BEST = 2000
 BLOCK = 1 << 22
 # Slots for phrases seen often enough: between these, for the words at hand.
-FEW_SLOTS, MANY_SLOTS = 1 << 20, 1 << 27
+FEW_SLOTS, MANY_SLOTS = 1 << 16, 1 << 27
 # Slots whose bits travel in one row, as Spark's bitmaps have them.
 BITMAP = 32768
 NEVER = 255
@@ -151,11 +153,13 @@ def often(rows: DataFrame, slots: int) -> np.ndarray:
 def scanned(path: str, spark, scan: int, slots: np.ndarray | None) -> DataFrame:
     """The counts of one scan; partial counts are combined by Spark before the exchange."""
     shard = spark.read.schema("lang string, text string, shard int").parquet(path).filter(F.col("shard") == scan % SHARDS)
-    shared = spark.sparkContext.broadcast(slots)
+    # Executors may write a broadcast value to disk once per task, and most slots are free.
+    shared = spark.sparkContext.broadcast(None if slots is None else zlib.compress(slots.tobytes(), 1))
 
     def run(batches):
+        own = None if shared.value is None else np.frombuffer(zlib.decompress(shared.value), np.uint8)
         for batch in batches:
-            yield from counted(batch, scan, shared.value)
+            yield from counted(batch, scan, own)
 
     return shard.select("lang", "text").mapInArrow(run, COUNTED)
 
