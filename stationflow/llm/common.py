@@ -59,23 +59,31 @@ def mix(x):
 
 
 class Powers:
-    """Powers of BASE and of its inverse, grown to the longest block seen."""
+    """Powers of BASE and of its inverse, grown to the longest block seen.
 
-    up = np.ones(1, U)
-    down = np.ones(1, U)
+    They stay where they are: a function that uses them travels without the numbers.
+    """
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, U)
+
+    def __reduce__(self):
+        return Powers, ()
 
-    @classmethod
-    def to(cls, n: int):
-        if len(cls.up) <= n:
+    def to(self, n: int):
+        if len(self.up) <= n:
             size = max(n + 1, BLOCK + 1)
-            cls.up = np.concatenate([np.ones(1, U), np.cumprod(np.full(size, BASE, U))])
-            cls.down = np.concatenate([np.ones(1, U), np.cumprod(np.full(size, INVERSE, U))])
-        return cls.up, cls.down
+            self.up = np.concatenate([np.ones(1, U), np.cumprod(np.full(size, BASE, U))])
+            self.down = np.concatenate([np.ones(1, U), np.cumprod(np.full(size, INVERSE, U))])
+        return self.up, self.down
+
+
+POWERS = Powers()
 
 
 def prefixes(data: np.ndarray) -> np.ndarray:
     """Prefix sums from which :func:`spans_hash` gets the hash of any span."""
-    up, _ = Powers.to(len(data))
+    up, _ = POWERS.to(len(data))
     sums = np.zeros(len(data) + 1, U)
     np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=sums[1:])
     return sums
@@ -83,7 +91,7 @@ def prefixes(data: np.ndarray) -> np.ndarray:
 
 def spans_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of spans; equal bytes give equal hashes wherever they lie."""
-    _, down = Powers.to(len(sums))
+    _, down = POWERS.to(len(sums))
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
 
 
