@@ -11,12 +11,17 @@ table of fixed size: a byte per slot, the scan after which the first phrase of
 that slot got there. A slot never changes again, so phrases that share one are
 merely counted sooner, for a full cycle too, and no count depends on its size.
 
+Scans count hashes of phrases, a few bytes each. A last pass writes out those
+counted often enough and counts them by their words, so that no two phrases can
+pass for one.
+
 Scores are ratios of whole numbers in 38 digits.
 """
 
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +35,6 @@ SHARDS = 4
 LONGEST = 5
 LEAST_COUNT = 100
 BEST = 2000
-BLOCK = 1 << 22
 # Slots for phrases seen often enough: between these, for the words at hand.
 FEW_SLOTS, MANY_SLOTS = 1 << 16, 1 << 27
 # Slots whose bits travel in one row, as Spark's bitmaps have them.
@@ -45,7 +49,12 @@ GAP[[9, 32]] = True
 STOP = np.zeros(256, bool)
 STOP[[*b".,;:!?", 10, 11, 12, 13]] = True
 
-COUNTED = "lang string, phrase string, words int, h long, start int, n long"
+# Hashes that a task gathers before it counts them.
+GATHERED = 1 << 21
+
+# The last three bits of ``h`` are the number of words.
+COUNTED = "h long, start int, n long"
+TEXTS = "lang string, phrase string, words int, n long"
 
 
 def dealt(docs: DataFrame) -> str:
@@ -85,62 +94,104 @@ def written(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     return phrases
 
 
-def active(slots: np.ndarray | None, whole: np.ndarray, scan: int):
-    """(places, starts): pairs of neighbouring subphrases whose phrase is counted in this scan."""
-    since = slots[(whole & U(len(slots) - 1)).astype(np.int64)]
-    ready = np.flatnonzero((since[:-1] != NEVER) & (since[1:] != NEVER))
-    start = np.maximum(since[ready], since[ready + 1]).astype(np.int32) + 1
-    now = (start <= scan) & (start > scan - SHARDS)
-    return ready[now], start[now]
+def hash_of(text: str) -> int:
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return int(spans_hash(prefixes(raw), np.array([0]), np.array([len(raw)]))[0])
 
 
-def counted(batch: pa.RecordBatch, scan: int, slots: np.ndarray | None):
-    """The phrases of a batch that this scan counts, as rows of ``COUNTED``."""
+def hashed(batch: pa.RecordBatch):
+    """For every block of a batch: lower-case bytes, word spans, pieces, row of each word, and hashes by number of words.
+
+    Entry ``k - 1`` of the hashes belongs to the phrases of ``k`` words that begin
+    at each word, whether or not these lie in one piece. They differ by language.
+    """
     langs = batch.column("lang").dictionary_encode()
     salts = mix(np.array([hash_of(x) for x in langs.dictionary.to_pylist()], U))
-    for first, last, offsets, raw in blocks(batch.column("text"), BLOCK):
+    own = langs.indices.to_numpy()
+    for first, last, offsets, raw in blocks(batch.column("text")):
         data = LOWER[raw]
         start, end, text, piece = pieced(data, offsets)
         if not len(start):
             continue
-        own = langs.indices.slice(first, last - first)
-        word = mix(spans_hash(prefixes(data), start, end) ^ salts[own.to_numpy()[text]])
-        phrases, whole = written(data, start, end), mix(word + U(1))  # order matters in the sums below
-        for words in range(1, LONGEST + 1):
-            if words == 1:
-                at = np.arange(len(word)) if scan < SHARDS else np.zeros(0, np.int64)
-                since = np.zeros(len(at), np.int32)
-            else:
-                if slots is None or len(word) < words:
-                    break
-                at, since = active(slots, whole, scan)
-                whole = mix(whole[:-1] + word[words - 1 :])
-                inside = piece[at] == piece[at + words - 1]
-                at, since = at[inside], since[inside]
-            if not len(at):
-                continue
-            h, some, n = np.unique(whole[at], return_index=True, return_counts=True)
-            at, since = at[some], since[some]
-            yield record(
-                lang=langs.dictionary.take(own.take(pa.array(text[at]))), phrase=phrases(at, words),
-                words=np.full(len(at), words, np.int32), h=signed(h), start=since, n=n.astype(np.int64),
-            )
+        word = mix(spans_hash(prefixes(data), start, end) ^ salts[own[first:last][text]])
+        whole = [mix(word + U(1))]  # order matters in the sums below
+        for words in range(2, min(LONGEST, len(word)) + 1):
+            whole.append(mix(whole[-1][:-1] + word[words - 1 :]))
+        yield data, start, end, piece, first + text, whole
 
 
-def hash_of(text: str) -> int:
-    raw = np.frombuffer(text.encode(), np.uint8)
-    return int(spans_hash(prefixes(raw), np.array([0]), np.array([len(raw)]))[0])
+def slot(h: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return ((h >> U(3)) & U(len(slots) - 1)).astype(np.int64)
+
+
+def active(slots: np.ndarray, whole: np.ndarray, scan: int):
+    """(places, starts): pairs of neighbouring subphrases whose phrase is counted in this scan."""
+    since = slots[slot(whole, slots)]
+    ready = np.flatnonzero((since[:-1] != NEVER) & (since[1:] != NEVER))
+    start = np.maximum(since[ready], since[ready + 1]).astype(np.int32) + 1
+    now = (start <= scan) & (start > scan - SHARDS)
+    return ready[now], start[now]
+
+
+def counted(batches, scan: int, slots: np.ndarray | None):
+    """The phrases that this scan counts, as rows of ``COUNTED``: words in the first cycle, longer ones as ``active``."""
+    hashes, starts, size = [], [], 0
+
+    def flush():
+        h, some, n = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
+        return record(h=signed(h), start=np.concatenate(starts)[some], n=n.astype(np.int64))
+
+    for batch in batches:
+        for _, _, _, piece, _, whole in hashed(batch):
+            found = [(whole[0], np.zeros(len(piece), np.int32))] if scan < SHARDS else []
+            if slots is not None:
+                for k in range(1, len(whole)):
+                    at, start = active(slots, whole[k - 1], scan)
+                    inside = piece[at] == piece[at + k]
+                    found.append((whole[k][at[inside]], start[inside]))
+            for words, (h, start) in enumerate(found, 1 if scan < SHARDS else 2):
+                hashes.append((h & ~U(7)) | U(words))
+                starts.append(start)
+                size += len(h)
+            if size >= GATHERED:
+                yield flush()
+                hashes, starts, size = [], [], 0
+    if size:
+        yield flush()
+
+
+def texts_of(batch: pa.RecordBatch, wanted: np.ndarray):
+    """Phrases whose slot is wanted, and all words as a phrase of none, as rows of ``TEXTS``."""
+    langs = batch.column("lang").dictionary_encode()
+    own = langs.indices.to_numpy()
+    for data, start, end, piece, row, whole in hashed(batch):
+        phrases, lang = written(data, start, end), own[row]
+        each = np.flatnonzero(np.bincount(lang))
+        yield record(
+            lang=langs.dictionary.take(pa.array(each)), phrase=pa.array([""] * len(each)), words=np.zeros(len(each), np.int32),
+            n=np.bincount(lang)[each].astype(np.int64),
+        )
+        for k, h in enumerate(whole):
+            at = np.flatnonzero(wanted[slot(h, wanted)])
+            at = at[piece[at] == piece[at + k]]
+            _, some, n = np.unique(h[at], return_index=True, return_counts=True)
+            at = at[some]
+            if len(at):
+                yield record(
+                    lang=langs.dictionary.take(pa.array(lang[at])), phrase=phrases(at, k + 1), words=np.full(len(at), k + 1, np.int32),
+                    n=n.astype(np.int64),
+                )
 
 
 def slots_of(words: int) -> int:
-    """A power of two with room for all phrases of up to four words that are often among so many."""
+    """A power of two with room for all phrases of one length that are often among so many words, and for others."""
     wanted = words * (LONGEST - 1) // LEAST_COUNT * 2
     return 1 << max(FEW_SLOTS, min(MANY_SLOTS, wanted)).bit_length() - 1
 
 
 def often(rows: DataFrame, slots: int) -> np.ndarray:
     """Whether each slot has a phrase of these rows: a bitmap, merged on the executors."""
-    at = F.col("h").bitwiseAND(F.lit(slots - 1))
+    at = F.shiftrightunsigned("h", 3).bitwiseAND(F.lit(slots - 1))
     # Spark numbers buckets from 1 for the positions 1 to 32768.
     maps = rows.groupBy(F.bitmap_bucket_number(at + 1).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at + 1)).alias("bits"))
     out = np.zeros(slots, bool)
@@ -150,51 +201,56 @@ def often(rows: DataFrame, slots: int) -> np.ndarray:
     return out
 
 
-def scanned(path: str, spark, scan: int, slots: np.ndarray | None) -> DataFrame:
-    """The counts of one scan; partial counts are combined by Spark before the exchange."""
-    shard = spark.read.schema("lang string, text string, shard int").parquet(path).filter(F.col("shard") == scan % SHARDS)
-    # Executors may write a broadcast value to disk once per task, and most slots are free.
-    shared = spark.sparkContext.broadcast(None if slots is None else zlib.compress(slots.tobytes(), 1))
+def sent(spark, table: np.ndarray):
+    """A function that gives the table to tasks, which hold it compressed: most slots are free."""
+    kind, shared = table.dtype, spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
+    return lambda: np.frombuffer(zlib.decompress(shared.value), kind)
+
+
+def scanned(texts: DataFrame, scan: int, slots: np.ndarray | None) -> DataFrame:
+    """The counts of one scan, of one shard; partial counts are combined by Spark before the exchange."""
+    table = sent(texts.sparkSession, slots) if slots is not None else lambda: None
 
     def run(batches):
-        own = None if shared.value is None else np.frombuffer(zlib.decompress(shared.value), np.uint8)
-        for batch in batches:
-            yield from counted(batch, scan, own)
+        yield from counted(batches, scan, table())
 
-    return shard.select("lang", "text").mapInArrow(run, COUNTED)
+    return texts.filter(F.col("shard") == scan % SHARDS).select("lang", "text").mapInArrow(run, COUNTED)
 
 
 def frequent(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, n of all phrases seen ``least`` times; lang and n of all words).
 
-    A phrase of several words is in the first table if it and its subphrases are
-    seen so often, which hold for all of them or not.
+    The number of scans does not depend on the input: five cycles at most, less
+    what longer phrases overlap with shorter ones.
     """
     spark = docs.sparkSession
-    path = dealt(docs)
-    keys = [c.split()[0] for c in COUNTED.split(", ")[:-1]]
-    open_rows, slots, totals, done, last, scan = None, None, None, [], -1, 0
+    texts = spark.read.schema("lang string, text string, shard int").parquet(dealt(docs))
+    open_rows, slots, done, last, scan = None, None, [], -1, 0
     # The scans end a cycle after the last one that found a phrase often enough in a free slot.
     while scan < SHARDS or scan <= last + SHARDS:
-        fresh = scanned(path, spark, scan, slots)
+        fresh = scanned(texts, scan, slots)
         rows = fresh if open_rows is None else fresh.unionByName(open_rows)
-        rows = stored(rows.groupBy(*keys).agg(F.sum("n").alias("n")), "phrase-counts")
+        rows = stored(rows.groupBy("h", "start").agg(F.sum("n").alias("n")), "phrase-counts")
         if scan == 0:
-            words = rows.agg(F.sum("n")).first()[0] or 0
-            slots = np.full(slots_of(words * SHARDS), NEVER, np.uint8)
-        now = often(rows.filter((F.col("n") >= least) & (F.col("words") < LONGEST)), len(slots)) & (slots == NEVER)
+            slots = np.full(slots_of(SHARDS * (rows.agg(F.sum("n")).first()[0] or 0)), NEVER, np.uint8)
+        enough = rows.filter(F.col("n") >= least)
+        now = often(enough.filter(F.col("h").bitwiseAND(F.lit(7)) < LONGEST), len(slots)) & (slots == NEVER)
         if now.any():
             slots, last = np.where(now, np.uint8(scan), slots), scan
         whole = F.col("start") + SHARDS - 1 == scan
-        done.append(rows.filter(whole & (F.col("n") >= least)))
-        if scan == SHARDS - 1:
-            totals = rows.filter("words = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+        done.append(enough.filter(whole).select("h"))
         open_rows = rows.filter(~whole)
         scan += 1
-    found = done[0]
-    for more in done[1:]:
-        found = found.unionByName(more)
-    return stored(found.select("lang", "phrase", "words", "n"), "frequent-phrases"), stored(totals, "words-by-language")
+    table = sent(spark, often(reduce(DataFrame.union, done), len(slots)))
+
+    def run(batches):
+        wanted = table()
+        for batch in batches:
+            yield from texts_of(batch, wanted)
+
+    found = texts.select("lang", "text").mapInArrow(run, TEXTS).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+    found = stored(found.filter((F.col("n") >= least) | (F.col("words") == 0)), "frequent-phrases")
+    return found.filter("words > 0"), found.filter("words = 0").select("lang", "n")
 
 
 def scored(found: DataFrame, totals: DataFrame) -> DataFrame:

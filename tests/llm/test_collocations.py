@@ -57,9 +57,10 @@ def test_phrases_that_share_slots_are_counted_the_same(spark, monkeypatch):
     rng = random.Random(4)
     rows = [(prose(rng, 60), "en") for _ in range(60)]
     df = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    plain = collocations.slot
     monkeypatch.setattr(collocations, "slots_of", lambda _: collocations.BITMAP)
-    monkeypatch.setattr(collocations, "signed", lambda h: (h & collocations.U(31)).astype("int64"))
-    monkeypatch.setattr(collocations, "active", lambda slots, whole, scan, f=collocations.active: f(slots[:32], whole, scan))
+    monkeypatch.setattr(collocations, "slot", lambda h, slots: plain(h, slots) & 31)
+    monkeypatch.setattr(collocations, "often", lambda rows, slots, f=collocations.often: f(rows.selectExpr("(h >>> 3 & 31) << 3 AS h"), slots))
     assert sorted(tuple(r) for r in collocations.collocations(df, 5).collect()) == brute(rows, 5, 2000)
 
 
