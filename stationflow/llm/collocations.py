@@ -52,8 +52,9 @@ STOP[[*b".,;:!?", 10, 11, 12, 13]] = True
 # Hashes that a task gathers before it counts them.
 GATHERED = 1 << 21
 
-# The last three bits of ``h`` are the number of words.
-COUNTED = "h long, start int, n long"
+# The last bits of ``h`` hold a phrase's start (8) and its number of words (3).
+SPARE = 11
+COUNTED = "h long, n long"
 TEXTS = "lang string, phrase string, words int, n long"
 
 
@@ -100,87 +101,107 @@ def hash_of(text: str) -> int:
 
 
 def hashed(batch: pa.RecordBatch):
-    """For every block of a batch: lower-case bytes, word spans, pieces, row of each word, and hashes by number of words.
-
-    Entry ``k - 1`` of the hashes belongs to the phrases of ``k`` words that begin
-    at each word, whether or not these lie in one piece. They differ by language.
-    """
+    """For every block of a batch: lower-case bytes, word spans, pieces, row and hash of each word. Hashes differ by language."""
     langs = batch.column("lang").dictionary_encode()
     salts = mix(np.array([hash_of(x) for x in langs.dictionary.to_pylist()], U))
     own = langs.indices.to_numpy()
     for first, last, offsets, raw in blocks(batch.column("text")):
         data = LOWER[raw]
         start, end, text, piece = pieced(data, offsets)
-        if not len(start):
-            continue
-        word = mix(spans_hash(prefixes(data), start, end) ^ salts[own[first:last][text]])
-        whole = [mix(word + U(1))]  # order matters in the sums below
-        for words in range(2, min(LONGEST, len(word)) + 1):
-            whole.append(mix(whole[-1][:-1] + word[words - 1 :]))
-        yield data, start, end, piece, first + text, whole
+        if len(start):
+            yield data, start, end, piece, first + text, mix(spans_hash(prefixes(data), start, end) ^ salts[own[first:last][text]])
 
 
 def slot(h: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    return ((h >> U(3)) & U(len(slots) - 1)).astype(np.int64)
+    return ((h >> U(SPARE)) & U(len(slots) - 1)).astype(np.int64)
+
 
+def longer(word: np.ndarray, piece: np.ndarray, slots: np.ndarray):
+    """For two words and more: (words, places, hashes, starts) of the phrases whose two subphrases have been seen often enough.
+
+    A start is the scan from which a phrase counts. Only these phrases can have
+    longer ones of the kind, so each length looks at what the one before found,
+    and starts no sooner.
+    """
+    at, h = np.arange(len(word)), mix(word + U(1))  # order matters in the sums below
+    start = np.zeros(len(word), U)
+    for words in range(2, LONGEST + 1):
+        since = slots[slot(h, slots)]
+        pair = np.flatnonzero((since[:-1] != NEVER) & (since[1:] != NEVER) & (at[1:] - at[:-1] == 1))
+        pair = pair[piece[at[pair]] == piece[at[pair] + words - 1]]
+        if not len(pair):
+            return
+        start = np.maximum(start, since.astype(U) + U(1))
+        start = np.maximum(start[pair], start[pair + 1])
+        at, h = at[pair], mix(h[pair] + word[at[pair] + words - 1])
+        yield words, at, h, start
 
-def active(slots: np.ndarray, whole: np.ndarray, scan: int):
-    """(places, starts): pairs of neighbouring subphrases whose phrase is counted in this scan."""
-    since = slots[slot(whole, slots)]
-    ready = np.flatnonzero((since[:-1] != NEVER) & (since[1:] != NEVER))
-    start = np.maximum(since[ready], since[ready + 1]).astype(np.int32) + 1
-    now = (start <= scan) & (start > scan - SHARDS)
-    return ready[now], start[now]
+
+def packed(h: np.ndarray, start, words: int) -> np.ndarray:
+    """A hash that also holds the phrase's start and number of words."""
+    return (h & ~U((1 << SPARE) - 1)) | (start << U(3)) | U(words)
 
 
 def counted(batches, scan: int, slots: np.ndarray | None):
-    """The phrases that this scan counts, as rows of ``COUNTED``: words in the first cycle, longer ones as ``active``."""
-    hashes, starts, size = [], [], 0
+    """The phrases that this scan counts, as rows of ``COUNTED``: words in the first cycle, longer ones for a cycle from their start."""
+    found, size = [], 0
 
     def flush():
-        h, some, n = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
-        return record(h=signed(h), start=np.concatenate(starts)[some], n=n.astype(np.int64))
+        h, n = np.unique(np.concatenate(found), return_counts=True)
+        return record(h=signed(h), n=n.astype(np.int64))
 
     for batch in batches:
-        for _, _, _, piece, _, whole in hashed(batch):
-            found = [(whole[0], np.zeros(len(piece), np.int32))] if scan < SHARDS else []
-            if slots is not None:
-                for k in range(1, len(whole)):
-                    at, start = active(slots, whole[k - 1], scan)
-                    inside = piece[at] == piece[at + k]
-                    found.append((whole[k][at[inside]], start[inside]))
-            for words, (h, start) in enumerate(found, 1 if scan < SHARDS else 2):
-                hashes.append((h & ~U(7)) | U(words))
-                starts.append(start)
-                size += len(h)
+        for _, _, _, piece, _, word in hashed(batch):
+            if scan < SHARDS:
+                found.append(packed(mix(word + U(1)), U(0), 1))
+                size += len(word)
+            for words, _, h, start in longer(word, piece, slots) if slots is not None else ():
+                now = (start <= scan) & (start + U(SHARDS) > scan)
+                found.append(packed(h[now], start[now], words))
+                size += len(found[-1])
             if size >= GATHERED:
                 yield flush()
-                hashes, starts, size = [], [], 0
+                found, size = [], 0
     if size:
         yield flush()
 
 
-def texts_of(batch: pa.RecordBatch, wanted: np.ndarray):
+def texts_of(batches, wanted: np.ndarray):
     """Phrases whose slot is wanted, and all words as a phrase of none, as rows of ``TEXTS``."""
-    langs = batch.column("lang").dictionary_encode()
-    own = langs.indices.to_numpy()
-    for data, start, end, piece, row, whole in hashed(batch):
-        phrases, lang = written(data, start, end), own[row]
-        each = np.flatnonzero(np.bincount(lang))
-        yield record(
-            lang=langs.dictionary.take(pa.array(each)), phrase=pa.array([""] * len(each)), words=np.zeros(len(each), np.int32),
-            n=np.bincount(lang)[each].astype(np.int64),
-        )
-        for k, h in enumerate(whole):
-            at = np.flatnonzero(wanted[slot(h, wanted)])
-            at = at[piece[at] == piece[at + k]]
-            _, some, n = np.unique(h[at], return_index=True, return_counts=True)
-            at = at[some]
-            if len(at):
-                yield record(
-                    lang=langs.dictionary.take(pa.array(lang[at])), phrase=phrases(at, k + 1), words=np.full(len(at), k + 1, np.int32),
+    hashes, rows, size = [], [], 0
+
+    def flush():
+        _, some, to = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        both = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+        n = np.bincount(to, weights=both.column("n").to_numpy()).astype(np.int64)
+        return both.take(pa.array(some)).set_column(3, "n", pa.array(n))
+
+    for batch in batches:
+        langs = batch.column("lang").dictionary_encode()
+        own = langs.indices.to_numpy()
+        for data, start, end, piece, row, word in hashed(batch):
+            phrases, lang = written(data, start, end), own[row]
+            each = np.flatnonzero(np.bincount(lang))
+            yield record(
+                lang=langs.dictionary.take(pa.array(each)), phrase=pa.array([""] * len(each)), words=np.zeros(len(each), np.int32),
+                n=np.bincount(lang)[each].astype(np.int64),
+            )
+            first = mix(word + U(1))
+            for words, at, h, _ in [(1, np.arange(len(word)), first, None), *longer(word, piece, np.where(wanted, 0, NEVER).astype(np.uint8))]:
+                keep = wanted[slot(h, wanted)]
+                h, some, n = np.unique(h[keep], return_index=True, return_counts=True)
+                at = at[keep][some]
+                hashes.append(packed(h, U(0), words))
+                size += len(h)
+                rows.append(record(
+                    lang=langs.dictionary.take(pa.array(lang[at])), phrase=phrases(at, words), words=np.full(len(at), words, np.int32),
                     n=n.astype(np.int64),
-                )
+                ))
+            if size >= GATHERED // 4:
+                yield flush()
+                hashes, rows, size = [], [], 0
+    if size:
+        yield flush()
 
 
 def slots_of(words: int) -> int:
@@ -191,7 +212,7 @@ def slots_of(words: int) -> int:
 
 def often(rows: DataFrame, slots: int) -> np.ndarray:
     """Whether each slot has a phrase of these rows: a bitmap, merged on the executors."""
-    at = F.shiftrightunsigned("h", 3).bitwiseAND(F.lit(slots - 1))
+    at = F.shiftrightunsigned("h", SPARE).bitwiseAND(F.lit(slots - 1))
     # Spark numbers buckets from 1 for the positions 1 to 32768.
     maps = rows.groupBy(F.bitmap_bucket_number(at + 1).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at + 1)).alias("bits"))
     out = np.zeros(slots, bool)
@@ -230,23 +251,21 @@ def frequent(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, Data
     while scan < SHARDS or scan <= last + SHARDS:
         fresh = scanned(texts, scan, slots)
         rows = fresh if open_rows is None else fresh.unionByName(open_rows)
-        rows = stored(rows.groupBy("h", "start").agg(F.sum("n").alias("n")), "phrase-counts")
+        rows = stored(rows.groupBy("h").agg(F.sum("n").alias("n")), "phrase-counts")
         if scan == 0:
             slots = np.full(slots_of(SHARDS * (rows.agg(F.sum("n")).first()[0] or 0)), NEVER, np.uint8)
         enough = rows.filter(F.col("n") >= least)
         now = often(enough.filter(F.col("h").bitwiseAND(F.lit(7)) < LONGEST), len(slots)) & (slots == NEVER)
         if now.any():
             slots, last = np.where(now, np.uint8(scan), slots), scan
-        whole = F.col("start") + SHARDS - 1 == scan
+        whole = F.shiftright("h", 3).bitwiseAND(F.lit(255)) + (SHARDS - 1) == scan
         done.append(enough.filter(whole).select("h"))
         open_rows = rows.filter(~whole)
         scan += 1
     table = sent(spark, often(reduce(DataFrame.union, done), len(slots)))
 
     def run(batches):
-        wanted = table()
-        for batch in batches:
-            yield from texts_of(batch, wanted)
+        yield from texts_of(batches, table())
 
     found = texts.select("lang", "text").mapInArrow(run, TEXTS).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
     found = stored(found.filter((F.col("n") >= least) | (F.col("words") == 0)), "frequent-phrases")
