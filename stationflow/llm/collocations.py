@@ -21,17 +21,19 @@ Scores are ratios of whole numbers in 38 digits.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm.common import LOWER, U, blocks, mix, owners, prefixes, ranges, record, runs, signed, spans_hash
 from stationflow.session import scratch_path, stored
 
-SHARDS = 4
+SHARDS = 3
 LONGEST = 5
 LEAST_COUNT = 100
 BEST = 2000
@@ -56,6 +58,8 @@ GATHERED = 1 << 21
 SPARE = 11
 COUNTED = "h long, n long"
 TEXTS = "lang string, phrase string, words int, n long"
+TEXT_NAMES = ["h", "lang", "phrase", "words", "n"]
+BUNDLES = "share int, h array<long>, lang array<string>, phrase array<string>, words array<int>, n array<long>"
 
 
 def dealt(docs: DataFrame) -> str:
@@ -166,42 +170,51 @@ def counted(batches, scan: int, slots: np.ndarray | None):
         yield flush()
 
 
-def texts_of(batches, wanted: np.ndarray):
-    """Phrases whose slot is wanted, and all words as a phrase of none, as rows of ``TEXTS``."""
-    hashes, rows, size = [], [], 0
+def combined(rows: list[pa.RecordBatch]) -> pa.Table:
+    """One row per phrase, counts added up."""
+    both = pa.Table.from_batches(rows).group_by(["h", "lang", "phrase", "words"]).aggregate([("n", "sum")])
+    return both.rename_columns({"n_sum": "n"}).select(TEXT_NAMES)
 
-    def flush():
-        _, some, to = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        both = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-        n = np.bincount(to, weights=both.column("n").to_numpy()).astype(np.int64)
-        return both.take(pa.array(some)).set_column(3, "n", pa.array(n))
 
+def bundles(found: pa.Table, parts: int):
+    """The phrases of a task, as a row for each of ``parts`` shares."""
+    share = found.column("h").to_numpy() % parts
+    found = found.take(pa.array(np.argsort(share, kind="stable"))).combine_chunks()
+    ends = np.concatenate([[0], np.cumsum(np.bincount(share, minlength=parts))]).astype(np.int32)
+    lists = {c: pa.ListArray.from_arrays(pa.array(ends), found.column(c).combine_chunks()) for c in TEXT_NAMES}
+    yield record(share=np.arange(parts, dtype=np.int32), **lists).filter(pa.array(np.diff(ends) > 0))
+
+
+def texts_of(batches, wanted: np.ndarray, parts: int):
+    """Phrases whose slot is wanted, and all words as a phrase of none, with their counts, in bundles."""
+    rows, size, since = [], 0, np.where(wanted, 0, NEVER).astype(np.uint8)
     for batch in batches:
         langs = batch.column("lang").dictionary_encode()
-        own = langs.indices.to_numpy()
+        names, own = langs.dictionary.cast(pa.string()), langs.indices.to_numpy()
         for data, start, end, piece, row, word in hashed(batch):
             phrases, lang = written(data, start, end), own[row]
-            each = np.flatnonzero(np.bincount(lang))
-            yield record(
-                lang=langs.dictionary.take(pa.array(each)), phrase=pa.array([""] * len(each)), words=np.zeros(len(each), np.int32),
-                n=np.bincount(lang)[each].astype(np.int64),
-            )
-            first = mix(word + U(1))
-            for words, at, h, _ in [(1, np.arange(len(word)), first, None), *longer(word, piece, np.where(wanted, 0, NEVER).astype(np.uint8))]:
+            each, first = np.flatnonzero(np.bincount(lang)), mix(word + U(1))
+            rows.append(record(
+                h=signed(np.zeros(len(each), U)), lang=names.take(pa.array(each)), phrase=pa.array([""] * len(each)),
+                words=np.zeros(len(each), np.int32), n=np.bincount(lang)[each].astype(np.int64),
+            ))
+            for words, at, h, _ in [(1, np.arange(len(word)), first, None), *longer(word, piece, since)]:
                 keep = wanted[slot(h, wanted)]
                 h, some, n = np.unique(h[keep], return_index=True, return_counts=True)
                 at = at[keep][some]
-                hashes.append(packed(h, U(0), words))
-                size += len(h)
                 rows.append(record(
-                    lang=langs.dictionary.take(pa.array(lang[at])), phrase=phrases(at, words), words=np.full(len(at), words, np.int32),
+                    h=signed(h), lang=names.take(pa.array(lang[at])), phrase=phrases(at, words), words=np.full(len(at), words, np.int32),
                     n=n.astype(np.int64),
                 ))
+                size += len(at)
             if size >= GATHERED // 4:
-                yield flush()
-                hashes, rows, size = [], [], 0
-    if size:
-        yield flush()
+                found = combined(rows)
+                rows, size = found.to_batches(), 0
+                if len(found) >= GATHERED // 2:
+                    yield from bundles(found, parts)
+                    rows = []
+    if rows:
+        yield from bundles(combined(rows), parts)
 
 
 def slots_of(words: int) -> int:
@@ -263,12 +276,25 @@ def frequent(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, Data
         open_rows = rows.filter(~whole)
         scan += 1
     table = sent(spark, often(reduce(DataFrame.union, done), len(slots)))
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        yield from texts_of(batches, table())
-
-    found = texts.select("lang", "text").mapInArrow(run, TEXTS).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    found = stored(found.filter((F.col("n") >= least) | (F.col("words") == 0)), "frequent-phrases")
+        yield from texts_of(batches, table(), parts)
+
+    def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for batch in batches:
+            for k in range(batch.num_rows):
+                rows.append(record(**{c: batch.column(c)[k].values for c in TEXT_NAMES}))
+                size += rows[-1].num_rows
+                if size >= GATHERED // 4:
+                    rows, size = combined(rows).to_batches(), 0
+        both = combined(rows)
+        enough = pc.or_(pc.greater_equal(both.column("n"), least), pc.equal(both.column("words"), 0))
+        yield from both.filter(enough).select(TEXT_NAMES[1:]).to_batches()
+
+    found = texts.select("lang", "text").mapInArrow(run, BUNDLES).groupBy("share").applyInArrow(meet, TEXTS)
+    found = stored(found, "frequent-phrases")
     return found.filter("words > 0"), found.filter("words = 0").select("lang", "n")
 
 
