@@ -11,9 +11,9 @@ table of fixed size: a byte per slot, the scan after which the first phrase of
 that slot got there. A slot never changes again, so phrases that share one are
 merely counted sooner, for a full cycle too, and no count depends on its size.
 
-Scans count hashes of phrases, a few bytes each. A last pass writes out those
-counted often enough and counts them by their words, so that no two phrases can
-pass for one.
+Scans count hashes of phrases, a few bytes each. A last cycle, of all shards at
+once, counts the longest phrases, and by their words those that were counted
+often enough, so that no two phrases can pass for one.
 
 Scores are ratios of whole numbers in 38 digits.
 """
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from stationflow.llm.common import LOWER, U, blocks, mix, owners, prefixes, ranges, record, runs, signed, spans_hash
 from stationflow.session import scratch_path, stored
 
-SHARDS = 3
+SHARDS = 4
 LONGEST = 5
 LEAST_COUNT = 100
 BEST = 2000
@@ -58,8 +58,8 @@ GATHERED = 1 << 21
 SPARE = 11
 COUNTED = "h long, n long"
 TEXTS = "lang string, phrase string, words int, n long"
-TEXT_NAMES = ["h", "lang", "phrase", "words", "n"]
-BUNDLES = "share int, h array<long>, lang array<string>, phrase array<string>, words array<int>, n array<long>"
+TEXT_NAMES = ["lang", "phrase", "words", "n"]
+BUNDLES = "share int, lang array<string>, phrase array<string>, words array<int>, n array<long>"
 
 
 def dealt(docs: DataFrame) -> str:
@@ -120,8 +120,8 @@ def slot(h: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return ((h >> U(SPARE)) & U(len(slots) - 1)).astype(np.int64)
 
 
-def longer(word: np.ndarray, piece: np.ndarray, slots: np.ndarray):
-    """For two words and more: (words, places, hashes, starts) of the phrases whose two subphrases have been seen often enough.
+def longer(word: np.ndarray, piece: np.ndarray, slots: np.ndarray, most: int):
+    """For two to ``most`` words: (words, places, hashes, starts) of the phrases whose two subphrases have been seen often enough.
 
     A start is the scan from which a phrase counts. Only these phrases can have
     longer ones of the kind, so each length looks at what the one before found,
@@ -129,7 +129,7 @@ def longer(word: np.ndarray, piece: np.ndarray, slots: np.ndarray):
     """
     at, h = np.arange(len(word)), mix(word + U(1))  # order matters in the sums below
     start = np.zeros(len(word), U)
-    for words in range(2, LONGEST + 1):
+    for words in range(2, most + 1):
         since = slots[slot(h, slots)]
         pair = np.flatnonzero((since[:-1] != NEVER) & (since[1:] != NEVER) & (at[1:] - at[:-1] == 1))
         pair = pair[piece[at[pair]] == piece[at[pair] + words - 1]]
@@ -159,7 +159,7 @@ def counted(batches, scan: int, slots: np.ndarray | None):
             if scan < SHARDS:
                 found.append(packed(mix(word + U(1)), U(0), 1))
                 size += len(word)
-            for words, _, h, start in longer(word, piece, slots) if slots is not None else ():
+            for words, _, h, start in longer(word, piece, slots, LONGEST - 1) if slots is not None else ():
                 now = (start <= scan) & (start + U(SHARDS) > scan)
                 found.append(packed(h[now], start[now], words))
                 size += len(found[-1])
@@ -172,15 +172,15 @@ def counted(batches, scan: int, slots: np.ndarray | None):
 
 def combined(rows: list[pa.RecordBatch]) -> pa.Table:
     """One row per phrase, counts added up."""
-    both = pa.Table.from_batches(rows).group_by(["h", "lang", "phrase", "words"]).aggregate([("n", "sum")])
-    return both.rename_columns({"n_sum": "n"}).select(TEXT_NAMES)
+    both = pa.Table.from_batches(rows).group_by(["share", "lang", "phrase", "words"]).aggregate([("n", "sum")])
+    return both.rename_columns({"n_sum": "n"}).select(["share", *TEXT_NAMES])
 
 
 def bundles(found: pa.Table, parts: int):
     """The phrases of a task, as a row for each of ``parts`` shares."""
-    share = found.column("h").to_numpy() % parts
-    found = found.take(pa.array(np.argsort(share, kind="stable"))).combine_chunks()
-    ends = np.concatenate([[0], np.cumsum(np.bincount(share, minlength=parts))]).astype(np.int32)
+    # In order, neighbours share their first bytes, and compress.
+    found = found.sort_by([("share", "ascending"), ("phrase", "ascending")]).combine_chunks()
+    ends = np.concatenate([[0], np.cumsum(np.bincount(found.column("share").to_numpy(), minlength=parts))]).astype(np.int32)
     lists = {c: pa.ListArray.from_arrays(pa.array(ends), found.column(c).combine_chunks()) for c in TEXT_NAMES}
     yield record(share=np.arange(parts, dtype=np.int32), **lists).filter(pa.array(np.diff(ends) > 0))
 
@@ -195,15 +195,17 @@ def texts_of(batches, wanted: np.ndarray, parts: int):
             phrases, lang = written(data, start, end), own[row]
             each, first = np.flatnonzero(np.bincount(lang)), mix(word + U(1))
             rows.append(record(
-                h=signed(np.zeros(len(each), U)), lang=names.take(pa.array(each)), phrase=pa.array([""] * len(each)),
+                share=np.zeros(len(each), np.int32), lang=names.take(pa.array(each)), phrase=pa.array([""] * len(each)),
                 words=np.zeros(len(each), np.int32), n=np.bincount(lang)[each].astype(np.int64),
             ))
-            for words, at, h, _ in [(1, np.arange(len(word)), first, None), *longer(word, piece, since)]:
-                keep = wanted[slot(h, wanted)]
-                h, some, n = np.unique(h[keep], return_index=True, return_counts=True)
-                at = at[keep][some]
+            for words, at, h, _ in [(1, np.arange(len(word)), first, None), *longer(word, piece, since, LONGEST)]:
+                if words < LONGEST:  # the longest are counted here only, in this last cycle
+                    keep = wanted[slot(h, wanted)]
+                    at, h = at[keep], h[keep]
+                h, some, n = np.unique(h, return_index=True, return_counts=True)
+                at = at[some]
                 rows.append(record(
-                    h=signed(h), lang=names.take(pa.array(lang[at])), phrase=phrases(at, words), words=np.full(len(at), words, np.int32),
+                    share=(h % U(parts)).astype(np.int32), lang=names.take(pa.array(lang[at])), phrase=phrases(at, words), words=np.full(len(at), words, np.int32),
                     n=n.astype(np.int64),
                 ))
                 size += len(at)
@@ -223,16 +225,17 @@ def slots_of(words: int) -> int:
     return 1 << max(FEW_SLOTS, min(MANY_SLOTS, wanted)).bit_length() - 1
 
 
-def often(rows: DataFrame, slots: int) -> np.ndarray:
-    """Whether each slot has a phrase of these rows: a bitmap, merged on the executors."""
+def often(rows: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each slot has a phrase of these rows, and whether it has one short enough to lead to another scan."""
     at = F.shiftrightunsigned("h", SPARE).bitwiseAND(F.lit(slots - 1))
-    # Spark numbers buckets from 1 for the positions 1 to 32768.
-    maps = rows.groupBy(F.bitmap_bucket_number(at + 1).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at + 1)).alias("bits"))
-    out = np.zeros(slots, bool)
-    for row in maps.collect():  # slots / 8 bytes at most
+    leads = (F.col("h").bitwiseAND(F.lit(7)) < LONGEST - 1).alias("leads")
+    # Bitmaps are merged on the executors. Spark numbers buckets from 1 for the positions 1 to 32768.
+    maps = rows.groupBy(leads, F.bitmap_bucket_number(at + 1).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at + 1)).alias("bits"))
+    out = np.zeros((2, slots), bool)
+    for row in maps.collect():  # slots / 4 bytes at most
         here = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little").astype(bool)
-        out[(row["k"] - 1) * BITMAP : row["k"] * BITMAP] = here
-    return out
+        out[int(row["leads"]), (row["k"] - 1) * BITMAP : row["k"] * BITMAP] = here
+    return out[0] | out[1], out[1]
 
 
 def sent(spark, table: np.ndarray):
@@ -254,13 +257,13 @@ def scanned(texts: DataFrame, scan: int, slots: np.ndarray | None) -> DataFrame:
 def frequent(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, n of all phrases seen ``least`` times; lang and n of all words).
 
-    The number of scans does not depend on the input: five cycles at most, less
-    what longer phrases overlap with shorter ones.
+    The number of scans does not depend on the input: a cycle for each length but
+    the last at most, less what longer phrases overlap with shorter ones.
     """
     spark = docs.sparkSession
     texts = spark.read.schema("lang string, text string, shard int").parquet(dealt(docs))
     open_rows, slots, done, last, scan = None, None, [], -1, 0
-    # The scans end a cycle after the last one that found a phrase often enough in a free slot.
+    # The scans end a cycle after the last one that found a phrase in a free slot that longer ones but the longest build on.
     while scan < SHARDS or scan <= last + SHARDS:
         fresh = scanned(texts, scan, slots)
         rows = fresh if open_rows is None else fresh.unionByName(open_rows)
@@ -268,14 +271,15 @@ def frequent(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, Data
         if scan == 0:
             slots = np.full(slots_of(SHARDS * (rows.agg(F.sum("n")).first()[0] or 0)), NEVER, np.uint8)
         enough = rows.filter(F.col("n") >= least)
-        now = often(enough.filter(F.col("h").bitwiseAND(F.lit(7)) < LONGEST), len(slots)) & (slots == NEVER)
-        if now.any():
-            slots, last = np.where(now, np.uint8(scan), slots), scan
+        now, leads = often(enough, len(slots))
+        if (leads & (slots == NEVER)).any():
+            last = scan
+        slots = np.where(now & (slots == NEVER), np.uint8(scan), slots)
         whole = F.shiftright("h", 3).bitwiseAND(F.lit(255)) + (SHARDS - 1) == scan
         done.append(enough.filter(whole).select("h"))
         open_rows = rows.filter(~whole)
         scan += 1
-    table = sent(spark, often(reduce(DataFrame.union, done), len(slots)))
+    table = sent(spark, often(reduce(DataFrame.union, done), len(slots))[0])
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
@@ -285,13 +289,14 @@ def frequent(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, Data
         rows, size = [], 0
         for batch in batches:
             for k in range(batch.num_rows):
-                rows.append(record(**{c: batch.column(c)[k].values for c in TEXT_NAMES}))
+                lists = {c: batch.column(c)[k].values for c in TEXT_NAMES}
+                rows.append(record(share=np.zeros(len(lists["n"]), np.int32), **lists))
                 size += rows[-1].num_rows
                 if size >= GATHERED // 4:
                     rows, size = combined(rows).to_batches(), 0
         both = combined(rows)
         enough = pc.or_(pc.greater_equal(both.column("n"), least), pc.equal(both.column("words"), 0))
-        yield from both.filter(enough).select(TEXT_NAMES[1:]).to_batches()
+        yield from both.filter(enough).select(TEXT_NAMES).to_batches()
 
     found = texts.select("lang", "text").mapInArrow(run, BUNDLES).groupBy("share").applyInArrow(meet, TEXTS)
     found = stored(found, "frequent-phrases")
