@@ -24,7 +24,7 @@ LEAST_RUN = 80
 
 
 def places(docs: DataFrame) -> DataFrame:
-    """d1, d2 (digest), doc_id, start, length, again: whether its own text has it before."""
+    """d1, d2 (digest), document (doc_id, twin), start, length, again: whether its own text has it before."""
 
     def work(batch):
         for first, last, offsets, data in blocks(batch.column("text")):
@@ -34,31 +34,30 @@ def places(docs: DataFrame) -> DataFrame:
             ranked = np.column_stack([text[order], both[order]])
             again = np.zeros(len(start), bool)
             again[order[1:]] = (ranked[1:] == ranked[:-1]).all(axis=1)
-            ids = batch.column("doc_id").slice(first, last - first).take(pa.array(text))
+            ids, twins = (batch.column(c).slice(first, last - first).take(pa.array(text)) for c in ("doc_id", "twin"))
             yield record(
-                d1=both[:, 0].copy(), d2=both[:, 1].copy(), doc_id=ids,
+                d1=both[:, 0].copy(), d2=both[:, 1].copy(), doc_id=ids, twin=twins,
                 start=(start - offsets[text]).astype(np.int32), length=(end - start).astype(np.int32), again=again,
             )
 
-    return arrow_map(docs, ["doc_id", "text"], work, "d1 long, d2 long, doc_id long, start int, length int, again boolean")
+    return arrow_map(docs, ["doc_id", "twin", "text"], work, "d1 long, d2 long, doc_id long, twin long, start int, length int, again boolean")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id and the list of (start, length) of its repeated chunks.
+    """A document and the list of (start, length) of its repeated chunks.
 
-    The first place is the smallest doc_id; a null id comes last. A text's list
-    is no longer than the text.
+    The first place is that of the smallest doc_id, a null id last, and among
+    texts of one id of the smallest twin. A text's list is no longer than the text.
     """
-    found = places(docs)
+    found, own = places(docs), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "twin")
     common = (
-        found.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n >= 2").drop("n")
+        found.groupBy("d1", "d2").agg(F.min(own).alias("first"), F.count("*").alias("n")).filter("n >= 2").drop("n")
     )
-    later = F.coalesce(F.col("doc_id") > F.col("first"), F.col("first").isNotNull())
     return (
         found.join(common, ["d1", "d2"])
-        .filter(F.col("again") | later)
-        .select("doc_id", F.struct("start", "length").alias("chunk"))
-        .groupBy("doc_id")
+        .filter(F.col("again") | (own > F.col("first")))
+        .select("doc_id", "twin", F.struct("start", "length").alias("chunk"))
+        .groupBy("doc_id", "twin")
         .agg(F.collect_set("chunk").alias("chunks"))
     )
 
@@ -85,14 +84,17 @@ OUTPUT = "doc_id long, text string, n_bytes long, n_removed long, n_spans long,
 def removed(docs: DataFrame) -> DataFrame:
     """Every document with its remaining text and what was cut from it.
 
-    Null texts are empty. Repeated rows of one id are one document and are cut
-    alike. An empty table gives none.
+    Null texts are empty, a null id is the last. Texts of one id, or of none, are
+    documents each; rows equal in both are one document and are cut alike. An
+    empty table gives none.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("twin"), text.alias("text"))
     found = stored(repeats(rows), "repeated-chunks")
     touched, clean = split_by_filter(rows, "doc_id", id_filter(found, "doc_id"))
-    joined = touched.join(found.withColumnRenamed("doc_id", "_of"), F.col("doc_id").eqNullSafe(F.col("_of")), "left")
-    both = clean.withColumn("chunks", F.lit(None).cast(found.schema["chunks"].dataType)).unionByName(joined.drop("_of"))
+    found = found.withColumnsRenamed({"doc_id": "_of", "twin": "_twin"})
+    joined = touched.join(found, F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("twin") == F.col("_twin")), "left")
+    both = clean.withColumn("chunks", F.lit(None).cast(found.schema["chunks"].dataType)).unionByName(joined.drop("_of", "_twin"))
 
     def work(batch):
         out = []

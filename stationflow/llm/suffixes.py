@@ -76,45 +76,49 @@ def window_keys(data: np.ndarray, offsets: np.ndarray):
     return key, start, count, np.add.reduceat(hits.astype(np.int64), np.cumsum(span) - span) > 1
 
 
+def identity(docs: DataFrame) -> list:
+    """doc_id, null as the largest, and ``twin``, which tells texts of one id apart: the two order documents."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64(text).alias("twin"), text.alias("text")]
+
+
 def normal(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
+    return docs.select(*identity(docs))
 
 
 def shared_pieces(docs: DataFrame) -> DataFrame:
-    """doc_id and its (key, place) of keys that two pieces have; a place packs first window and windows."""
+    """A document and its (key, place) of keys that two pieces have; a place packs first window and windows."""
 
     def work(batch):
         for first, last, offsets, data in blocks(batch.column("text")):
             key, start, count, again = window_keys(data, offsets)
             who = np.searchsorted(offsets, start, "right") - 1
+            ids, twins = (batch.column(c).slice(first, last - first).take(pa.array(who)) for c in ("doc_id", "twin"))
             yield record(
-                key=signed(key), doc_id=batch.column("doc_id").slice(first, last - first).take(pa.array(who)),
+                key=signed(key), doc_id=ids, twin=twins,
                 place=((start - offsets[who]) << SHIFT) | count, again=again,
             )
 
-    found = arrow_map(docs, ["doc_id", "text"], work, "key long, doc_id long, place long, again boolean")
+    found = arrow_map(docs, ["doc_id", "twin", "text"], work, "key long, doc_id long, twin long, place long, again boolean")
     common = found.groupBy("key").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("n")).filter("n >= 2").select("key")
     # A text has no more pieces than bytes.
     return (
         found.join(common, "key")
-        .select("doc_id", F.struct("key", "place").alias("piece"))
-        .groupBy("doc_id").agg(F.collect_set("piece").alias("pieces"))
+        .select("doc_id", "twin", F.struct("key", "place").alias("piece"))
+        .groupBy("doc_id", "twin").agg(F.collect_set("piece").alias("pieces"))
     )
 
 
-PIECE = "key long, doc_id long, start int, count int, bytes binary"
+PIECE = "key long, doc_id long, twin long, start int, count int, bytes binary"
 
 
 class Seen:
     """Pieces sent before by this task, with their earliest place."""
 
     def __init__(self):
-        self.places: dict[bytes, tuple[int, int]] = {}
+        self.places: dict[bytes, tuple[int, int, int]] = {}
 
-    def copy(self, content: bytes, place: tuple[int, int]) -> bool:
+    def copy(self, content: bytes, place: tuple[int, int, int]) -> bool:
         """Whether a piece at an earlier or the same place had this content."""
         digest = blake2b(content, digest_size=16).digest()
         known = self.places.get(digest)
@@ -127,8 +131,8 @@ class Seen:
 
 
 def piece_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
     names = [x.split()[0] for x in PIECE.split(", ")]
     return record(**{n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
@@ -137,23 +141,23 @@ def pieces(docs: DataFrame) -> DataFrame:
     """Pieces with their bytes; null bytes: the task has sent the same from an earlier place."""
     found = stored(shared_pieces(docs), "pieces-of-text")
     near, _ = split_by_filter(docs, "doc_id", id_filter(found, "doc_id"))
-    near = near.join(found, "doc_id")
+    near = near.join(found, ["doc_id", "twin"])
 
     def run(batches):
         seen = Seen()
         for batch in batches:
             for first in range(0, batch.num_rows, 64):
                 part, out = batch.slice(first, 64), []
-                for doc_id, text, own in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "pieces")), strict=True):
+                for doc_id, twin, text, own in zip(*(part.column(c).to_pylist() for c in ("doc_id", "twin", "text", "pieces")), strict=True):
                     raw = text.encode()
                     for p in sorted(own, key=lambda p: p["place"]):
                         start, count = p["place"] >> SHIFT, p["place"] & ((1 << SHIFT) - 1)
                         content = raw[start : start + count + LENGTH - 1]
-                        sent = seen.copy(content, (doc_id, start))
-                        out.append((p["key"], doc_id, start, count, None if sent else content))
+                        sent = seen.copy(content, (doc_id, twin, start))
+                        out.append((p["key"], doc_id, twin, start, count, None if sent else content))
                 yield piece_rows(out)
 
-    return near.select("doc_id", "text", "pieces").mapInArrow(run, PIECE)
+    return near.select("doc_id", "twin", "text", "pieces").mapInArrow(run, PIECE)
 
 
 def singles(rows: DataFrame) -> DataFrame:
@@ -165,17 +169,17 @@ def singles(rows: DataFrame) -> DataFrame:
             for first, last, offsets, data in blocks(batch.column("bytes")):
                 out = []
                 part = batch.slice(first, last - first)
-                ids, starts = part.column("doc_id").to_pylist(), part.column("start").to_pylist()
+                ids, twins, starts = (part.column(c).to_pylist() for c in ("doc_id", "twin", "start"))
                 raw, sums = data.tobytes(), prefixes(data)
-                for k, (doc_id, start) in enumerate(zip(ids, starts, strict=True)):
+                for k, (doc_id, twin, start) in enumerate(zip(ids, twins, starts, strict=True)):
                     at = np.arange(offsets[k], offsets[k + 1] - LENGTH + 1)
                     for a, key in zip(at.tolist(), signed(spans_hash(sums, at, at + LENGTH)).tolist(), strict=True):
                         content, place = raw[a : a + LENGTH], start + a - int(offsets[k])
-                        sent = seen.copy(content, (doc_id, place))
-                        out.append((key, doc_id, place, 1, None if sent else content))
+                        sent = seen.copy(content, (doc_id, twin, place))
+                        out.append((key, doc_id, twin, place, 1, None if sent else content))
                 yield piece_rows(out)
 
-    return rows.select("doc_id", "start", "bytes").mapInArrow(run, PIECE)
+    return rows.select("doc_id", "twin", "start", "bytes").mapInArrow(run, PIECE)
 
 
 def eights(text: np.ndarray) -> np.ndarray:
@@ -278,7 +282,7 @@ def common_prefixes(suffixes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.minimum(out, LENGTH)
 
 
-def repeated(contents: list[bytes], doc_ids: np.ndarray, starts: np.ndarray):
+def repeated(contents: list[bytes], doc_ids: np.ndarray, twins: np.ndarray, starts: np.ndarray):
     """(piece, first, last window) of all windows that start earlier elsewhere."""
     sizes = np.array([len(c) + 1 for c in contents])
     text = np.frombuffer(b"\xff".join(contents) + b"\xff", np.uint8) + np.uint8(1)  # no UTF-8 byte is 255
@@ -292,11 +296,11 @@ def repeated(contents: list[bytes], doc_ids: np.ndarray, starts: np.ndarray):
     at, group = suffixes[member], group[member]
     begin = np.cumsum(sizes) - sizes
     piece = np.searchsorted(begin, at, "right") - 1
-    doc, place = doc_ids[piece], starts[piece] + at - begin[piece]
-    order = np.lexsort((place, doc, group))
-    at, group, doc, place = at[order], group[order], doc[order], place[order]
+    doc, twin, place = doc_ids[piece], twins[piece], starts[piece] + at - begin[piece]
+    order = np.lexsort((place, twin, doc, group))
+    at, group, doc, twin, place = at[order], group[order], doc[order], twin[order], place[order]
     first = np.maximum.accumulate(np.where(np.concatenate([[True], group[1:] != group[:-1]]), np.arange(len(at)), 0)) if len(at) else at
-    later = (doc != doc[first]) | (place != place[first])
+    later = (doc != doc[first]) | (twin != twin[first]) | (place != place[first])
     gone = np.zeros(len(text), bool)
     gone[at[later]] = True
     a, b = runs(gone, np.append(begin, len(text)))
@@ -304,46 +308,47 @@ def repeated(contents: list[bytes], doc_ids: np.ndarray, starts: np.ndarray):
     return owner, a - begin[owner], b - 1 - begin[owner]
 
 
-SPAN = "doc_id long, start int, end int"
+SPAN = "doc_id long, twin long, start int, end int"
 
 
 def spans_of(rows: DataFrame) -> DataFrame:
     """Spans that repeat: pieces are brought together by key and sorted block by block."""
 
     def run(batches):
-        keys, ids, starts, contents, size = [], [], [], [], 0
+        keys, ids, twins, starts, contents, size = [], [], [], [], [], 0
 
         def flush(upto):
-            doc_ids, begin = np.array(ids[:upto], np.int64), np.array(starts[:upto], np.int64)
-            owner, first, last = repeated(contents[:upto], doc_ids, begin)
-            del keys[:upto], ids[:upto], starts[:upto], contents[:upto]
+            doc_ids, twin, begin = (np.array(x[:upto], np.int64) for x in (ids, twins, starts))
+            owner, first, last = repeated(contents[:upto], doc_ids, twin, begin)
+            del keys[:upto], ids[:upto], twins[:upto], starts[:upto], contents[:upto]
             return record(
-                doc_id=doc_ids[owner], start=(begin[owner] + first).astype(np.int32), end=(begin[owner] + last + LENGTH).astype(np.int32)
+                doc_id=doc_ids[owner], twin=twin[owner], start=(begin[owner] + first).astype(np.int32), end=(begin[owner] + last + LENGTH).astype(np.int32)
             )
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("key", "doc_id", "start", "bytes"))
-            for key, doc_id, start, content in zip(*columns, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("key", "doc_id", "twin", "start", "bytes"))
+            for key, doc_id, twin, start, content in zip(*columns, strict=True):
                 if size >= SORT_BLOCK and key != keys[-1]:
                     yield flush(len(keys))
                     size = 0
                 keys.append(key)
                 ids.append(doc_id)
+                twins.append(twin)
                 starts.append(start)
                 contents.append(content)
                 size += len(content)
         if keys:
             yield flush(len(keys))
 
-    sent = rows.filter("bytes IS NOT NULL").select("key", "doc_id", "start", "bytes")
+    sent = rows.filter("bytes IS NOT NULL").select("key", "doc_id", "twin", "start", "bytes")
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = sent.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(run, SPAN)
-    known = rows.filter("bytes IS NULL").select("doc_id", "start", (F.col("start") + F.col("count") + (LENGTH - 1)).alias("end"))
+    known = rows.filter("bytes IS NULL").select("doc_id", "twin", "start", (F.col("start") + F.col("count") + (LENGTH - 1)).alias("end"))
     return near.union(known)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id and its spans (start, end) in bytes, overlapping or not."""
+    """A document (doc_id, twin) and its spans (start, end) in bytes, overlapping or not."""
     rows = stored(pieces(docs), "pieces")
     sent = rows.filter("bytes IS NOT NULL")
     share = sent.count() // int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -353,7 +358,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     cut = stored(singles(sent.join(hot, "key", "left_semi")), "single-windows")
     copies = rows.filter("bytes IS NULL").join(hot, "key", "left_semi").select(plain.columns)
     spans = spans_of(plain.unionByName(copies).unionByName(cut))
-    return spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return spans.groupBy("doc_id", "twin").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -373,14 +378,15 @@ OUTPUT = "doc_id long, kept binary, n_bytes long, n_removed long, spans array<st
 def removed(docs: DataFrame) -> DataFrame:
     """Every document with its remaining bytes and the maximal spans removed.
 
-    Null texts are empty. A null doc_id counts as the largest. Repeated rows of
-    one id are one document: they do not repeat each other, and lose the same
-    bytes. An empty table gives no rows.
+    Null texts are empty. A null doc_id counts as the largest. Texts of one id, or
+    of none, are documents each, in an order fixed by their content; rows that are
+    equal in both are one document: they do not repeat each other, and lose the
+    same bytes. An empty table gives no rows.
     """
     docs = normal(docs)
     found = stored(repeats(docs), "repeated-spans")
     touched, clean = split_by_filter(docs, "doc_id", id_filter(found, "doc_id"))
-    both = touched.join(found, "doc_id", "left").unionByName(clean.withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType)))
+    both = touched.join(found, ["doc_id", "twin"], "left").unionByName(clean.withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType)))
 
     def work(batch):
         kept, n, gone, spans = [], [], [], []
@@ -407,10 +413,11 @@ def removed(docs: DataFrame) -> DataFrame:
 def cut_texts(docs: DataFrame) -> DataFrame:
     """``docs``, all their columns, without the repeated strings in ``text``.
 
-    A character that would be cut in two goes whole. Null texts stay null.
+    A character that would be cut in two goes whole. Null texts stay null. Null
+    and repeated ids, equal rows and empty tables are as in :func:`removed`.
     """
-    found = stored(repeats(normal(docs)), "repeated-spans").select(F.col("doc_id").alias("__cut_id"), F.col("spans").alias("__cut_spans"))
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    found = stored(repeats(normal(docs)), "repeated-spans").toDF("__cut_id", "__cut_twin", "__cut_spans")
+    own, twin, _ = identity(docs)
     touched, clean = split_by_filter(docs, own, id_filter(found, "__cut_id"))
 
     @F.pandas_udf("string")
@@ -427,7 +434,7 @@ def cut_texts(docs: DataFrame) -> DataFrame:
             out.append("".join([*parts, raw[at:].decode("utf-8", "ignore")]))
         return pd.Series(out, dtype=object)
 
-    touched = touched.join(found, own == F.col("__cut_id"), "left")
+    touched = touched.join(found, (own == F.col("__cut_id")) & (twin == F.col("__cut_twin")), "left")
     touched = touched.withColumn("text", rest(F.col("text").cast("string"), "__cut_spans"))
     return touched.select(docs.columns).unionByName(clean)
 

@@ -173,3 +173,71 @@ def test_chunk_repeats(docs, texts):
         assert kept.decode() == r.text and r.kept_sha256 == sha256(kept).hexdigest()
     assert got[51].text == "" and got[3].n_removed == 0
     assert all(got[k].n_removed > 150 for k in range(41, 46)) and got[40].n_removed == 0
+
+
+@pytest.fixture(scope="module")
+def shared_ids(spark, texts):
+    """Several texts of one id and of none, some alike, some not, and equal rows."""
+    alone = ["日本é " * 60 + str(k) + " unlike any other " * 3 + "ü" * k for k in range(3)]
+    rows = [(7, texts[41]), (7, texts[42]), (7, "é" + texts[5]), (None, texts[43]), (None, alone[0]), (None, texts[41]), (None, texts[41])]
+    rows += [(3, alone[1]), (3, alone[1]), (3, None), (None, None), (None, alone[2] + texts[61])]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def documents_in_order(df):
+    """(id, text) of every document, those of one id by the hash of their text."""
+    rows = df.selectExpr("doc_id", "coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS twin").distinct().collect()
+    return [(r.doc_id, r.text) for r in sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.twin))]
+
+
+def test_repeated_strings_of_shared_ids(shared_ids):
+    order = documents_in_order(shared_ids)
+    want = brute_repeats({k: text for k, (_, text) in enumerate(order)})
+    kept = {(i, t): want[k] for k, (i, t) in enumerate(order)}
+    rows = [(r.doc_id, r.text or "") for r in shared_ids.collect()]
+    got = sorted((r.doc_id is None, r.doc_id or 0, bytes(r.kept)) for r in suffixes.removed(shared_ids).collect())
+    assert got == sorted((i is None, i or 0, kept[i, t]) for i, t in rows)
+    cut = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in suffixes.cut_texts(shared_ids).collect())
+    assert [(a, b) for a, b, _ in cut] == [(a, b) for a, b, _ in got]
+    assert sum("unlike any other" in t for _, _, t in cut) == sum("unlike any other" in t for _, t in rows)
+
+
+def test_chunk_repeats_of_shared_ids(shared_ids):
+    """No chunk is lost: every chunk of the input is left in some document, or lies in a run of repeats."""
+    got = passages.removed(shared_ids).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted((r.doc_id is None, r.doc_id or 0) for r in shared_ids.collect())
+    assert sum("unlike any other" in r.text for r in got) == sum("unlike any other" in (r.text or "") for r in shared_ids.collect())
+
+
+def brute_chunks(order):
+    """Texts without runs of 80 bytes or more of chunks that were seen before, chunked one by one."""
+    seen, out = set(), []
+    for text in order:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        start, end, _ = passages.chunks(raw, np.array([0, len(raw)]), passages.CHUNKING) if len(raw) else ([], [], [])
+        gone = []
+        for a, b in zip(start, end, strict=True):
+            piece = raw[a:b].tobytes()
+            gone.append((a, b, piece in seen))
+            seen.add(piece)
+        runs, kept = [], b""
+        for a, b, again in gone:
+            if again and runs and runs[-1][2] and runs[-1][1] == a:
+                runs[-1][1] = b
+            else:
+                runs.append([a, b, again])
+        for a, b, again in runs:
+            if not again or b - a < 80:
+                kept += raw[a:b].tobytes()
+        out.append(kept)
+    return out
+
+
+def test_chunk_repeats_equal_a_plain_scan(docs, texts, shared_ids):
+    got = by_id(passages.removed(docs))
+    for k, kept in zip(sorted(texts), brute_chunks([texts[k] or "" for k in sorted(texts)]), strict=True):
+        assert got[k].text.encode() == kept
+    order = documents_in_order(shared_ids)
+    kept = dict(zip(order, brute_chunks([t for _, t in order]), strict=True))
+    rows = sorted((r.doc_id is None, r.doc_id or 0, kept[r.doc_id, r.text or ""]) for r in shared_ids.collect())
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text.encode()) for r in passages.removed(shared_ids).collect()) == rows
