@@ -5,7 +5,13 @@ of them go into relative-error quantile sketches, one per language, source and
 measure: a value falls into the bucket ``ceil(log(x) / log(gamma))``, so a
 quantile is known to within ``ACCURACY``, and two sketches merge by adding
 bucket counts, whatever the order. A sketch has at most a few hundred buckets.
-Cutoffs per group are joined back to the rows.
+
+No cutoff is a constant. A measure's cutoff is the farther of two places of its
+sketch: ``FENCE`` quartile widths above the median, and halfway from the median to
+the tail. Where the tail is no farther than the median, nearly all texts are
+alike, and there is no cutoff. Sketches of few texts are merged into that of
+their language, and those of few texts there into that of all texts. Cutoffs are
+joined back to the rows.
 """
 
 from __future__ import annotations
@@ -31,16 +37,15 @@ ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 LEAST = 1e-4
 FENCE = 4.0
-# Groups whose cutoffs (some 100 bytes each) are broadcast.
-BROADCAST_GROUPS = 100_000
+TAIL = 0.99
+# Texts below which a group takes the sketch of the group above it.
+FEW = 400
 
-# Measure: (expression, least cutoff). A text fails above
-# max(least, q50 + FENCE * (q75 - q50)) of its language and source.
 MEASURES = {
-    "symbols": ("n_symbols / greatest(word_chars, 1)", 0.03),
-    "lines": ("n_dup_lines / greatest(n_lines, 1)", 0.3),
-    "repeats": ("n_repeat_words / greatest(n_words, 1)", 0.2),
-    "length": ("word_chars / greatest(n_words, 1)", 12.0),
+    "symbols": "n_symbols / greatest(word_chars, 1)",
+    "lines": "n_dup_lines / greatest(n_lines, 1)",
+    "repeats": "n_repeat_words / greatest(n_words, 1)",
+    "length": "word_chars / greatest(n_words, 1)",
 }
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
@@ -118,7 +123,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def sketches(rows: DataFrame) -> DataFrame:
     """lang, source, measure, bucket, n: partial counts are combined before the exchange."""
-    ratios = F.array(*[F.struct(F.lit(k).alias("measure"), F.expr(e).alias("x")) for k, (e, _) in MEASURES.items()])
+    ratios = F.array(*[F.struct(F.lit(k).alias("measure"), F.expr(e).alias("x")) for k, e in MEASURES.items()])
     bucket = F.when(
         F.col("r.x") > LEAST, F.ceil(F.log(F.col("r.x") / LEAST) / math.log(GAMMA))
     ).otherwise(F.lit(0)).cast("int")
@@ -141,13 +146,23 @@ def quantiles(sketch: DataFrame, at: dict[str, float]) -> DataFrame:
 
 
 def cutoffs(rows: DataFrame) -> DataFrame:
-    """lang, source and one cutoff per measure."""
-    values = quantiles(sketches(rows), {"q50": 0.5, "q75": 0.75})
-    least = F.create_map(*[x for k, (_, v) in MEASURES.items() for x in (F.lit(k), F.lit(v))])
-    cutoff = F.greatest(least[F.col("measure")], F.col("q50") + FENCE * (F.col("q75") - F.col("q50")))
-    return values.groupBy("lang", "source").agg(
-        *[F.max(F.when(F.col("measure") == k, cutoff)).alias(f"max_{k}") for k in MEASURES]
-    )
+    """lang, source and one cutoff per measure, null where there is none."""
+    own = stored(sketches(rows), "rule-sketches")
+
+    def level(*names: str) -> DataFrame:
+        """The sketches merged into groups of the named columns: their size and cutoffs."""
+        keys = [F.col(c) if c in names else F.lit("").alias(c) for c in ("lang", "source")]
+        merged = own.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+        values = quantiles(merged, {"q50": 0.5, "q75": 0.75, "tail": TAIL})
+        size = merged.groupBy("lang", "source", "measure").agg(F.sum("n").alias("size"))
+        fence = F.col("q50") + FENCE * (F.col("q75") - F.col("q50"))
+        cutoff = F.when(F.col("tail") > F.col("q50"), F.greatest(fence, (F.col("q50") + F.col("tail")) / 2))
+        return values.join(size, ["lang", "source", "measure"]).select(*names, "measure", "size", cutoff.alias("cutoff"))
+
+    groups, langs, whole = level("lang", "source").alias("g"), level("lang").alias("l"), level().alias("w")
+    both = groups.join(langs, ["lang", "measure"]).join(whole, "measure")
+    chosen = F.when(F.col("g.size") >= FEW, F.col("g.cutoff")).when(F.col("l.size") >= FEW, F.col("l.cutoff")).otherwise(F.col("w.cutoff"))
+    return both.groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == k, chosen)).alias(f"max_{k}") for k in MEASURES])
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -155,17 +170,16 @@ def judged(docs: DataFrame) -> DataFrame:
 
     ``base_failed`` holds for fewer than 50 words, or more than half the words
     in repeated three-word windows. ``kept`` is false for these and for texts
-    above a cutoff of their language and source. Null language or source is a
-    group of its own; repeated rows are judged each; an empty table gives none.
+    above a cutoff of their language and source. Null and empty languages and
+    sources are one group; repeated rows are judged each; an empty table gives none.
     """
     rows = stored(measured(docs), "rule-counts")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     fits = F.lit(True)
-    for k, (e, _) in MEASURES.items():
-        fits = fits & (F.expr(e) <= F.col(f"max_{k}"))
+    for k, e in MEASURES.items():
+        fits = fits & F.coalesce(F.expr(e) <= F.col(f"max_{k}"), F.lit(True))
+    # Spark broadcasts the table of cutoffs while it is small, and else splits a hot source's rows.
     limits = stored(cutoffs(rows), "rule-cutoffs")
-    if limits.count() <= BROADCAST_GROUPS:
-        limits = F.broadcast(limits)  # else a hot source would be one task's
     return (
         rows.join(limits, ["lang", "source"], "left")
         .withColumn("base_failed", failed)

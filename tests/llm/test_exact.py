@@ -30,8 +30,8 @@ def test_rule_counts(docs, texts):
         repeated = {j for i, w in enumerate(zip(words, words[1:], words[2:], strict=False)) if seen[w] > 1 for j in (i, i + 1, i + 2)}
         lines = [x for x in (text or "").split("\n") if WORD.search(x)]
         r = got[k]
-        assert (r.n_words, r.word_chars, r.n_dup_lines, r.n_repeat_words) == (
-            len(words), sum(map(len, words)), len(lines) - len(set(lines)), len(repeated))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(repeated))
         assert r.base_failed == (len(words) < 50 or 100 * len(repeated) > 50 * len(words))
         assert not (r.kept and r.base_failed)
 
@@ -45,6 +45,37 @@ def test_quantile_sketch_is_within_its_accuracy(spark):
     assert got["symbols"].q50 == 0
 
 
+def brute_cutoff(values):
+    """Halfway from the median to the tail, or four quartile widths, from the sorted values."""
+    values = sorted(values)
+    q50, q75, tail = (values[int(np.ceil(q * len(values))) - 1] for q in (0.5, 0.75, 0.99))
+    return max(q50 + 4 * (q75 - q50), (q50 + tail) / 2) if tail > q50 else np.inf
+
+
+def test_cutoffs_follow_their_group(spark):
+    """The same text passes in a source full of symbols and fails in a plain one; few texts take the cutoff of their language."""
+    rng = np.random.default_rng(6)
+    share = {"code": 0.2, "plain": 0.002, "rare": 0.002}
+    rows = []
+    for source, n in (("code", 600), ("plain", 600), ("rare", 40)):
+        for _ in range(n):
+            marks = rng.poisson(500 * share[source] * (1 if rng.random() > 0.02 else 12))
+            rows.append((len(rows), " ".join([f"{len(rows)}x{i}abc" for i in range(100)]) + " " + "#" * marks, "en", source))
+    rows += [(-1, rows[0][1] + "#" * 60, "en", "code"), (-2, rows[0][1] + "#" * 60, "en", "plain")]
+    got = rules.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).toPandas()
+    ratio = got.n_symbols / got.word_chars
+    by = {s: brute_cutoff(ratio[got.source == s]) for s in ("code", "plain")} | {"rare": brute_cutoff(ratio)}
+    kept = got.set_index("doc_id").kept
+    for source, cutoff in by.items():
+        mine = got[got.source == source]
+        assert mine.max_symbols.iloc[0] == pytest.approx(cutoff, rel=0.03)
+        sure = (ratio[mine.index] / cutoff - 1).abs() > 0.05
+        lengths = mine.word_chars / mine.n_words
+        fits = (ratio[mine.index] <= cutoff) & (mine.max_length.isna() | (lengths <= mine.max_length))
+        assert (mine.kept == fits)[sure].all() and not mine.base_failed.any()
+    assert kept[-1] and not kept[-2]
+
+
 @pytest.mark.parametrize("path", [BYTES, LETTERS])
 def test_ids_equal_the_tokenizers(docs, texts, path):
     reference = Tokenizer.from_file(path)
