@@ -1,16 +1,14 @@
-"""Time-based splits, boosted trees and station embeddings on ``pyspark.ml``."""
+"""Time-based splits, boosted forecasts and station vectors."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from datetime import date
 
-from pyspark.ml.feature import VectorAssembler, Word2Vec
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationflow.operators.boosting import BoostSettings, Model, binned, fitted, predicted
 from stationflow.session import stored
 from stationflow.sources.schemas import FLOWS
 
@@ -19,34 +17,11 @@ from stationflow.sources.schemas import FLOWS
 WINDOW = 5
 
 
-@dataclass(frozen=True)
-class BoostSettings:
-    """Boosting parameters; fewer rounds with a larger step than a native library."""
-
-    rounds: int = 50
-    patience: int = 10
-    step: float = 0.1
-    depth: int = 5
-    row_share: float = 0.7
-    feature_share: float = 0.7
-    seed: int = 0
-
-
-# Depth, row and feature share of each kind of model.
-MINUTE = BoostSettings(depth=5, row_share=0.7, feature_share=0.7)
-PEAK = BoostSettings(depth=8, row_share=0.7, feature_share=0.7)
-HOUR = BoostSettings(depth=8, row_share=0.8, feature_share=0.8)
-DAY_BEFORE = BoostSettings(depth=6, row_share=0.9, feature_share=0.9)
-
-
-@dataclass(frozen=True)
-class BoostResult:
-    """The refitted model of one flow, its round count and validation errors."""
-
-    flow: str
-    model: GBTRegressionModel
-    best_rounds: int
-    validation_mae: tuple[float, ...]
+# Depth, leaves, penalties, row and feature share of each kind of model.
+MINUTE = BoostSettings(depth=5, leaves=30, row_share=0.7, feature_share=0.7)
+PEAK = BoostSettings(depth=8, leaves=100, l1=0.0, l2=0.0, row_share=0.7, feature_share=0.7)
+HOUR = BoostSettings(depth=8, leaves=63, row_share=0.8, feature_share=0.8)
+DAY_BEFORE = BoostSettings(depth=6, leaves=63, row_share=0.9, feature_share=0.9)
 
 
 def label_split(df: DataFrame, validation: date, target: date) -> DataFrame:
@@ -60,55 +35,6 @@ def label_split(df: DataFrame, validation: date, target: date) -> DataFrame:
     )
 
 
-def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Feature vector plus the columns to keep, cut from the feature plan.
-
-    Boosting starts many jobs from its input, so the vectors are written to the
-    shared folder first: a lost executor costs a re-read, never the features
-    again. Read back, they are split by size, whatever partitions wrote them.
-    """
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(
-        df.fillna(0, subset=list(features))
-    )
-    return stored(vectors.select(*keep, "features"), "vectors")
-
-
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """The round with the least error before ``patience`` rounds bring nothing better."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def fit_boosted(vectors: DataFrame, flow: str, settings: BoostSettings) -> BoostResult:
-    """Fit on train, take the best round on valid, refit on both with that count."""
-
-    def trees(rounds: int) -> GBTRegressor:
-        return GBTRegressor(
-            labelCol=flow,
-            featuresCol="features",
-            lossType="squared",
-            maxIter=rounds,
-            stepSize=settings.step,
-            maxDepth=settings.depth,
-            subsamplingRate=settings.row_share,
-            featureSubsetStrategy=str(settings.feature_share),
-            checkpointInterval=10,
-            seed=settings.seed,
-        )
-
-    train, valid = (vectors.filter(F.col("split") == s) for s in ("train", "valid"))
-    trial = trees(settings.rounds).fit(train)
-    errors = trial.evaluateEachIteration(valid, "absolute")
-    best = best_round(errors, settings.patience)
-    final = trees(best).fit(vectors.filter(F.col("split").isin("train", "valid")))
-    return BoostResult(flow, final, best, tuple(errors))
-
-
 def boosted_forecast(
     features: DataFrame,
     columns: Sequence[str],
@@ -116,54 +42,58 @@ def boosted_forecast(
     validation: date,
     target: date,
     settings: BoostSettings = BoostSettings(),
-) -> tuple[DataFrame, list[BoostResult]]:
+) -> tuple[DataFrame, list[Model]]:
     """Predictions of both flows at the target day, negatives clipped to 0."""
-    labelled = label_split(features, validation, target)
-    vectors = assemble(labelled, columns, [*keys, *FLOWS, "split"])
-    results = [fit_boosted(vectors, flow, settings) for flow in FLOWS]
-    scored = vectors.filter(F.col("split") == "test").drop(*FLOWS)
-    for r in results:
-        scored = r.model.transform(scored).withColumnRenamed("prediction", r.flow)
-    clipped = [F.greatest(F.col(f), F.lit(0.0)).alias(f) for f in FLOWS]
-    return scored.select(*keys, *clipped), results
-
-
-def station_vectors(
-    stations: DataFrame,
-    size: int = 8,
-    sentence: int = 1000,
-    partitions: int = 4,
-    seed: int = 0,
-) -> DataFrame:
-    """Word vectors of stations, with a line as a sentence and a station as a word.
-
-    Lines longer than ``sentence`` stations are cut, as Word2Vec does itself, so
-    no line is gathered whole. Pieces overlap by the window, so that stations on
-    either side of a cut are still each other's context. The model Spark returns
-    holds one vector per station, and its size follows the network, not the taps.
+    data = binned(label_split(features, validation, target), columns, FLOWS, keys, settings.bins)
+    models = fitted(data, settings)
+    clipped = [F.greatest(F.col(f"{f}_predicted"), F.lit(0.0)).alias(f) for f in FLOWS]
+    return predicted(data, models, "test", keys).select(*keys, *clipped), models
+
+
+def line_neighbours(stations: DataFrame, window: int = WINDOW) -> DataFrame:
+    """stationID, otherID and n: how often two stations lie within ``window`` places on a line.
+
+    Places are joined by equality, one row per distance, so a long line costs its
+    length, not its square.
     """
-    overlap = min(WINDOW, sentence // 2)
-    step = sentence - overlap
-    last = F.floor(F.col("linePos") / step)
-    # The head of a piece also ends the one before it.
-    also = (last > 0) & (F.col("linePos") % step < overlap)
-    piece = F.explode(F.when(also, F.array(last - 1, last)).otherwise(F.array(last)))
-    ordered = F.sort_array(F.collect_list(F.struct("linePos", F.col("stationID").cast("string").alias("word"))))
-    lines = (
-        stations.withColumn("piece", piece)
-        .groupBy("lineID", "piece")
-        .agg(ordered.alias("cells"))
-        .select(F.col("cells.word").alias("words"))
-    )
-    model = Word2Vec(
-        vectorSize=size,
-        minCount=1,
-        maxSentenceLength=sentence,
-        windowSize=WINDOW,
-        numPartitions=partitions,
-        maxIter=partitions,
-        inputCol="words",
-        outputCol="vector",
-        seed=seed,
-    ).fit(lines)
-    return model.getVectors().select(F.col("word").cast("int").alias("stationID"), "vector")
+    away = F.explode(F.array(*[F.lit(k) for k in range(-window, window + 1) if k])).alias("away")
+    near = stations.select("stationID", "lineID", "linePos", away).withColumn("linePos", F.col("linePos") + F.col("away"))
+    other = stations.select("lineID", "linePos", F.col("stationID").alias("otherID"))
+    both = near.join(other, ["lineID", "linePos"]).filter("stationID <> otherID")
+    return both.groupBy("stationID", "otherID").agg(F.count("*").alias("n"))
+
+
+def line_weights(pairs: DataFrame) -> DataFrame:
+    """stationID, otherID and p: positive pointwise mutual information, as shares of a station's sum."""
+    per = stored(pairs, "line-pairs")
+    alone = per.groupBy("stationID").agg(F.sum("n").alias("own"))
+    other = alone.select(F.col("stationID").alias("otherID"), F.col("own").alias("others"))
+    total = per.agg(F.sum("n")).first()[0] or 0
+    both = per.join(alone, "stationID").join(other, "otherID")
+    pmi = F.greatest(F.log(F.col("n") * F.lit(float(total)) / (F.col("own") * F.col("others"))), F.lit(0.0))
+    known = both.select("stationID", "otherID", pmi.alias("m"))
+    sums = known.groupBy("stationID").agg(F.sum("m").alias("s")).filter("s > 0")
+    return known.join(sums, "stationID").select("stationID", "otherID", (F.col("m") / F.col("s")).alias("p"))
+
+
+def station_vectors(stations: DataFrame, size: int = 8, steps: int = 3, window: int = WINDOW) -> DataFrame:
+    """stationID and v1 .. v<size>: stations that share the surroundings of a line lie close together.
+
+    With a line as a sentence and a station as a word: random numbers, fixed by
+    a hash of the station, are carried ``steps`` times along the weights of
+    :func:`line_weights`, each step a join and a sum. A vector is the sum of the
+    steps' vectors, each of length 1. Stations without neighbours have zeros.
+    """
+    weights = stored(line_weights(line_neighbours(stations, window)), "line-weights")
+    digest = F.md5(F.concat_ws(":", "stationID", "k"))
+    start = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(2.0**32) - 0.5
+    now = stations.select("stationID").distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(size)))).withColumn("x", start)
+    every, total = now.select("stationID", "k"), None
+    for _ in range(steps):
+        sent = now.withColumnRenamed("stationID", "otherID")
+        now = stored(weights.join(sent, "otherID").groupBy("stationID", "k").agg(F.sum(F.col("p") * F.col("x")).alias("x")), "station-step")
+        length = now.groupBy("stationID").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+        unit = now.join(length, "stationID").select("stationID", "k", F.try_divide("x", "length").alias("x"))
+        total = unit if total is None else total.unionByName(unit)
+    parts = every.select("*", F.lit(0.0).alias("x")).unionByName(total)
+    return parts.groupBy("stationID").agg(*[F.sum(F.when(F.col("k") == k, F.col("x")).otherwise(0.0)).alias(f"v{k}") for k in range(1, size + 1)])

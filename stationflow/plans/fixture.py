@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from stationflow.functions.calendar import DayPlan
 from stationflow.operators import forecast as fc
 from stationflow.operators import slots as sl
+from stationflow.operators.boosting import BoostSettings
 from stationflow.session import stored
 
 PLAN = DayPlan(date(2024, 1, 1), date(2024, 1, 30), holidays=(date(2024, 1, 1),))
@@ -37,6 +38,11 @@ SCHEMAS = {
 }
 
 
+# Three rounds of one split each, and the cut points of their features.
+STUMPS = BoostSettings(rounds=3, step=0.5, depth=1, leaves=2, l1=1.0, l2=2.0, row_share=1.0, feature_share=1.0)
+STUMP_EDGES = ((0, 7, 11), (5, 8, 12, 16, 20), (20,), (2, 4), (0,), (0,))
+
+
 @dataclass(frozen=True)
 class Fixture:
     spark: SparkSession

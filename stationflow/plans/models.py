@@ -14,7 +14,7 @@ from stationflow.operators import slots as sl
 from stationflow.plans import features as plans
 from stationflow.sources.schemas import FLOWS
 
-Fitted = tuple[DataFrame, list[md.BoostResult]]
+Fitted = tuple[DataFrame, list[md.Model]]
 # Labels, keys without meaning to a tree, and columns empty at the target day.
 NOT_FEATURES = ("date", "weekend", "day_since_first", *FLOWS, *sl.DEVICE_COUNTS)
 SLOT = ["stationID", "hour", "minute"]

@@ -594,14 +594,8 @@ def statements() -> dict[str, str]:
       FROM (SELECT *, {each(lambda f: slide(f, 60) + ', ' + slide(f, 120))} FROM work)"""
     q["R5_slot_trend"] = slot_trend()
     q["R6_linear_history"] = linear_history()
-    held = "true AS inNums_valid, true AS outNums_valid, true AS closed_zero"
-    q["F11_boosted_hours"] = f"SELECT DISTINCT stationID, hour, {held} FROM template WHERE stationID NOT IN {SPECIAL}"
-    q["F11_boosted_minutes"] = f"SELECT {TEMPLATE_KEYS}, {held} FROM template"
-    q["F11_boosted_peak"] = f"""SELECT stationID, hour, minute, {held} FROM template
-      WHERE stationID NOT IN {SPECIAL} AND hour IN {PEAK}"""
-    q["F11_boosted_workday"] = f"SELECT {TEMPLATE_KEYS}, {held} FROM template"
-    q["F11_boosted_weekend"] = f"SELECT {TEMPLATE_KEYS}, {held} FROM template28"
-    q["R7_station_vectors"] = "SELECT stationID, 8 AS size, true AS known FROM station"
+    q["F11_boosted_stumps"] = boosted_stumps()
+    q["R7_station_vectors"] = station_vectors()
     q["R8_line_number"] = f"SELECT {SLOT_KEYS}, lineID FROM filled JOIN station USING (stationID)"
     q["R9_weekday_history"] = weekday_history("work", SLOT_KEYS, "stationID, hour, minute")
     q["R9_weekday_hour_history"] = weekday_history("work_hour", HOUR_KEYS, "stationID, hour")
@@ -616,5 +610,59 @@ def statements() -> dict[str, str]:
     return q
 
 
+def boosted_stumps(rounds: int = 3) -> str:
+    """Least-squares boosting by one split a round: step 0.5, L1 1, L2 2, trained on the days before the target."""
+    edges = {"stationID": (0, 7, 11), "hour": (5, 8, 12, 16, 20), "minute": (20,), "week": (2, 4), "inNums_last_1": (0,), "outNums_last_1": (0,)}
+    bins = [" + ".join(f"CAST({c} > {e} AS INT)" for e in cuts) for c, cuts in edges.items()]
+    shrunk = lambda g: f"sign({g}) * greatest(abs({g}) - 1, 0)"
+    score = lambda g, n: f"pow({shrunk(g)}, 2) / ({n} + 2)"
+    leaf = lambda g, n: f"({shrunk(g)}) / ({n} + 2)"
+    parts = [f"seen AS (SELECT {SLOT_KEYS}, day, inNums, outNums, {', '.join(f'{b} AS b{i}' for i, b in enumerate(bins))} FROM ({lagged('work', SERIES, (1,))}))"]
+    for f in FLOWS:
+        parts.append(f"{f}0 AS (SELECT *, CAST({f} AS DOUBLE) AS y, avg(CASE WHEN day <> 30 THEN {f} END) OVER () AS p FROM seen)")
+        for r in range(rounds):
+            items = ", ".join(f"{{'feature': {i}, 'bin': b{i}}}" for i in range(len(edges)))
+            parts.append(f"""{f}cell{r} AS (
+  SELECT t.c.feature AS feature, t.c.bin AS bin, sum(y - p) AS s, count(*) AS n
+  FROM {f}{r}, unnest([{items}]) AS t(c) WHERE day <> 30 GROUP BY ALL)""")
+            parts.append(f"""{f}side{r} AS (
+  SELECT feature, bin, sum(s) OVER upto AS l, sum(n) OVER upto AS ln, sum(s) OVER whole AS g, sum(n) OVER whole AS n
+  FROM {f}cell{r} WINDOW upto AS (PARTITION BY feature ORDER BY bin), whole AS (PARTITION BY feature))""")
+            parts.append(f"""{f}best{r} AS (
+  SELECT *, {score('l', 'ln')} + {score('g - l', 'n - ln')} - {score('g', 'n')} AS gain
+  FROM {f}side{r} ORDER BY ln < n DESC, gain DESC, feature, bin LIMIT 1)""")
+            bin_ = "CASE feature " + " ".join(f"WHEN {i} THEN b{i}" for i in range(len(edges))) + " END"
+            parts.append(f"""{f}{r + 1} AS (
+  SELECT d.* REPLACE (p + 0.5 * CASE WHEN gain <= 0 OR ln = n THEN {leaf('g', 'n')}
+    WHEN {bin_} <= bin THEN {leaf('l', 'ln')} ELSE {leaf('g - l', 'n - ln')} END AS p)
+  FROM {f}{r} d, {f}best{r})""")
+    return f""", {', '.join(parts)}
+SELECT {SLOT_KEYS}, round(i.p, 6) + 0.0 AS inNums, round(o.p, 6) + 0.0 AS outNums
+FROM inNums{rounds} i JOIN outNums{rounds} o USING ({SLOT_KEYS}) WHERE i.day = 30"""
+
+
+def station_vectors(size: int = 8, steps: int = 3) -> str:
+    """Hashed numbers carried along the lines' positive mutual information; the sum of the steps' unit vectors."""
+    walk = "".join(
+        f""", step{t} AS (SELECT a AS stationID, k, sum(w * x) AS x FROM weight JOIN step{t - 1} ON b = stationID GROUP BY ALL)
+, unit{t} AS (SELECT stationID, k, x / nullif(sqrt(sum(x * x) OVER (PARTITION BY stationID)), 0) AS x FROM step{t})"""
+        for t in range(1, steps + 1)
+    )
+    columns = ", ".join(f"round(coalesce(sum(x) FILTER (k = {k}), 0.0), 6) + 0.0 AS v{k}" for k in range(1, size + 1))
+    return f""", pair AS (
+  SELECT a.stationID AS a, b.stationID AS b, count(*) AS n FROM station a JOIN station b
+  ON a.lineID = b.lineID AND a.stationID <> b.stationID AND abs(a.linePos - b.linePos) BETWEEN 1 AND 5 GROUP BY ALL)
+, own AS (SELECT a, sum(n) AS n FROM pair GROUP BY a)
+, pmi AS (
+  SELECT pair.a, pair.b, greatest(ln(pair.n * (SELECT sum(n) FROM pair) / (x.n * y.n)), 0) AS m
+  FROM pair JOIN own x ON x.a = pair.a JOIN own y ON y.a = pair.b)
+, weight AS (SELECT a, b, m / sum(m) OVER (PARTITION BY a) AS w FROM pmi QUALIFY sum(m) OVER (PARTITION BY a) > 0)
+, step0 AS (
+  SELECT stationID, k, CAST('0x' || substr(md5(stationID || ':' || k), 1, 8) AS BIGINT) / 4294967296.0 - 0.5 AS x
+  FROM station, range(1, {size + 1}) AS t(k)){walk}
+SELECT s.stationID, {columns} FROM station s LEFT JOIN ({' UNION ALL '.join(f'SELECT * FROM unit{t}' for t in range(1, steps + 1))}) USING (stationID)
+GROUP BY s.stationID"""
+
+
 def oracles() -> dict[str, str]:
     return {name: BASE + body for name, body in statements().items()}

@@ -55,7 +55,7 @@ def difference(spark_df, con, sql: str) -> str | None:
 
 def type_difference(spark_df, con, sql: str) -> str | None:
     names = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-             "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+             "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
     want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
     got = {n: names.get(t, t) for n, t in spark_df.dtypes}
     bad = {n: (got[n], want.get(n)) for n in got if got[n] != want.get(n)}
