@@ -68,6 +68,25 @@ def previous_kept_day(
     )
 
 
+def shifted_day(
+    df: DataFrame,
+    kept: Sequence[date],
+    by: int = 1,
+    keys: Sequence[str] = SLOT_SERIES,
+    flows: Sequence[str] = FLOWS,
+) -> DataFrame:
+    """Flows of the kept day ``by`` places earlier, 0 where it has no row.
+
+    The frame is a range of the day's place among the kept days, so a slot that
+    is absent on a day is not passed over, as it is by a row lag. Rows of other
+    days get 0. One window over the series, no join of the table with itself.
+    """
+    frame = f"(PARTITION BY {', '.join(keys)} ORDER BY _place RANGE BETWEEN {by} PRECEDING AND {by} PRECEDING)"
+    placed = df.withColumn("_place", cal.day_index(F.col("date"), kept))
+    earlier = [f"if(_place IS NULL, 0, coalesce(sum({f}) OVER {frame}, 0)) AS {lag_name(f, by)}" for f in flows]
+    return placed.selectExpr("*", *earlier).drop("_place")
+
+
 def group_shift(
     df: DataFrame, column: str, k: int, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:

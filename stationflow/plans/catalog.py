@@ -297,7 +297,14 @@ def _(f: Fixture) -> DataFrame:
 
 @entry("J7_shifted_day")
 def _(f: Fixture) -> DataFrame:
-    shifted = ft.lag_features(f.filled(), lags=(1,))
+    shifted = ft.shifted_day(f.filled(), PLAN.days())
+    return added(shifted, SLOT_KEYS, "inNums_last", "outNums_last")
+
+
+@entry("J7_shifted_kept_day")
+def _(f: Fixture) -> DataFrame:
+    """Slots with taps only: most have no row on the workday before."""
+    shifted = ft.shifted_day(sl.on_days(f.slots(WORK), WORK), WORK)
     return added(shifted, SLOT_KEYS, "inNums_last", "outNums_last")
 
 

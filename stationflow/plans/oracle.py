@@ -486,10 +486,13 @@ def statements() -> dict[str, str]:
     q["J6_attach_aggregate"] = f"""SELECT {SLOT_KEYS}, {r6('a', 'inNums_whm_mean')}, {r6('b', 'outNums_whm_mean')}
       FROM slot JOIN (SELECT stationID, isodow(date) AS w, hour, minute, avg(inNums) AS a, avg(outNums) AS b
                       FROM slot GROUP BY ALL) m USING (stationID, hour, minute) WHERE m.w = isodow(date)"""
-    q["J7_shifted_day"] = """SELECT stationID, date, hour, minute, coalesce(p.inNums, 0) AS inNums_last_1,
-      coalesce(p.outNums, 0) AS outNums_last_1 FROM filled LEFT JOIN
-      (SELECT stationID, CAST(date + INTERVAL 1 DAY AS DATE) AS date, hour, minute, inNums, outNums FROM filled) p
-      USING (stationID, date, hour, minute)"""
+    earlier = lambda place: each(
+        lambda f: f"CAST(coalesce(sum({f}) OVER (PARTITION BY stationID, hour, minute ORDER BY {place} "
+        f"RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS {f}_last_1"
+    )
+    q["J7_shifted_day"] = f"SELECT {SLOT_KEYS}, {earlier('day')} FROM filled"
+    q["J7_shifted_kept_day"] = f"""SELECT {SLOT_KEYS}, {earlier('place')} FROM slot JOIN
+      (SELECT date, row_number() OVER (ORDER BY date) AS place FROM alld WHERE weekend = 0 AND day <> 1) USING (date)"""
     q["J8_days_side_by_side"] = """SELECT stationID, hour, minute, a.inNums AS inNums_12, a.outNums AS outNums_12,
       b.inNums AS inNums_13, b.outNums AS outNums_13, c.inNums AS inNums_19, c.outNums AS outNums_19,
       d.inNums AS inNums_20, d.outNums AS outNums_20

@@ -228,3 +228,18 @@ def test_days_count_across_months(spark):
     series = sl.slot_series(df, [r[1] for r in rows], ["stationID"]).first()
     assert series.days == [1, 2, 30] and series.in_series == [1, 3, 5]
     assert sl.day_runs([r[1] for r in rows]) == [(rows[0][1], rows[1][1]), (rows[2][1], rows[2][1])]
+
+
+def test_shifted_day_does_not_pass_over_a_missing_day(spark):
+    """Kept days 4, 5, 8 and 9; the slot has no row on day 5, and day 6 is not kept."""
+    from datetime import date
+
+    from stationflow.operators import features as ft
+
+    kept = [date(2024, 1, d) for d in (4, 5, 8, 9)]
+    rows = [(1, date(2024, 1, d), 7, 0, n, 2 * n) for d, n in ((4, 10), (6, 99), (8, 30), (9, 40))]
+    df = spark.createDataFrame(rows, "stationID int, date date, hour int, minute int, inNums long, outNums long")
+    got = {r.date.day: (r.inNums_last_1, r.outNums_last_1) for r in ft.shifted_day(df, kept).collect()}
+    assert got == {4: (0, 0), 6: (0, 0), 8: (0, 0), 9: (30, 60)}
+    twice = {r.date.day: r.inNums_last_2 for r in ft.shifted_day(df, kept, by=2).collect()}
+    assert twice == {4: 0, 6: 0, 8: 10, 9: 0}
