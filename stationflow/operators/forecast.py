@@ -336,6 +336,38 @@ def trend_forecast(hours: DataFrame, kept: Sequence[date], target: date) -> Data
     return clip_negative(fitted)
 
 
+def piecewise_trend(
+    hours: DataFrame, kept: Sequence[date], target: date, changes: Sequence[date], ridge: float = 1.0
+) -> DataFrame:
+    """A broken line per station and hour through the kept days, read off at the target.
+
+    The slope may change at the days of ``changes``, which lie before the target.
+    The line is a sum of 1, the day and a hinge per change; ``ridge`` shrinks the
+    slope and the changes, so that few days still give one solution. Normal
+    equations of all keys are summed in one aggregate and solved by elimination
+    in column expressions. Negative values become 0.
+    """
+    x = F.datediff(F.col("date"), F.lit(target)).cast("double")
+    bends = [float((day - target).days) for day in sorted(changes)]
+    basis = [F.lit(1.0), x, *[F.greatest(x - F.lit(c), F.lit(0.0)) for c in bends]]
+    at_target = [1.0, 0.0, *[-c for c in bends]]
+    n, ends = len(basis), range(len(basis))
+    products = [F.sum(basis[i] * basis[j]).alias(f"a{i}_{j}") for i in ends for j in ends if i <= j]
+    sides = [F.sum(basis[i] * F.col(f)).alias(f"{f}_{i}") for f in FLOWS for i in ends]
+    rows = on_days(hours, [d for d in kept if d != target]).groupBy(*HOUR).agg(*products, *sides)
+    rows = rows.withColumns({f"a{i}_{i}": F.col(f"a{i}_{i}") + ridge for i in ends if i})
+    for p in ends:  # The matrix is symmetric and positive, so its diagonal can always be divided by.
+        share = {i: F.col(f"a{p}_{i}") / F.col(f"a{p}_{p}") for i in range(p + 1, n)}
+        less = {f"a{i}_{j}": F.col(f"a{i}_{j}") - share[i] * F.col(f"a{p}_{j}") for i in share for j in share if i <= j}
+        less |= {f"{f}_{i}": F.col(f"{f}_{i}") - share[i] * F.col(f"{f}_{p}") for f in FLOWS for i in share}
+        rows = rows.withColumns(less) if less else rows
+    for p in reversed(ends):
+        known = {f: reduce(add, [F.col(f"a{p}_{j}") * F.col(f"{f}_{j}") for j in range(p + 1, n)], F.lit(0.0)) for f in FLOWS}
+        rows = rows.withColumns({f"{f}_{p}": (F.col(f"{f}_{p}") - known[f]) / F.col(f"a{p}_{p}") for f in FLOWS})
+    read = {f: reduce(add, [F.col(f"{f}_{i}") * F.lit(at_target[i]) for i in ends]) for f in FLOWS}
+    return clip_negative(rows.select(*HOUR, *[read[f].alias(f) for f in FLOWS]))
+
+
 def absolute_error(actual: DataFrame, forecast: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mean absolute error of each flow over the keys both tables have."""
     side = forecast.select(*keys, *[F.col(f).alias(f"_{f}") for f in FLOWS])

@@ -655,6 +655,11 @@ def _(f: Fixture) -> DataFrame:
     return fc.trend_forecast(f.work_hours(), WORK, fx.WEEKDAY_TARGET)
 
 
+@entry("F12_piecewise_trend")
+def _(f: Fixture) -> DataFrame:
+    return fc.piecewise_trend(f.work_hours(), WORK, fx.WEEKDAY_TARGET, fx.TREND_CHANGES)
+
+
 @entry("F13_mean_absolute_error")
 def _(f: Fixture) -> DataFrame:
     f = f.stored([*fx.RULE_DAYS, fx.WEEKDAY_TARGET])

@@ -38,6 +38,8 @@ SCHEMAS = {
 }
 
 
+# Days at which the trend may bend.
+TREND_CHANGES = PLAN.on(11, 20)
 # Three rounds of one split each, and the cut points of their features.
 STUMPS = BoostSettings(rounds=3, step=0.5, depth=1, leaves=2, l1=1.0, l2=2.0, row_share=1.0, feature_share=1.0)
 STUMP_EDGES = ((0, 7, 11), (5, 8, 12, 16, 20), (20,), (2, 4), (0,), (0,))

@@ -597,6 +597,7 @@ def statements() -> dict[str, str]:
       FROM (SELECT *, {each(lambda f: slide(f, 60) + ', ' + slide(f, 120))} FROM work)"""
     q["R5_slot_trend"] = slot_trend()
     q["R6_linear_history"] = linear_history()
+    q["F12_piecewise_trend"] = piecewise_trend()
     q["F11_boosted_stumps"] = boosted_stumps()
     q["R7_station_vectors"] = station_vectors()
     q["R8_line_number"] = f"SELECT {SLOT_KEYS}, lineID FROM filled JOIN station USING (stationID)"
@@ -613,6 +614,29 @@ def statements() -> dict[str, str]:
     return q
 
 
+def piecewise_trend(bends=(11, 20)) -> str:
+    """Ridge regression on 1, the day and hinges at the bends, by the determinants of its normal equations (Cramer's rule)."""
+    basis = ["1.0", "CAST(day - 30 AS DOUBLE)", *[f"CAST(greatest(day - {b}, 0) AS DOUBLE)" for b in bends]]
+    m, at = len(basis), [1, 0, *[30 - b for b in bends]]
+    sums = ", ".join(f"sum({basis[i]} * {basis[j]}) + {int(i == j and i > 0)} AS a{i}_{j}" for i in range(m) for j in range(m))
+    sides = ", ".join(f"sum({basis[i]} * {f}) AS {f}_{i}" for f in FLOWS for i in range(m))
+
+    def determinant(rows: list[list[str]]) -> str:
+        if len(rows) == 1:
+            return rows[0][0]
+        minors = (determinant([r[:k] + r[k + 1 :] for r in rows[1:]]) for k in range(len(rows)))
+        return "(" + " ".join(f"{'-' if k % 2 else '+'} {rows[0][k]} * {d}" for k, d in enumerate(minors)) + ")"
+
+    whole = [[f"a{i}_{j}" for j in range(m)] for i in range(m)]
+
+    def solved(f: str) -> str:
+        parts = [f"{at[k]} * {determinant([r[:k] + [f'{f}_{i}'] + r[k + 1 :] for i, r in enumerate(whole)])}" for k in range(m) if at[k]]
+        return f"round(greatest(0, ({' + '.join(parts)}) / {determinant(whole)}), 6) + 0.0 AS {f}"
+
+    return f"""SELECT stationID, hour, {each(solved)}
+      FROM (SELECT stationID, hour, {sums}, {sides} FROM work_hour WHERE day <> 30 GROUP BY ALL)"""
+
+
 def boosted_stumps(rounds: int = 3) -> str:
     """Least-squares boosting by one split a round: step 0.5, L1 1, L2 2, trained on the days before the target."""
     edges = {"stationID": (0, 7, 11), "hour": (5, 8, 12, 16, 20), "minute": (20,), "week": (2, 4), "inNums_last_1": (0,), "outNums_last_1": (0,)}

@@ -243,3 +243,27 @@ def test_shifted_day_does_not_pass_over_a_missing_day(spark):
     assert got == {4: (0, 0), 6: (0, 0), 8: (0, 0), 9: (30, 60)}
     twice = {r.date.day: r.inNums_last_2 for r in ft.shifted_day(df, kept, by=2).collect()}
     assert twice == {4: 0, 6: 0, 8: 10, 9: 0}
+
+
+def test_piecewise_trend_follows_a_bend(spark):
+    """Flat, then rising by 2 a day from day 8: the broken line goes on rising, the straight one falls short."""
+    from datetime import date
+
+    import numpy as np
+
+    from stationflow.operators import forecast as fc
+
+    kept, target, change = [date(2024, 1, d) for d in range(1, 16)], date(2024, 1, 18), date(2024, 1, 8)
+    level = lambda d: 10 + 2 * max(d - 8, 0)
+    rows = [(1, d, 7, level(d.day), 5) for d in kept] + [(2, kept[0], 7, 4, 4)]
+    df = spark.createDataFrame(rows, "stationID int, date date, hour int, inNums long, outNums long")
+    bent = {r.stationID: r for r in fc.piecewise_trend(df, kept, target, [change], ridge=0.001).collect()}
+    line = {r.stationID: r for r in fc.trend_forecast(df, kept, target).collect()}
+    assert abs(bent[1].inNums - 30) < 0.1 and abs(line[1].inNums - 30) > 3 and abs(bent[1].outNums - 5) < 0.01
+    x = np.array([(d - target).days for d in kept], float)
+    b = np.stack([np.ones(15), x, np.maximum(x + 10, 0)], 1)
+    for ridge in (0.001, 3.0):
+        want = np.linalg.solve(b.T @ b + ridge * np.diag([0, 1, 1]), b.T @ [level(d.day) for d in kept]) @ [1, 0, 10]
+        got = {r.stationID: r for r in fc.piecewise_trend(df, kept, target, [change], ridge).collect()}
+        assert abs(got[1].inNums - want) < 1e-6
+    assert bent[2].inNums > 0  # one day is enough for a value
