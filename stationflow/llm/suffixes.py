@@ -33,6 +33,8 @@ from stationflow.session import stored
 
 LENGTH = 100
 GRAM = 24
+# Half of the grams of a window, at most.
+NEAR = 32
 # A key's windows are keyed one by one if it has more pieces than ``HOT_SHARE`` times a task's mean
 # (and than ``HOT_LEAST``), or than a sort block should hold.
 HOT_SHARE, HOT_LEAST, HOT_MOST = 3, 1000, 20_000
@@ -59,21 +61,30 @@ def window_keys(data: np.ndarray, offsets: np.ndarray):
     while have * 2 <= width:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
+        if have == NEAR:  # a window around a gram holds the NEAR grams from it on, or those up to it
+            peak = np.zeros(n - GRAM + 1, bool)
+            peak[: len(least)] = grams[: len(least)] == least
+            peak[NEAR - 1 :] |= grams[NEAR - 1 :] == least
     if have < width:
         least = np.minimum(least[: len(least) - (width - have)], least[width - have :])
+    # Only there can a gram be the least of a window.
+    peaks = np.flatnonzero(peak)
     # least[i] is the key of the window at i; windows that cross texts are no windows.
-    ends = np.repeat(offsets[1:], np.diff(offsets))[: len(least)]
-    inside = np.flatnonzero(ends - np.arange(len(least)) >= LENGTH)
-    if not len(inside):
-        return none
-    key = least[inside]
-    first = np.ones(len(inside), bool)
-    first[1:] = (key[1:] != key[:-1]) | (np.diff(inside) != 1)
+    inside = np.zeros(len(least) + 1, bool)
+    for a, b in zip(offsets[:-1].tolist(), (offsets[1:] - LENGTH + 1).tolist(), strict=True):
+        inside[a : max(a, b)] = True
+    first = inside[:-1].copy()
+    first[1:] &= (least[1:] != least[:-1]) | ~inside[:-2]
     start = np.flatnonzero(first)
-    key, start, count = key[start], inside[start], np.diff(np.append(start, len(inside)))
-    span = count + width - 1
-    hits = grams[ranges(start, span)] == np.repeat(key, span)
-    return key, start, count, np.add.reduceat(hits.astype(np.int64), np.cumsum(span) - span) > 1
+    if not len(start):
+        return none
+    # A run ends where the next one starts, or where windows do.
+    ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+    count = np.minimum(np.append(start[1:], len(least)), ends[np.searchsorted(ends, start, "right")]) - start
+    key = least[start]
+    low, high = np.searchsorted(peaks, start), np.searchsorted(peaks, start + count + width - 1)
+    hits = grams[peaks[ranges(low, high - low)]] == np.repeat(key, high - low)
+    return key, start, count, np.add.reduceat(hits.astype(np.int64), np.cumsum(high - low) - (high - low)) > 1
 
 
 def identity(docs: DataFrame) -> list:
@@ -91,16 +102,19 @@ def shared_pieces(docs: DataFrame) -> DataFrame:
 
     def work(batch):
         for first, last, offsets, data in blocks(batch.column("text")):
-            key, start, count, again = window_keys(data, offsets)
+            key, start, count, _ = window_keys(data, offsets)
             who = np.searchsorted(offsets, start, "right") - 1
             ids, twins = (batch.column(c).slice(first, last - first).take(pa.array(who)) for c in ("doc_id", "twin"))
-            yield record(
-                key=signed(key), doc_id=ids, twin=twins,
-                place=((start - offsets[who]) << SHIFT) | count, again=again,
-            )
+            yield record(key=signed(key), doc_id=ids, twin=twins, place=((start - offsets[who]) << SHIFT) | count)
+
+    def keys(batch):
+        for _, _, offsets, data in blocks(batch.column("text")):
+            key, _, _, again = window_keys(data, offsets)
+            yield record(key=signed(key), again=again)
 
-    found = arrow_map(docs, ["doc_id", "twin", "text"], work, "key long, doc_id long, twin long, place long, again boolean")
-    common = found.groupBy("key").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("n")).filter("n >= 2").select("key")
+    found = arrow_map(docs, ["doc_id", "twin", "text"], work, "key long, doc_id long, twin long, place long")
+    counted = arrow_map(docs, ["text"], keys, "key long, again boolean")
+    common = counted.groupBy("key").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("n")).filter("n >= 2").select("key")
     # A text has no more pieces than bytes.
     return (
         found.join(common, "key")
