@@ -167,66 +167,74 @@ def record(**columns) -> pa.RecordBatch:
     )
 
 
+# Counters of a slice at least, slices of a sketch at most, and those that travel in one batch.
 SLICE = 1 << 13
-# Slices that travel in one batch.
+SLICES = 1 << 11
 SENT = 128
 
 
 def counters(df: DataFrame, columns: list, keys, width: int) -> np.ndarray:
     """Count ``keys(batch)`` (uint64) by hash into ``width`` counters: a count-min row.
 
-    The sketch has a fixed size whatever the input. Tasks send it in slices of
-    ``SLICE`` counters (those in use with their places, if they are few), slices
-    are summed on the executors, and the driver gets
-    ``width`` quantised counts (one byte each: 1 + floor(log2), 0 for none).
+    The sketch has the size the caller names, a power of two up to 2^27. A task
+    counts to 255 and sends slices (the counters in use with their places, if
+    they are few), slices are summed on the executors, and the driver gets
+    half a byte for each counter, see :func:`level_of`.
     """
-    slices = width // SLICE
+    size = min(width, max(SLICE, width // SLICES))
+    slices = width // size
 
     def count(batches):
-        total = np.zeros(width, np.uint32)
+        total = np.zeros(width, np.uint8)
         for batch in batches:
             for found in keys(batch):
                 at, n = np.unique(found & U(width - 1), return_counts=True)
-                total[at.astype(np.int64)] += n.astype(np.uint32)
-        parts = total.reshape(slices, SLICE)
+                at = at.astype(np.int64)
+                total[at] = np.minimum(total[at] + n, 255)
+        parts = total.reshape(slices, size)
         used = np.flatnonzero(parts.any(axis=1))
         for first in range(0, len(used), SENT):
             some = used[first : first + SENT]
             places, counts = [], []
             for k in some:
                 at = np.flatnonzero(parts[k])
-                few = 2 * len(at) < SLICE
+                few = 3 * len(at) < size
                 here = parts[k][at] if few else parts[k]
                 places.append(at.astype(np.uint16).tobytes() if few else b"")
-                counts.append((here.astype(np.uint16) if here.max() < 1 << 16 else here).tobytes())
+                counts.append(here.tobytes())
             yield record(slice=some.astype(np.int32), places=pa.array(places, pa.binary()), counts=pa.array(counts, pa.binary()))
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLICE, np.int64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
             for places, counts in zip(batch.column("places"), batch.column("counts"), strict=True):
-                at, raw = np.frombuffer(places.as_py(), np.uint16), counts.as_py()
-                n = len(at) or SLICE
-                total[at if len(at) else slice(None)] += np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32)
-        level = np.zeros(SLICE, np.uint8)
+                at = np.frombuffer(places.as_py(), np.uint16)
+                total[at if len(at) else slice(None)] += np.frombuffer(counts.as_py(), np.uint8)
+        level = np.zeros(size, np.uint8)
         some = total > 0
-        level[some] = 1 + np.floor(np.log2(total[some])).astype(np.uint8)
-        yield record(slice=pa.array([key[0].as_py()], pa.int32()), levels=pa.array([level.tobytes()], pa.binary()))
+        level[some] = np.minimum(15, 1 + np.floor(np.log2(total[some])))
+        yield record(slice=pa.array([key[0].as_py()], pa.int32()), levels=pa.array([(level[::2] | level[1::2] << 4).tobytes()], pa.binary()))
 
     sent = df.select(*columns).mapInArrow(count, "slice int, places binary, counts binary")
     parts = sent.groupBy("slice").applyInArrow(merge, "slice int, levels binary")
-    levels = np.zeros(width, np.uint8)
-    # At most width / SLICE rows of SLICE bytes.
+    levels = np.zeros(width // 2, np.uint8)
+    # At most SLICES rows, together half a byte for each counter.
     for row in parts.collect():
-        levels[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["levels"], np.uint8)
+        levels[row["slice"] * size // 2 : (row["slice"] + 1) * size // 2] = np.frombuffer(row["levels"], np.uint8)
     return levels
 
 
+def level_of(levels: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The counters' levels: 1 + floor(log2(count)), 15 at most, 0 for none."""
+    at = (hashes & U(2 * len(levels) - 1)).astype(np.int64)
+    return (levels[at >> 1] >> ((at & 1) << 2).astype(np.uint8)) & 15
+
+
 ID_BITS = 1 << 20
 
 
 def id_filter(ids: DataFrame, name: str) -> np.ndarray:
-    """A Bloom filter (one hash, fixed size) of long ids, as bytes.
+    """A Bloom filter (one hash, fixed size) of long ids, as counters.
 
     Ids outside it are surely absent. Beyond its capacity it lets more rows
     through to the join behind it and costs speed, never rows.
@@ -235,7 +243,7 @@ def id_filter(ids: DataFrame, name: str) -> np.ndarray:
     def keys(batch):
         yield id_hash(batch.column(0))
 
-    return counters(ids, [name], keys, ID_BITS) > 0
+    return counters(ids, [name], keys, ID_BITS)
 
 
 def id_hash(column) -> np.ndarray:
@@ -252,8 +260,7 @@ def split_by_filter(docs: DataFrame, column, bits: np.ndarray) -> tuple[DataFram
     def maybe(ids):
         import pandas as pd
 
-        at = mix(ids.fillna(-1).to_numpy().astype(np.int64).view(U)) & U(ID_BITS - 1)
-        return pd.Series(shared.value[at.astype(np.int64)])
+        return pd.Series(level_of(shared.value, mix(ids.fillna(-1).to_numpy().astype(np.int64).view(U))) > 0)
 
     inside = maybe((F.col(column) if isinstance(column, str) else column).cast("long"))
     return docs.filter(inside), docs.filter(~inside)

@@ -8,7 +8,7 @@ candidates it meets: a longer prefix reads a little more and asks for more
 shared shingles before verification. A pair must share the lesser of its two l.
 
 - Copies (equal sets) are one class, found by a 128-bit digest.
-- The order comes from counts of all shingles in a sketch of fixed size.
+- The order comes from counts of all shingles in a sketch sized by their number.
 - Large groups of near copies are not paired off: their members are first
   verified against a few hubs and merged into components; only pairs of
   different components remain to be joined and verified.
@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm.common import (
-    LOWER, U, arrow_map, blocks, counters, id_filter, mix, prefixes, record, signed, spans_hash, split_by_filter, windows, words,
+    LOWER, U, arrow_map, blocks, counters, id_filter, level_of, mix, prefixes, record, signed, spans_hash, split_by_filter, windows, words,
 )
 from stationflow.llm.components import components
 from stationflow.session import stored
 
-SKETCH = 1 << 24
+# Counters of the sketch that orders shingles: one for each shingle of the table, within these bounds.
+SKETCH = 1 << 16, 1 << 26
 # Bits of a set's parity signature, and of its fold that prefix entries carry to the last join.
 PARITY = 1024
 FOLD = 256
@@ -122,18 +123,22 @@ def sized(docs: DataFrame, width: int) -> DataFrame:
     return arrow_map(docs, ["doc_id", "text"], work, f"doc_id long, s1 long, s2 long, n long, parity binary{more}")
 
 
-def entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def sketch_size(shingles: int) -> int:
+    return min(max(1 << max(shingles - 1, 1).bit_length(), SKETCH[0]), SKETCH[1])
+
+
+def entries(docs: DataFrame, counts: int, width: int, percent: int) -> DataFrame:
     """token, rep, n, level: the longest prefixes of every class, tokens that two classes share only.
 
-    ``level`` is the least l whose prefix has the token. Returned as a written
-    table, so that the order's counts can be released.
+    ``level`` is the least l whose prefix has the token; ``counts`` is the size of
+    the order's sketch. Returned as a written table, so that it can be released.
     """
 
     def keys(batch):
         for _, _, offsets, data in blocks(batch.column("text")):
             yield shingle_sets(data, offsets, width)[0]
 
-    shared = docs.sparkSession.sparkContext.broadcast(counters(docs, ["text"], keys, SKETCH))
+    shared = docs.sparkSession.sparkContext.broadcast(counters(docs, ["text"], keys, counts))
     sent: dict[int, int] = {}
 
     def fresh(s1: int, doc_id: int) -> bool:
@@ -149,7 +154,7 @@ def entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
         for first, last, offsets, data in blocks(batch.column("text")):
             found, begin, owner = shingle_sets(data, offsets, width)
             size = np.diff(begin)
-            rarity = shared.value[(found & U(SKETCH - 1)).astype(np.int64)]
+            rarity = level_of(shared.value, found)
             order = np.lexsort((found, rarity, owner))
             place = np.arange(len(found)) - begin[owner]
             least = need(size, percent)
@@ -328,11 +333,14 @@ def merged_once(links: DataFrame, found: DataFrame | None) -> DataFrame:
 
 def class_components(docs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, component) of the classes that are linked with another class."""
-    rows = stored(adapted(entries(docs, width, percent)), "prefixes-chosen")
+    shingles = sizes.filter("n > 0").dropDuplicates(["s1", "s2"]).agg(F.sum("n")).first()[0] or 0
+    rows = stored(adapted(entries(docs, sketch_size(shingles), width, percent)), "prefixes-chosen")
     bound = PAIRS_PER_ENTRY * rows.count()
     links, found, turn, before = None, None, 0, float("inf")
+    left = rows
     while True:
-        left = stored(mixed(labelled(rows, found)), "prefixes-left")
+        # A shingle whose classes are all in one component stays so: only the others are labelled again.
+        left = stored(mixed(labelled(left.select(rows.columns), found)), "prefixes-left")
         now = pairs_left(left)
         if now <= bound or now > LEAST_PROGRESS * before:
             break
