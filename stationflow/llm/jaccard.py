@@ -44,7 +44,8 @@ VERIFY = 16.0
 # Shingle groups above this go through hubs first.
 SMALL_GROUP = 2
 # Hub rounds end when the pairs left are no more than this per prefix entry, or hardly fewer than before.
-PAIRS_PER_ENTRY = 1
+# A round takes dozens of jobs, a pair about as long as an entry.
+PAIRS_PER_ENTRY = 4
 LEAST_PROGRESS = 0.7
 NO_ID = (1 << 63) - 1
 
