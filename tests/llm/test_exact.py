@@ -12,6 +12,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
 from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, rules, suffixes  # noqa: E402
+from stationflow.llm.common import counters, level_of, prefixes, spans_hash  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BYTES, LETTERS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -272,3 +273,37 @@ def test_chunk_repeats_equal_a_plain_scan(docs, texts, shared_ids):
     kept = dict(zip(order, brute_chunks([t for _, t in order]), strict=True))
     rows = sorted((r.doc_id is None, r.doc_id or 0, kept[r.doc_id, r.text or ""]) for r in shared_ids.collect())
     assert sorted((r.doc_id is None, r.doc_id or 0, r.text.encode()) for r in passages.removed(shared_ids).collect()) == rows
+
+
+def test_window_keys_are_least_substrings():
+    """Runs of windows by their least substring's hash, counted from every window of every text."""
+    rng = np.random.default_rng(4)
+    width = suffixes.LENGTH - suffixes.GRAM + 1
+    for letters, period in ((2, 0), (3, 7), (4, 45), (26, 0), (1, 1)):
+        sizes = np.array([0, 99, 100, 101, 400, 30, 177])
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        data = rng.integers(97, 97 + letters, offsets[-1]).astype(np.uint8)
+        data = np.resize(data[:period], len(data)) if period else data
+        sums = prefixes(data)
+        at = np.arange(len(data) - suffixes.GRAM + 1)
+        grams = spans_hash(sums, at, at + suffixes.GRAM)
+        want = []
+        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+            keys = [grams[i : i + width].min() for i in range(a, b - suffixes.LENGTH + 1)]
+            edges = [k for k in range(len(keys)) if not k or keys[k] != keys[k - 1]] + [len(keys)]
+            for k, end in zip(edges[:-1], edges[1:], strict=True):
+                hits = (grams[a + k : a + end + width - 1] == keys[k]).sum()
+                want.append((keys[k], a + k, end - k, hits > 1))
+        assert list(zip(*suffixes.window_keys(data, offsets), strict=True)) == want
+
+
+def test_sketch_levels(spark):
+    """Levels of counts by place, whether tasks send all counters of a slice or few."""
+    for width, each in ((1 << 14, 40_000), (1 << 14, 50), (1 << 16, 3_000)):
+        rows = spark.range(each, numPartitions=3)
+        levels = counters(rows, ["id"], lambda batch: iter([batch.column(0).to_numpy().astype(np.uint64)]), width)
+        seen = np.bincount(np.arange(each) % width, minlength=width)
+        want = np.where(seen > 0, 1 + np.floor(np.log2(np.maximum(seen, 1))), 0)
+        assert (level_of(levels, np.arange(width, dtype=np.uint64)) == want).all()
+    assert jaccard.sketch_size(0) == jaccard.SKETCH[0] and jaccard.sketch_size(10**12) == jaccard.SKETCH[1]
+    assert jaccard.sketch_size(1 << 20) == 1 << 20 and jaccard.sketch_size((1 << 20) + 1) == 1 << 21
