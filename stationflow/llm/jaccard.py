@@ -48,6 +48,8 @@ SMALL_GROUP = 2
 PAIRS_PER_ENTRY = 4
 LEAST_PROGRESS = 0.7
 NO_ID = (1 << 63) - 1
+# Numbers from here up stand for texts of a null id.
+UNKNOWN = 1 << 62
 
 
 def need(n, percent: int):
@@ -83,9 +85,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int):
 
 
 def normal(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
+    """doc_id, or for a null one a number of the text's own from ``UNKNOWN`` up, and text."""
+    text = F.col("text").cast("string")
+    own = F.xxhash64(text).bitwiseAND(F.lit(UNKNOWN - 1)) + F.lit(UNKNOWN)
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), own).alias("doc_id"), text.alias("text"))
+
+
+def one_of_unknown(rows: DataFrame, keys: list) -> DataFrame:
+    """``rows`` with one of the copies that share a number because their ids are null."""
+    known = F.col("doc_id") < UNKNOWN
+    return rows.filter(known).unionByName(rows.filter(~known).dropDuplicates(["doc_id", *keys]))
 
 
 def digests(found: np.ndarray, begin: np.ndarray):
@@ -241,10 +250,12 @@ def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, width: int, pe
 
 
 def labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Entries with the component of their class so far."""
+    """Entries with the component of their class so far; a class is labelled once, not at each of its entries."""
     if found is None:
         return rows.withColumn("component", F.col("rep"))
-    return rows.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    classes = rows.groupBy("rep", "n", "l").agg(F.collect_list("token").alias("tokens"))
+    known = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left")
+    return known.select(F.explode("tokens").alias("token"), "rep", "n", "l", F.coalesce("component", "rep").alias("component"))
 
 
 def mixed(rows: DataFrame) -> DataFrame:
@@ -334,6 +345,9 @@ def merged_once(links: DataFrame, found: DataFrame | None) -> DataFrame:
 
 def class_components(docs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, component) of the classes that are linked with another class."""
+    if sizes.filter(F.col("doc_id") >= UNKNOWN).head(1):
+        sizes = stored(one_of_unknown(sizes, ["s1", "s2"]), "sizes-once")
+        docs = stored(one_of_unknown(docs, ["text"]), "texts-once")
     shingles = sizes.filter("n > 0").dropDuplicates(["s1", "s2"]).agg(F.sum("n")).first()[0] or 0
     rows = stored(adapted(entries(docs, sketch_size(shingles), width, percent)), "prefixes-chosen")
     bound = PAIRS_PER_ENTRY * rows.count()
@@ -358,8 +372,11 @@ def joined(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
 
     Links hold between texts whose shingle sets have a Jaccard similarity of
     ``percent`` / 100 or more; a component's id is its smallest doc_id. Texts
-    without words, and null texts, have no shingles and no links. A null doc_id
-    counts as the largest id. Repeated rows give a row each.
+    without words, and null texts, have no shingles and no links. Every text of
+    a null doc_id is a document of its own, linked by its own text; its component
+    is null if no linked row has an id. Rows of one id are one document, linked
+    if one of its texts is. Repeated rows give a row each, an empty table none.
+    Ids are below 2^62.
     """
     docs = normal(docs)
     rows = stored(sized(docs, width), "shingle-sizes")
@@ -369,8 +386,8 @@ def joined(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     some = rows.filter("n > 0").join(classes, ["s1", "s2"]).select("doc_id", "n", "component")
     none = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))
     return some.union(none).select(
-        F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.nullif("component", F.lit(NO_ID)).alias("component_id"),
+        F.when(F.col("doc_id") < UNKNOWN, F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.when(F.col("component") < UNKNOWN, F.col("component")).alias("component_id"),
     )
 
 
