@@ -65,8 +65,10 @@ def featured(docs: DataFrame) -> DataFrame:
 
 
 def fitted(rows: DataFrame, labels: DataFrame) -> dict:
-    """The model from at most ``SAMPLE`` labelled rows that are not held out."""
-    chosen = bounded(training(labels, LABEL, MODULUS, HELD).join(rows, "doc_id"), SAMPLE).select("x", "y").toPandas()
+    """The model from at most ``SAMPLE`` labelled ids that are not held out, a row each."""
+    known = stored(training(labels, LABEL, MODULUS, HELD).join(rows, "doc_id", "left_semi"), "quality-labels")
+    ids = stored(bounded(known, SAMPLE).select("doc_id", "y"), "quality-sample-ids")
+    chosen = rows.join(ids, "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.max("y").alias("y")).orderBy("doc_id").toPandas()
     x = np.vstack(chosen["x"].to_list()) if len(chosen) else np.zeros((0, 1))
     return additive.fit(x, chosen["y"].to_numpy(float))
 
