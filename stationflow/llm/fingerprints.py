@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from stationflow.llm.chunks import Chunking, chunks, digests
 from stationflow.llm.common import blocks, record
 
-CHUNKING = Chunking(least=64, wanted=256, most=1024)
+# Short chunks: from 300 characters on, the half that an edit leaves holds a whole one.
+CHUNKING = Chunking(least=32, wanted=64, most=128)
 RANGES_PER_PARTITION = 4
 ROWS = 256
 LAST = -(1 << 63)

@@ -142,6 +142,14 @@ def test_fingerprints(docs, texts):
     assert got[50].fingerprint == got[3].fingerprint
 
 
+def test_fingerprints_of_short_texts_keep_what_an_edit_keeps(docs, texts):
+    """Half of every text stays; from 300 characters on some chunk of it is found again."""
+    got = by_id(fingerprints.compared(docs))
+    long_enough = [k for k, t in texts.items() if len(t or "") >= 300 and len(set(t)) > 2]
+    assert len(long_enough) > 20
+    assert all(got[k].near_edited > 0 for k in long_enough)
+
+
 def brute_components(texts, width, percent):
     sets = {}
     for k, text in texts.items():
@@ -163,6 +171,24 @@ def test_components(docs, texts, width, percent):
     assert got == brute_components(texts, width, percent)
 
 
+def test_components_of_null_ids(spark, texts):
+    """Every text of a null id is by itself: near copies of others join them, unlike ones do not."""
+    nulls = [texts[46], texts[61], texts[61], texts[61] + " more", texts[9], "", None]
+    rows = [(k, texts[k]) for k in (7, 46, 47, 9, 52)] + [(None, t) for t in nulls]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.n_shingles, r.component_id or 0, r.doc_id or 0) for r in jaccard.joined(docs, 3, 80).collect()))
+    want = brute_components({k if k is not None else 1000 + n: t for n, (k, t) in enumerate(rows)}, 3, 80)
+    assert got == sorted((n, c if c < 1000 else 0, k if k < 1000 else 0) for k, (n, c) in want.items())
+
+
+@pytest.mark.parametrize("known", [None, {1: 1, 2: 1}])
+def test_entries_are_labelled_by_class(spark, known):
+    rows = [(t, rep, 9, 1) for rep in (1, 2, 3) for t in (10 * rep, 5)]
+    found = known and spark.createDataFrame(list(known.items()), "id long, component long")
+    got = jaccard.labelled(spark.createDataFrame(rows, "token long, rep long, n int, l int"), found)
+    assert sorted((r.token, r.rep, r.component) for r in got.collect()) == sorted((t, rep, (known or {}).get(rep, rep)) for t, rep, _, _ in rows)
+
+
 def brute_repeats(texts):
     seen, out = set(), {}
     for k in sorted(texts):
