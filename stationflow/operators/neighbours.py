@@ -136,12 +136,22 @@ def linear_history(
 
 
 def line_edges(stations: DataFrame) -> DataFrame:
-    """(stationID, neighborID, side) for the stations before and after on a line."""
-    here = stations.select(
-        "stationID", "lineID", F.explode(F.array(F.lit(-1), F.lit(1))).alias("side"), "linePos"
-    ).withColumn("linePos", F.col("linePos") + F.col("side"))
-    there = stations.select(F.col("stationID").alias("neighborID"), "lineID", "linePos")
-    return here.join(there, ["lineID", "linePos"]).select("stationID", "neighborID", "side")
+    """(stationID, neighborID, side) for the stations before and after on a line.
+
+    One window over the stations: the frame of exactly one position further
+    holds the neighbours of that side.
+    """
+    line = "(PARTITION BY lineID ORDER BY linePos RANGE BETWEEN {0} AND {0})"
+    beside = stations.filter("lineID IS NOT NULL AND linePos IS NOT NULL").selectExpr(
+        "stationID",
+        f"collect_list(stationID) OVER {line.format('1 PRECEDING')} AS _before",
+        f"collect_list(stationID) OVER {line.format('1 FOLLOWING')} AS _after",
+    )
+    return beside.selectExpr(
+        "stationID",
+        "inline(concat(transform(_before, x -> named_struct('neighborID', x, 'side', -1)), "
+        "transform(_after, x -> named_struct('neighborID', x, 'side', 1))))",
+    )
 
 
 ADJACENT = {

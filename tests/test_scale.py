@@ -82,6 +82,33 @@ def test_hub_station_against_brute_force(spark):
         assert r.inNums_adj_mean == pytest.approx(np.mean(near))
 
 
+def test_line_edges_with_gaps_shared_places_and_nulls(spark):
+    rows = [(1, 1, 1), (2, 1, 2), (3, 1, 2), (4, 1, 4), (5, 2, 1), (6, 2, 2), (7, None, 1), (8, 2, None), (9, 2, None)]
+    stations = spark.createDataFrame(rows, "stationID int, lineID int, linePos int")
+    got = sorted(tuple(r) for r in nb.line_edges(stations).collect())
+    want = [
+        (s, t, q - p) for s, line, p in rows for t, other, q in rows
+        if None not in (line, p, q) and line == other and abs(p - q) == 1
+    ]
+    assert got == sorted(want)
+
+
+def test_repeated_edges_count_again(spark):
+    slots = spark.createDataFrame(
+        [(s, date(2024, 1, 1), 8, 0, 10 * s, s) for s in (1, 2)],
+        "stationID int, date date, hour int, minute int, inNums bigint, outNums bigint",
+    )
+    edges = spark.createDataFrame([(1, 2, 1), (1, 2, 1), (2, 1, -1)], "stationID int, neighborID int, side int")
+    got = {r.stationID: r for r in nb.adjacent_flow(slots, edges, SLOT_KEYS).collect()}
+    assert (got[1].inNums, got[1].inNums_adj_after, got[2].inNums, got[2].inNums_adj_before) == (10, 40, 20, 10)
+
+
+def test_adjacent_flow_joins_no_stations_with_stations(spark, sf_dir):
+    plan = plan_of(CATALOG["R3_adjacent_flow"](spark, sf_dir))
+    assert plan.count("FileScan") == 4  # taps, grid, edges, own rows
+    assert len(re.findall(r"(SortMerge|BroadcastHash|ShuffledHash)Join", plan)) == 1
+
+
 def test_grid_and_tap_counts(spark, sf_dir):
     f = Fixture(spark, sf_dir)
     stations = f.stations().count()
