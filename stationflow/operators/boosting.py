@@ -1,11 +1,14 @@
 """Gradient boosting by mergeable histograms.
 
-Features become whole bin numbers once. Each tree then grows level by level, and
-a level is one pass over the table: tasks route their rows through the trees so
-far, add up gradients by open leaf, feature and bin, and executors add up the
-tasks' histograms, one task per leaf, and pick its best split. The driver gets
-a few numbers per leaf and holds the trees. Rows are never written again, so a
-lost executor costs a re-read of its share.
+Features become whole bin numbers once, a byte each, and rows are written in
+blocks, so that a pass hands tasks whole columns instead of values one by one. Each
+tree then grows level by level, and a level is one pass over the table: tasks route their rows through
+the trees so far, add up gradients by open leaf, feature and bin, and executors
+add up the tasks' histograms, one task per leaf. Of two leaves from one split the
+smaller is counted; the other is what the split leaf had besides. The driver gets
+a histogram per counted leaf, whatever the number of rows, picks the splits and
+holds the trees. Rows are never written again, so a lost executor costs a re-read
+of its share.
 
 Within a level leaves are split in order of their gain until the tree has all
 its leaves. Squared loss; leaf values and gains are shrunk by L1 and L2.
@@ -16,9 +19,11 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +33,10 @@ from stationflow.session import stored
 # Tasks get these functions by value, so executors need no copy of the library.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Rows of a task that are looked at together.
+# Rows of a block at most.
 ROWS = 16384
+# Blocks are large rows, so a file's groups are ended by their bytes and not by the number of rows.
+BLOCK_FILES = {"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 8, "parquet.page.size.row.check.min": 1}
 LEVELS = 12
 
 
@@ -63,14 +70,41 @@ class Tree:
         n = (1 << depth + 1) - 1
         return cls(np.full(n, -1, np.int64), np.zeros(n, np.int64), np.zeros(n))
 
-    def nodes(self, x: np.ndarray) -> np.ndarray:
-        at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
-        for _ in range(len(self.feature).bit_length() - 1):
-            feature = self.feature[at]
-            more = 2 * at + 1 + (x[rows, feature] > self.split[at])
-            at = np.where(feature >= 0, more, at)
+    @cached_property
+    def ends(self) -> np.ndarray:
+        """The node reached by each path: a bit per depth, 1 to the right, 0 after a leaf. For trees that grow no more."""
+        depth = len(self.feature).bit_length() - 1
+        path, at = np.arange(1 << depth), np.zeros(1 << depth, np.int64)
+        for d in range(depth):
+            at = np.where(self.feature[at] >= 0, 2 * at + 1 + (path >> (depth - 1 - d) & 1), at)
         return at
 
+    def nodes(self, x: np.ndarray, seen: dict) -> np.ndarray:
+        """The node of each row; ``x`` has a row per feature.
+
+        Rows are looked at as bits, a comparison of a column for all of them at
+        once; ``seen`` keeps those for other trees on the same ``x``.
+        """
+        depth = len(self.feature).bit_length() - 1
+        path, level = np.zeros(x.shape[1], np.uint16), {0: None}
+        for d in range(depth):
+            below, right = {}, None
+            for node, rows in level.items():
+                f, split = int(self.feature[node]), int(self.split[node])
+                if f < 0:
+                    continue
+                if (f, split) not in seen:
+                    seen[f, split] = np.packbits(x[f] > np.uint8(split))
+                more = seen[f, split]
+                go = more if rows is None else rows & more
+                below[2 * node + 1], below[2 * node + 2] = ~more if rows is None else rows ^ go, go
+                right = go if right is None else right | go
+            if right is None:
+                break
+            path |= np.unpackbits(right, count=x.shape[1]).astype(np.uint16) << np.uint16(depth - 1 - d)
+            level = below
+        return self.ends[path]
+
 
 @dataclass(frozen=True)
 class Model:
@@ -87,20 +121,26 @@ class Model:
         return len(self.trees)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        out = np.full(len(x), self.base)
+        out, seen = np.full(x.shape[1], self.base), {}
         for tree in self.trees:
-            out += self.step * tree.value[tree.nodes(x)]
+            out += (self.step * tree.value)[tree.nodes(x, seen)]
         return out
 
 
 @dataclass(frozen=True)
 class Binned:
-    """A written table: the columns to keep, ``part``, the bin numbers ``x``, a row number ``i``."""
+    """A written table of blocks of rows of one ``split``.
 
-    rows: DataFrame
+    ``kept`` has the columns to keep and ``fit`` the flows and a row number ``i``, as
+    Arrow streams; ``x`` the bin numbers, feature by feature. ``s_`` and ``n_`` with
+    the place of a flow are its sum and the number of its values.
+    """
+
+    blocks: DataFrame
     features: tuple[str, ...]
     flows: tuple[str, ...]
     bins: int
+    kinds: Mapping[str, str]
 
 
 def quantile_edges(df: DataFrame, features: Sequence[str], bins: int) -> dict[str, list[float]]:
@@ -121,17 +161,71 @@ def binned(
     source = df.fillna(0, subset=list(features))
     edges = edges or quantile_edges(source.filter("split <> 'test'"), features, bins)
 
-    def number(c: str):
-        cut = F.array(*[F.lit(float(e)) for e in edges[c]]).cast("array<double>")
-        return F.size(F.filter(cut, lambda e: e < F.col(c).cast("double"))).cast("byte")
-
-    rows = source.select(*keep, *[F.col(f).cast("double").alias(f) for f in flows], "split", F.array(*map(number, features)).alias("x"))
+    # No number exceeds one that is not a number.
+    cuts = [np.array([e for e in edges[c] if e == e], float) for c in features]
+    values = [f"__x{k}" for k in range(len(features))]
+    keep, flows = tuple(keep), tuple(flows)
+    rows = source.select(
+        *[F.col(c).alias(f"__k{k}") for k, c in enumerate(keep)], *[F.col(f).cast("double").alias(f) for f in flows], "split",
+        F.monotonically_increasing_id().alias("i"), *[F.col(c).cast("double").alias(v) for c, v in zip(features, values, strict=True)],
+    )
+    kinds = {c: rows.schema[f"__k{k}"].dataType.simpleString() for k, c in enumerate(keep)}
+
+    def block(part: pa.RecordBatch) -> pa.RecordBatch:
+        x = np.empty((len(cuts), part.num_rows), np.uint8)
+        for row, cut, v in zip(x, cuts, values, strict=True):
+            row[:] = np.searchsorted(cut, part.column(v).to_numpy(zero_copy_only=False), "left")
+        own = pa.RecordBatch.from_arrays([part.column(f"__k{k}") for k in range(len(keep))], list(keep))
+        out = {
+            "split": part.column("split").slice(0, 1), "n": pa.array([part.num_rows], pa.int32()), "kept": pa.array([streamed(own)], pa.binary()),
+            "fit": pa.array([streamed(part.select([*flows, "i"]))], pa.binary()), "x": pa.array([x.tobytes()], pa.binary()),
+        }
+        for k, f in enumerate(flows):
+            flow = part.column(f)
+            out |= {f"s_{k}": pa.array([pc.sum(flow).as_py()], pa.float64()), f"n_{k}": pa.array([len(flow) - flow.null_count], pa.int64())}
+        return pa.RecordBatch.from_arrays(list(out.values()), list(out))
+
+    def number(batches):
+        for batch in gathered(batches):
+            split = batch.column("split")
+            for value in split.unique():
+                same = batch.filter(pc.equal(split, value) if value.is_valid else pc.is_null(split))
+                for first in range(0, same.num_rows, ROWS):
+                    yield block(same.slice(first, ROWS))
+
+    sums = "".join(f", s_{k} double, n_{k} long" for k in range(len(flows)))
+    blocks = rows.mapInArrow(number, f"split string, n int, kept binary, fit binary, x binary{sums}")
     most = max(len(e) for e in edges.values()) + 1
-    return Binned(stored(rows.withColumn("i", F.monotonically_increasing_id()), "binned"), tuple(features), tuple(flows), most)
+    return Binned(stored(blocks, "binned", BLOCK_FILES), tuple(features), flows, most, kinds)
+
+
+def streamed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def read(batch: pa.RecordBatch, column: str, k: int) -> pa.RecordBatch:
+    return pa.ipc.open_stream(batch.column(column)[k].as_buffer()).read_next_batch()
+
+
+def matrix(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    """The bin numbers of a block, a row per feature."""
+    return np.frombuffer(batch.column("x")[k].as_buffer(), np.uint8).reshape(-1, batch.column("n")[k].as_py())
 
 
-def matrix(column, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width).view(np.uint8)
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``ROWS`` at least, but for the last."""
+    some, size = [], 0
+    for batch in batches:
+        some.append(batch)
+        size += batch.num_rows
+        if size >= ROWS:
+            yield pa.concat_batches(some)
+            some, size = [], 0
+    if size:
+        yield pa.concat_batches(some)
 
 
 def chance(i: np.ndarray, salt: int) -> np.ndarray:
@@ -145,8 +239,22 @@ def shrunk(g, l1: float):
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0)
 
 
-def best_split(sums: np.ndarray, counts: np.ndarray, s: BoostSettings, allowed: np.ndarray):
-    """(gain, feature, split, left sum, left count, sum, count) of a leaf's histogram; the first of equal gains."""
+@dataclass(frozen=True)
+class Split:
+    """A leaf's best split, with sums and counts of the rows to its left and of all its rows."""
+
+    gain: float
+    feature: int
+    split: int
+    l: float
+    ln: float
+    g: float
+    n: float
+
+
+def best_split(h: np.ndarray, s: BoostSettings, features: np.ndarray) -> Split:
+    """The best split of a leaf's histogram of these features; the first of equal gains."""
+    sums, counts = h
     g, n = sums[0].sum(), counts[0].sum()
     left, left_n = sums.cumsum(axis=1), counts.cumsum(axis=1)
 
@@ -154,13 +262,17 @@ def best_split(sums: np.ndarray, counts: np.ndarray, s: BoostSettings, allowed:
         return shrunk(a, s.l1) ** 2 / (b + s.l2 + 1e-300)
 
     gain = score(left, left_n) + score(g - left, n - left_n) - score(g, n)
-    gain[(left_n <= 0) | (left_n >= n) | ~allowed[:, None]] = -np.inf
-    at = int(np.argmax(gain))
-    f, b = divmod(at, gain.shape[1])
-    return float(gain[f, b]), f, b, float(left[f, b]), float(left_n[f, b]), float(g), float(n)
+    gain[(left_n <= 0) | (left_n >= n)] = -np.inf
+    f, b = divmod(int(np.argmax(gain)), gain.shape[1])
+    return Split(float(gain[f, b]), int(features[f]), b, float(left[f, b]), float(left_n[f, b]), float(g), float(n))
 
 
-SPLITS = "flow int, node int, gain double, feature int, split int, l double, ln double, g double, n double"
+def rest(whole: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """The histogram of the rows of a leaf that are not in one of its children."""
+    out = whole - part
+    # Bins without rows have no sum, where the difference has what rounding left.
+    out[0][out[1] == 0] = 0
+    return out
 
 
 class Fit:
@@ -168,63 +280,66 @@ class Fit:
 
     def __init__(self, data: Binned, parts: Sequence[str], settings: BoostSettings):
         self.data, self.parts, self.s = data, list(parts), settings
-        row = data.rows.filter(F.col("split").isin(self.parts)).agg(*[F.avg(f) for f in data.flows]).first()
+        mean = [F.try_divide(F.sum(f"s_{k}"), F.sum(f"n_{k}")) for k in range(len(data.flows))]
+        row = data.blocks.filter(F.col("split").isin(self.parts)).agg(*mean).first()
         self.models = [Model(f, row[k] or 0.0, (), settings.step) for k, f in enumerate(data.flows)]
 
     def allowed(self, k: int, turn: int) -> np.ndarray:
         """The features that a flow's tree may use."""
         n = len(self.data.features)
         rng = np.random.default_rng([self.s.seed, k, turn])
-        out = np.zeros(n, bool)
-        out[rng.permutation(n)[: max(1, round(self.s.feature_share * n))]] = True
-        return out
+        return np.sort(rng.permutation(n)[: max(1, round(self.s.feature_share * n))])
 
-    def level(self, turn: int, trees: list[Tree | None], open_nodes: list[list[int]]) -> list[tuple]:
-        """The best split of every open node of every flow; a pass over the rows."""
-        width, bins, s = len(self.data.features), self.data.bins, self.s
+    def level(self, turn: int, trees: list[Tree | None], nodes: list[list[int]]) -> dict[tuple[int, int], np.ndarray]:
+        """Histograms (sums and counts by allowed feature and bin) of nodes of every flow; a pass over the rows."""
+        bins, s = self.data.bins, self.s
         flows, models = self.data.flows, self.models
         allowed = [self.allowed(k, turn) for k in range(len(flows))]
+        # The place of each counted node's histogram; other nodes come last.
+        places = [np.full(1 << LEVELS + 1, len(own), np.int64) for own in nodes]
+        for own, place in zip(nodes, places, strict=True):
+            place[own] = np.arange(len(own))
+
+        def add(total, x, rows):
+            used = chance(rows.column("i").to_numpy(), s.seed * 7919 + turn) < s.row_share
+            seen: dict = {}
+            for k, own in enumerate(nodes):
+                if not own:
+                    continue
+                place = places[k][trees[k].nodes(x, seen)]
+                mine = np.flatnonzero(used & (place < len(own)))
+                near = x[:, mine]
+                g = rows.column(flows[k]).to_numpy(zero_copy_only=False)[mine] - models[k].predict(near)
+                first, size = place[mine] * bins, len(own) * bins
+                for at, f in enumerate(allowed[k]):
+                    code = first + near[f]
+                    total[k][0, at] += np.bincount(code, g, size)
+                    total[k][1, at] += np.bincount(code, minlength=size)
 
         def partial(batches):
-            total = {(k, j): np.zeros((2, width, bins)) for k, nodes in enumerate(open_nodes) for j in nodes}
-            offset = np.arange(width) * bins
-            for whole in batches:
-                for first in range(0, whole.num_rows, ROWS):
-                    batch = whole.slice(first, ROWS)
-                    x, i = matrix(batch.column("x"), width), batch.column("i").to_numpy()
-                    used = chance(i, s.seed * 7919 + turn) < s.row_share
-                    for k, nodes in enumerate(open_nodes):
-                        if not nodes:
-                            continue
-                        g = batch.column(flows[k]).to_numpy(zero_copy_only=False) - models[k].predict(x)
-                        at = trees[k].nodes(x)
-                        for j in nodes:
-                            mine = np.flatnonzero(used & (at == j))
-                            place = (x[mine] + offset).ravel()
-                            size = width * bins
-                            total[k, j][0] += np.bincount(place, np.repeat(g[mine], width), size).reshape(width, bins)
-                            total[k, j][1] += np.bincount(place, minlength=size).reshape(width, bins)
-            names = list(total)
+            total = [np.zeros((2, len(allowed[k]), len(own) * bins)) for k, own in enumerate(nodes)]
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    add(total, matrix(batch, at), read(batch, "fit", at))
+            found = {(k, j): total[k].reshape(2, -1, len(own), bins)[:, :, at] for k, own in enumerate(nodes) for at, j in enumerate(own)}
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in names], pa.int32()), pa.array([j for _, j in names], pa.int32()),
-                 pa.array([h.tobytes() for h in total.values()], pa.binary())], ["flow", "node", "h"],
+                [pa.array([k for k, _ in found], pa.int32()), pa.array([j for _, j in found], pa.int32()),
+                 pa.array([h.tobytes() for h in found.values()], pa.binary())], ["flow", "node", "h"],
             )
 
         def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((2, width, bins))
+            k, j = (x.as_py() for x in key)
+            total = np.zeros((2, len(allowed[k]), bins))
             for batch in batches:
                 for raw in batch.column("h"):
-                    total += np.frombuffer(raw.as_py()).reshape(2, width, bins)
-            k, j = (x.as_py() for x in key)
-            found = best_split(total[0], total[1], s, allowed[k])
-            kinds = [f.split()[1] for f in SPLITS.split(", ")]
-            types = [pa.int32() if t == "int" else pa.float64() for t in kinds]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip((k, j, *found), types, strict=True)], [f.split()[0] for f in SPLITS.split(", ")]
-            )
+                    total += np.frombuffer(raw.as_py()).reshape(total.shape)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([j], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["flow", "node", "h"])
 
-        rows = self.data.rows.filter(F.col("split").isin(self.parts)).select("i", "x", *flows)
-        return rows.mapInArrow(partial, "flow int, node int, h binary").groupBy("flow", "node").applyInArrow(meet, SPLITS).collect()
+        schema = "flow int, node int, h binary"
+        rows = self.data.blocks.filter(F.col("split").isin(self.parts)).select("n", "x", "fit")
+        # At most as many rows as the flows have leaves.
+        met = rows.mapInArrow(partial, schema).groupBy("flow", "node").applyInArrow(meet, schema).collect()
+        return {(r["flow"], r["node"]): np.frombuffer(r["h"]).reshape(2, -1, bins) for r in met}
 
     def grow(self, turn: int, flows: Sequence[int]) -> None:
         """One more tree for each of the flows."""
@@ -236,21 +351,30 @@ class Fit:
         def value(g, count):
             return float(shrunk(g, s.l1) / (count + s.l2)) if count else 0.0
 
+        parents: dict[tuple[int, int], np.ndarray] = {}
+        counted = open_nodes
         for level in range(depth):
-            found = self.level(turn, trees, open_nodes)
-            open_nodes = [[] for _ in range(n)]
+            found = self.level(turn, trees, counted)
+            for (k, up), whole in parents.items():
+                for a, b in ((2 * up + 1, 2 * up + 2), (2 * up + 2, 2 * up + 1)):
+                    if (k, a) in found and (k, b) not in found:
+                        found[k, b] = rest(whole, found[k, a])
+            splits = {(k, j): best_split(found[k, j], s, self.allowed(k, turn)) for k, own in enumerate(open_nodes) for j in own if (k, j) in found}
+            open_nodes, counted, parents = [[] for _ in range(n)], [[] for _ in range(n)], {}
             # Leaves of the largest gain first, while there is room.
-            for r in sorted(found, key=lambda r: (r.flow, -r.gain, r.node)):
-                tree = trees[r.flow]
+            for (k, j), r in sorted(splits.items(), key=lambda x: (x[0][0], -x[1].gain, x[0][1])):
+                tree = trees[k]
                 if level == 0:
                     tree.value[0] = value(r.g, r.n)
-                if r.gain <= 0 or not np.isfinite(r.gain) or leaves[r.flow] >= s.leaves:
+                if r.gain <= 0 or not np.isfinite(r.gain) or leaves[k] >= s.leaves:
                     continue
-                a = 2 * r.node + 1
-                tree.feature[r.node], tree.split[r.node] = r.feature, r.split
+                a = 2 * j + 1
+                tree.feature[j], tree.split[j] = r.feature, r.split
                 tree.value[a], tree.value[a + 1] = value(r.l, r.ln), value(r.g - r.l, r.n - r.ln)
-                leaves[r.flow] += 1
-                open_nodes[r.flow] += [a, a + 1]
+                leaves[k] += 1
+                open_nodes[k] += [a, a + 1]
+                counted[k].append(a if 2 * r.ln <= r.n else a + 1)
+                parents[k, j] = found[k, j]
             if not any(open_nodes):
                 break
         for k in flows:
@@ -265,19 +389,18 @@ class Fit:
 
 def predicted(data: Binned, models: Sequence[Model], part: str, keys: Sequence[str]) -> DataFrame:
     """The rows of a part with their keys, flows and ``<flow>_predicted``."""
-    rows = data.rows.filter(F.col("split") == part).select(*keys, *data.flows, "x")
-    width = len(data.features)
+    rows = data.blocks.filter(F.col("split") == part).select("n", *(["kept"] if keys else []), "fit", "x")
     names = [m.flow for m in models]
-    models = tuple(models)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "x"), *(f"{f}_predicted double" for f in names)])
+    keys, flows, models = list(keys), list(data.flows), tuple(models)
+    schema = ", ".join([*(f"`{c}` {data.kinds[c]}" for c in keys), *(f"`{f}` double" for f in flows), *(f"`{f}_predicted` double" for f in names)])
 
     def score(batches):
         for batch in batches:
-            x = matrix(batch.column("x"), width)
-            own = [c for c in batch.schema.names if c != "x"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in own), *(pa.array(m.predict(x)) for m in models)], [*own, *(f"{f}_predicted" for f in names)]
-            )
+            for at in range(batch.num_rows):
+                x, own = matrix(batch, at), read(batch, "fit", at).select(flows).columns
+                if keys:
+                    own = [*read(batch, "kept", at).select(keys).columns, *own]
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(m.predict(x)) for m in models)], [*keys, *flows, *(f"{f}_predicted" for f in names)])
 
     return rows.mapInArrow(score, schema)
 

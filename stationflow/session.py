@@ -63,12 +63,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/stationflow/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     It cuts the lineage as a checkpoint does, and is columnar, so later reads
     prune columns and rows.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -115,6 +115,35 @@ def test_trees_equal_plain_ones(spark, depth, leaves, l1, l2):
     assert got.inNums_predicted.to_numpy() == pytest.approx(want, abs=1e-9)
 
 
+def test_a_pass_reads_blocks_and_counts_the_smaller_leaf(spark, monkeypatch):
+    """Rows reach tasks in blocks; below the root at most half of the rows are counted, one leaf of each split."""
+    data = bo.binned(stepped(spark), ["x", "z"], ["inNums"], ["k"], bins=16)
+    assert data.blocks.count() <= 3 * 2 and data.blocks.agg({"n": "sum"}).first()[0] == 600
+    level, counted = bo.Fit.level, []
+
+    def watched(self, turn, trees, nodes):
+        found = level(self, turn, trees, nodes)
+        counted.append([h[1, 0].sum() for h in found.values()])
+        return found
+
+    monkeypatch.setattr(bo.Fit, "level", watched)
+    settings = bo.BoostSettings(rounds=1, step=0.5, depth=3, l1=0, l2=0, row_share=1, feature_share=1)
+    (model,) = bo.boosted(data, ["train"], settings)
+    assert counted[0] == [480] and len(counted) > 1
+    assert all(0 < sum(rows) <= 240 for rows in counted[1:])
+    assert len(counted[1]) == 1 and (model.trees[0].feature >= 0).sum() > 1
+
+
+def test_blocks_keep_keys_and_unknown_splits(spark):
+    """Keys of any type and rows of no split stay apart; nulls and numbers that are none find their bins."""
+    rows = [(None, "b", "test", 1.0), (2, None, "test", float("nan")), (3, "c", None, 2.0), (4, "d", "train", 5.0), (5, "e", "train", None)]
+    df = spark.createDataFrame([(*r, 7.0) for r in rows], "k int, w string, split string, x double, inNums double").coalesce(1)
+    data = bo.binned(df, ["x"], ["inNums"], ["k", "w"], 4, {"x": [0.5, 3.0]})
+    models = [bo.Model("inNums", 0.0, (bo.Tree(np.array([0, -1, -1]), np.array([0, 0, 0]), np.array([0.0, 1.0, 2.0])),), 1.0)]
+    got = {tuple(r) for part in ("test", "train") for r in bo.predicted(data, models, part, ["w", "k"]).collect()}
+    assert got == {("b", None, 7.0, 2.0), (None, 2, 7.0, 1.0), ("d", 4, 7.0, 2.0), ("e", 5, 7.0, 1.0)}
+
+
 def test_no_rows_to_train_on(spark):
     data = bo.binned(stepped(spark).filter("split = 'valid'"), ["x", "z"], ["inNums"], ["k"], bins=4)
     got = bo.predicted(data, bo.boosted(data, ["train"], QUICK), "valid", ["k"])
