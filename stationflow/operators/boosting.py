@@ -4,11 +4,9 @@ Features become whole bin numbers once, a byte each, and rows are written in
 blocks, so that a pass hands tasks whole columns instead of values one by one. Each
 tree then grows level by level, and a level is one pass over the table: tasks route their rows through
 the trees so far, add up gradients by open leaf, feature and bin, and executors
-add up the tasks' histograms, one task per leaf. Of two leaves from one split the
-smaller is counted; the other is what the split leaf had besides. The driver gets
-a histogram per counted leaf, whatever the number of rows, picks the splits and
-holds the trees. Rows are never written again, so a lost executor costs a re-read
-of its share.
+add up the tasks' histograms, one task per leaf, and pick its best split. The driver
+gets a few numbers per leaf and holds the trees. Rows are never written again, so a
+lost executor costs a re-read of its share.
 
 Within a level leaves are split in order of their gain until the tree has all
 its leaves. Squared loss; leaf values and gains are shrunk by L1 and L2.
@@ -239,22 +237,8 @@ def shrunk(g, l1: float):
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0)
 
 
-@dataclass(frozen=True)
-class Split:
-    """A leaf's best split, with sums and counts of the rows to its left and of all its rows."""
-
-    gain: float
-    feature: int
-    split: int
-    l: float
-    ln: float
-    g: float
-    n: float
-
-
-def best_split(h: np.ndarray, s: BoostSettings, features: np.ndarray) -> Split:
-    """The best split of a leaf's histogram of these features; the first of equal gains."""
-    sums, counts = h
+def best_split(sums: np.ndarray, counts: np.ndarray, s: BoostSettings, allowed: np.ndarray):
+    """(gain, feature, split, left sum, left count, sum, count) of a leaf's histogram; the first of equal gains."""
     g, n = sums[0].sum(), counts[0].sum()
     left, left_n = sums.cumsum(axis=1), counts.cumsum(axis=1)
 
@@ -262,17 +246,13 @@ def best_split(h: np.ndarray, s: BoostSettings, features: np.ndarray) -> Split:
         return shrunk(a, s.l1) ** 2 / (b + s.l2 + 1e-300)
 
     gain = score(left, left_n) + score(g - left, n - left_n) - score(g, n)
-    gain[(left_n <= 0) | (left_n >= n)] = -np.inf
-    f, b = divmod(int(np.argmax(gain)), gain.shape[1])
-    return Split(float(gain[f, b]), int(features[f]), b, float(left[f, b]), float(left_n[f, b]), float(g), float(n))
+    gain[(left_n <= 0) | (left_n >= n) | ~allowed[:, None]] = -np.inf
+    at = int(np.argmax(gain))
+    f, b = divmod(at, gain.shape[1])
+    return float(gain[f, b]), f, b, float(left[f, b]), float(left_n[f, b]), float(g), float(n)
 
 
-def rest(whole: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """The histogram of the rows of a leaf that are not in one of its children."""
-    out = whole - part
-    # Bins without rows have no sum, where the difference has what rounding left.
-    out[0][out[1] == 0] = 0
-    return out
+SPLITS = "flow int, node int, gain double, feature int, split int, l double, ln double, g double, n double"
 
 
 class Fit:
@@ -288,22 +268,26 @@ class Fit:
         """The features that a flow's tree may use."""
         n = len(self.data.features)
         rng = np.random.default_rng([self.s.seed, k, turn])
-        return np.sort(rng.permutation(n)[: max(1, round(self.s.feature_share * n))])
+        out = np.zeros(n, bool)
+        out[rng.permutation(n)[: max(1, round(self.s.feature_share * n))]] = True
+        return out
 
-    def level(self, turn: int, trees: list[Tree | None], nodes: list[list[int]]) -> dict[tuple[int, int], np.ndarray]:
-        """Histograms (sums and counts by allowed feature and bin) of nodes of every flow; a pass over the rows."""
+    def level(self, turn: int, trees: list[Tree | None], open_nodes: list[list[int]]) -> list[tuple]:
+        """The best split of every open node of every flow; a pass over the rows."""
         bins, s = self.data.bins, self.s
         flows, models = self.data.flows, self.models
         allowed = [self.allowed(k, turn) for k in range(len(flows))]
+        # Only features that may split are added up, and the first, which gives a leaf's sum.
+        added = [np.flatnonzero(a | (np.arange(len(a)) == 0)) for a in allowed]
         # The place of each counted node's histogram; other nodes come last.
-        places = [np.full(1 << LEVELS + 1, len(own), np.int64) for own in nodes]
-        for own, place in zip(nodes, places, strict=True):
+        places = [np.full(1 << LEVELS + 1, len(own), np.int64) for own in open_nodes]
+        for own, place in zip(open_nodes, places, strict=True):
             place[own] = np.arange(len(own))
 
         def add(total, x, rows):
             used = chance(rows.column("i").to_numpy(), s.seed * 7919 + turn) < s.row_share
             seen: dict = {}
-            for k, own in enumerate(nodes):
+            for k, own in enumerate(open_nodes):
                 if not own:
                     continue
                 place = places[k][trees[k].nodes(x, seen)]
@@ -311,17 +295,17 @@ class Fit:
                 near = x[:, mine]
                 g = rows.column(flows[k]).to_numpy(zero_copy_only=False)[mine] - models[k].predict(near)
                 first, size = place[mine] * bins, len(own) * bins
-                for at, f in enumerate(allowed[k]):
+                for at, f in enumerate(added[k]):
                     code = first + near[f]
                     total[k][0, at] += np.bincount(code, g, size)
                     total[k][1, at] += np.bincount(code, minlength=size)
 
         def partial(batches):
-            total = [np.zeros((2, len(allowed[k]), len(own) * bins)) for k, own in enumerate(nodes)]
+            total = [np.zeros((2, len(added[k]), len(own) * bins)) for k, own in enumerate(open_nodes)]
             for batch in batches:
                 for at in range(batch.num_rows):
                     add(total, matrix(batch, at), read(batch, "fit", at))
-            found = {(k, j): total[k].reshape(2, -1, len(own), bins)[:, :, at] for k, own in enumerate(nodes) for at, j in enumerate(own)}
+            found = {(k, j): total[k].reshape(2, -1, len(own), bins)[:, :, at] for k, own in enumerate(open_nodes) for at, j in enumerate(own)}
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in found], pa.int32()), pa.array([j for _, j in found], pa.int32()),
                  pa.array([h.tobytes() for h in found.values()], pa.binary())], ["flow", "node", "h"],
@@ -329,17 +313,19 @@ class Fit:
 
         def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k, j = (x.as_py() for x in key)
-            total = np.zeros((2, len(allowed[k]), bins))
+            total = np.zeros((2, len(added[k]), bins))
             for batch in batches:
                 for raw in batch.column("h"):
                     total += np.frombuffer(raw.as_py()).reshape(total.shape)
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([j], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["flow", "node", "h"])
+            gain, f, *sums = best_split(total[0], total[1], s, allowed[k][added[k]])
+            kinds = [f.split()[1] for f in SPLITS.split(", ")]
+            types = [pa.int32() if t == "int" else pa.float64() for t in kinds]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], t) for v, t in zip((k, j, gain, int(added[k][f]), *sums), types, strict=True)], [f.split()[0] for f in SPLITS.split(", ")]
+            )
 
-        schema = "flow int, node int, h binary"
         rows = self.data.blocks.filter(F.col("split").isin(self.parts)).select("n", "x", "fit")
-        # At most as many rows as the flows have leaves.
-        met = rows.mapInArrow(partial, schema).groupBy("flow", "node").applyInArrow(meet, schema).collect()
-        return {(r["flow"], r["node"]): np.frombuffer(r["h"]).reshape(2, -1, bins) for r in met}
+        return rows.mapInArrow(partial, "flow int, node int, h binary").groupBy("flow", "node").applyInArrow(meet, SPLITS).collect()
 
     def grow(self, turn: int, flows: Sequence[int]) -> None:
         """One more tree for each of the flows."""
@@ -351,30 +337,21 @@ class Fit:
         def value(g, count):
             return float(shrunk(g, s.l1) / (count + s.l2)) if count else 0.0
 
-        parents: dict[tuple[int, int], np.ndarray] = {}
-        counted = open_nodes
         for level in range(depth):
-            found = self.level(turn, trees, counted)
-            for (k, up), whole in parents.items():
-                for a, b in ((2 * up + 1, 2 * up + 2), (2 * up + 2, 2 * up + 1)):
-                    if (k, a) in found and (k, b) not in found:
-                        found[k, b] = rest(whole, found[k, a])
-            splits = {(k, j): best_split(found[k, j], s, self.allowed(k, turn)) for k, own in enumerate(open_nodes) for j in own if (k, j) in found}
-            open_nodes, counted, parents = [[] for _ in range(n)], [[] for _ in range(n)], {}
+            found = self.level(turn, trees, open_nodes)
+            open_nodes = [[] for _ in range(n)]
             # Leaves of the largest gain first, while there is room.
-            for (k, j), r in sorted(splits.items(), key=lambda x: (x[0][0], -x[1].gain, x[0][1])):
-                tree = trees[k]
+            for r in sorted(found, key=lambda r: (r.flow, -r.gain, r.node)):
+                tree = trees[r.flow]
                 if level == 0:
                     tree.value[0] = value(r.g, r.n)
-                if r.gain <= 0 or not np.isfinite(r.gain) or leaves[k] >= s.leaves:
+                if r.gain <= 0 or not np.isfinite(r.gain) or leaves[r.flow] >= s.leaves:
                     continue
-                a = 2 * j + 1
-                tree.feature[j], tree.split[j] = r.feature, r.split
+                a = 2 * r.node + 1
+                tree.feature[r.node], tree.split[r.node] = r.feature, r.split
                 tree.value[a], tree.value[a + 1] = value(r.l, r.ln), value(r.g - r.l, r.n - r.ln)
-                leaves[k] += 1
-                open_nodes[k] += [a, a + 1]
-                counted[k].append(a if 2 * r.ln <= r.n else a + 1)
-                parents[k, j] = found[k, j]
+                leaves[r.flow] += 1
+                open_nodes[r.flow] += [a, a + 1]
             if not any(open_nodes):
                 break
         for k in flows:

@@ -115,23 +115,28 @@ def test_trees_equal_plain_ones(spark, depth, leaves, l1, l2):
     assert got.inNums_predicted.to_numpy() == pytest.approx(want, abs=1e-9)
 
 
-def test_a_pass_reads_blocks_and_counts_the_smaller_leaf(spark, monkeypatch):
-    """Rows reach tasks in blocks; below the root at most half of the rows are counted, one leaf of each split."""
+def test_rows_are_written_in_blocks(spark):
+    """A pass hands tasks a few large rows: one for each task and split here."""
     data = bo.binned(stepped(spark), ["x", "z"], ["inNums"], ["k"], bins=16)
     assert data.blocks.count() <= 3 * 2 and data.blocks.agg({"n": "sum"}).first()[0] == 600
-    level, counted = bo.Fit.level, []
-
-    def watched(self, turn, trees, nodes):
-        found = level(self, turn, trees, nodes)
-        counted.append([h[1, 0].sum() for h in found.values()])
-        return found
-
-    monkeypatch.setattr(bo.Fit, "level", watched)
-    settings = bo.BoostSettings(rounds=1, step=0.5, depth=3, l1=0, l2=0, row_share=1, feature_share=1)
-    (model,) = bo.boosted(data, ["train"], settings)
-    assert counted[0] == [480] and len(counted) > 1
-    assert all(0 < sum(rows) <= 240 for rows in counted[1:])
-    assert len(counted[1]) == 1 and (model.trees[0].feature >= 0).sum() > 1
+
+
+def test_rows_find_their_leaves():
+    """Routing by bits, against a walk down the tree for each row."""
+    rng = np.random.default_rng(1)
+    for depth in (1, 3, 6, 8):
+        for rows in (0, 1, 9, 200):
+            x, tree = rng.integers(0, 32, (5, rows)).astype(np.uint8), bo.Tree.empty(depth)
+            for n in range((1 << depth) - 1):
+                if (n == 0 or tree.feature[(n - 1) // 2] >= 0) and rng.random() < 0.8:
+                    tree.feature[n], tree.split[n] = rng.integers(5), rng.integers(0, 31)
+            want = []
+            for row in x.T:
+                at = 0
+                while tree.feature[at] >= 0:
+                    at = 2 * at + 1 + (row[tree.feature[at]] > tree.split[at])
+                want.append(at)
+            assert tree.nodes(x, {}).tolist() == want
 
 
 def test_blocks_keep_keys_and_unknown_splits(spark):
