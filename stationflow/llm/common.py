@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 1 << 20
+# For work that holds many numbers a byte: they fit the processor's cache, and an idle worker keeps little.
+SMALL_BLOCK = 1 << 18
+# Bytes of an Arrow batch, in a task and in the worker that it feeds.
+BATCH = 4 << 20
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 INVERSE = U(pow(int(BASE), -1, 1 << 64))
@@ -72,7 +76,7 @@ class Powers:
 
     def to(self, n: int):
         if len(self.up) <= n:
-            size = max(n + 1, BLOCK + 1)
+            size = max(n + 1, 2 * len(self.up), SMALL_BLOCK + 1)
             self.up = np.concatenate([np.ones(1, U), np.cumprod(np.full(size, BASE, U))])
             self.down = np.concatenate([np.ones(1, U), np.cumprod(np.full(size, INVERSE, U))])
         return self.up, self.down
@@ -161,6 +165,11 @@ def arrow_map(df: DataFrame, columns: list, function, schema: str) -> DataFrame:
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def small_batches(spark) -> None:
+    """Batches that end by their bytes: by number alone, one of long texts holds tens of megabytes on either side."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def record(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], list(columns)

@@ -12,10 +12,10 @@ single windows keyed by their whole content.
 Sorting, within a task, block by block of whole keys: a two-stage suffix sort.
 Suffixes smaller than their successors are sorted directly; the others are
 induced by scanning the buckets of first bytes in ascending order, since each is
-its first byte before a successor that an earlier scan has placed. Then common
-prefixes of adjacent suffixes are computed; a row of suffixes that share
-``LENGTH`` bytes or more are the occurrences of one string, and all but the
-earliest are marked.
+its first byte before a successor that an earlier scan has placed. Windows whose hash
+comes once in their block repeat nothing there and are not sorted. Then adjacent
+suffixes are compared; a row of suffixes that share ``LENGTH`` bytes or more are the
+occurrences of one string, and all but the earliest are marked.
 """
 
 from __future__ import annotations
@@ -28,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import U, arrow_map, blocks, id_filter, prefixes, ranges, record, runs, signed, spans_hash, split_by_filter
+from stationflow.llm.common import (
+    SMALL_BLOCK, U, arrow_map, blocks, id_filter, prefixes, ranges, record, runs, signed, small_batches, spans_hash, split_by_filter,
+)
 from stationflow.session import stored
 
 LENGTH = 100
@@ -101,14 +103,14 @@ def shared_pieces(docs: DataFrame) -> DataFrame:
     """A document and its (key, place) of keys that two pieces have; a place packs first window and windows."""
 
     def work(batch):
-        for first, last, offsets, data in blocks(batch.column("text")):
+        for first, last, offsets, data in blocks(batch.column("text"), SMALL_BLOCK):
             key, start, count, _ = window_keys(data, offsets)
             who = np.searchsorted(offsets, start, "right") - 1
             ids, twins = (batch.column(c).slice(first, last - first).take(pa.array(who)) for c in ("doc_id", "twin"))
             yield record(key=signed(key), doc_id=ids, twin=twins, place=((start - offsets[who]) << SHIFT) | count)
 
     def keys(batch):
-        for _, _, offsets, data in blocks(batch.column("text")):
+        for _, _, offsets, data in blocks(batch.column("text"), SMALL_BLOCK):
             key, _, _, again = window_keys(data, offsets)
             yield record(key=signed(key), again=again)
 
@@ -162,13 +164,18 @@ def pieces(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 64):
                 part, out = batch.slice(first, 64), []
-                for doc_id, twin, text, own in zip(*(part.column(c).to_pylist() for c in ("doc_id", "twin", "text", "pieces")), strict=True):
+                own = part.column("pieces")
+                keys, places = (own.values.field(c).to_numpy() for c in ("key", "place"))
+                ends = own.offsets.to_numpy()
+                for k, (doc_id, twin, text) in enumerate(zip(*(part.column(c).to_pylist() for c in ("doc_id", "twin", "text")), strict=True)):
                     raw = text.encode()
-                    for p in sorted(own, key=lambda p: p["place"]):
-                        start, count = p["place"] >> SHIFT, p["place"] & ((1 << SHIFT) - 1)
+                    place = places[ends[k] : ends[k + 1]]
+                    order = np.argsort(place, kind="stable")
+                    place, key = place[order], keys[ends[k] : ends[k + 1]][order]
+                    for key_, start, count in zip(key.tolist(), (place >> SHIFT).tolist(), (place & ((1 << SHIFT) - 1)).tolist(), strict=True):
                         content = raw[start : start + count + LENGTH - 1]
                         sent = seen.copy(content, (doc_id, twin, start))
-                        out.append((p["key"], doc_id, twin, start, count, None if sent else content))
+                        out.append((key_, doc_id, twin, start, count, None if sent else content))
                 yield piece_rows(out)
 
     return near.select("doc_id", "twin", "text", "pieces").mapInArrow(run, PIECE)
@@ -180,7 +187,7 @@ def singles(rows: DataFrame) -> DataFrame:
     def run(batches):
         seen = Seen()
         for batch in batches:
-            for first, last, offsets, data in blocks(batch.column("bytes")):
+            for first, last, offsets, data in blocks(batch.column("bytes"), SMALL_BLOCK):
                 out = []
                 part = batch.slice(first, last - first)
                 ids, twins, starts = (part.column(c).to_pylist() for c in ("doc_id", "twin", "start"))
@@ -208,7 +215,7 @@ def eights(text: np.ndarray) -> np.ndarray:
 
 def sorted_directly(at: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Suffixes in order of their first ``LENGTH`` bytes and a few more; further ties stay as they are."""
-    at = at[np.argsort(keys[at], kind="stable")]
+    at = at[np.argsort(keys[at])]
     n = len(keys) - 1
     group = np.cumsum(np.concatenate([[0], (keys[at[1:]] != keys[at[:-1]]).astype(np.int64)])) if len(at) else at
     live = np.arange(len(at))
@@ -279,42 +286,72 @@ def suffix_array(text: np.ndarray, keys: np.ndarray, wanted: np.ndarray) -> np.n
     return rows[wanted[rows]]
 
 
-def common_prefixes(suffixes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Common prefix of each suffix with the one before it, up to ``LENGTH``; none ends sooner."""
-    out = np.zeros(len(suffixes), np.int64)
-    live = np.arange(len(suffixes) - 1)
-    for depth in range(0, LENGTH, 8):
-        differ = keys[suffixes[live] + depth] ^ keys[suffixes[live + 1] + depth]
-        same = differ == 0
-        ends, left = live[~same], differ[~same]
-        lead = np.zeros(len(ends), np.int64)
-        for k in range(1, 8):
-            lead += left < (U(1) << U(64 - 8 * k))
-        out[ends + 1] = depth + lead
-        live = live[same]
-        out[live + 1] = depth + 8
-    return np.minimum(out, LENGTH)
+def linked_neighbours(suffixes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each suffix has a common prefix of ``LENGTH`` bytes or more with the one before it; none ends sooner."""
+    out = np.zeros(len(suffixes), bool)
+    live = np.arange(1, len(suffixes))
+    for depth in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
+        live = live[keys[suffixes[live - 1] + depth] == keys[suffixes[live] + depth]]
+    out[live] = True
+    return out
+
+
+def twice(text: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether a window starts at a place of ``text`` whose hash another window has; equal windows have one hash.
+
+    ``sizes``: of the pieces, each with the byte behind it.
+    """
+    begin = np.cumsum(sizes) - sizes
+    out = np.zeros(len(text), bool)
+    # Part by part, so that the numbers stay small; a long piece is a part of its own.
+    hashes, cuts = [], np.append(np.flatnonzero(np.diff(begin // SMALL_BLOCK, prepend=-1)), len(sizes))
+    places = ranges(begin, np.maximum(sizes - LENGTH, 0))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        first = begin[a]
+        part = text[first : begin[b - 1] + sizes[b - 1]]
+        sums = prefixes(part)
+        at = places[np.searchsorted(places, first) : np.searchsorted(places, first + len(part))] - first
+        hashes.append(spans_hash(sums, at, at + LENGTH))
+    hashes = np.concatenate(hashes)
+    ordered = np.sort(hashes)
+    # By their first bits, so a few more windows are sorted than need be.
+    bits = np.zeros(1 << 21, bool)
+    bits[(ordered[1:][ordered[1:] == ordered[:-1]] >> U(43)).astype(np.int64)] = True
+    out[places[bits[(hashes >> U(43)).astype(np.int64)]]] = True
+    return out
 
 
 def repeated(contents: list[bytes], doc_ids: np.ndarray, twins: np.ndarray, starts: np.ndarray):
     """(piece, first, last window) of all windows that start earlier elsewhere."""
     sizes = np.array([len(c) + 1 for c in contents])
     text = np.frombuffer(b"\xff".join(contents) + b"\xff", np.uint8) + np.uint8(1)  # no UTF-8 byte is 255
+    wanted = twice(text, sizes)
+    some = np.flatnonzero(np.logical_or.reduceat(wanted, np.cumsum(sizes) - sizes))
+    if not len(some):
+        return np.zeros((3, 0), np.int64)
+    kept = ranges((np.cumsum(sizes) - sizes)[some], sizes[some])
+    owner, first, last = sorted_repeats(text[kept], wanted[kept], sizes[some], doc_ids[some], twins[some], starts[some])
+    return some[owner], first, last
+
+
+def sorted_repeats(text: np.ndarray, wanted: np.ndarray, sizes: np.ndarray, doc_ids: np.ndarray, twins: np.ndarray, starts: np.ndarray):
+    """:func:`repeated` among the ``wanted`` windows of pieces joined to one text."""
     keys = eights(text)
-    ends = np.repeat(np.cumsum(sizes) - 1, sizes)
-    suffixes = suffix_array(text, keys, ends - np.arange(len(text)) >= LENGTH)
-    linked = common_prefixes(suffixes, np.append(keys, np.zeros(8, U))) >= LENGTH
-    group = np.cumsum(~linked)
+    suffixes = suffix_array(text, keys, wanted)
+    linked = linked_neighbours(suffixes, keys)
     member = linked.copy()
     member[:-1] |= linked[1:]
-    at, group = suffixes[member], group[member]
+    at, head = suffixes[member], np.flatnonzero(~linked[member])
+    if not len(at):
+        return np.zeros((3, 0), np.int64)
     begin = np.cumsum(sizes) - sizes
-    piece = np.searchsorted(begin, at, "right") - 1
-    doc, twin, place = doc_ids[piece], twins[piece], starts[piece] + at - begin[piece]
-    order = np.lexsort((place, twin, doc, group))
-    at, group, doc, twin, place = at[order], group[order], doc[order], twin[order], place[order]
-    first = np.maximum.accumulate(np.where(np.concatenate([[True], group[1:] != group[:-1]]), np.arange(len(at)), 0)) if len(at) else at
-    later = (doc != doc[first]) | (twin != twin[first]) | (place != place[first])
+    # The order of documents within the block, then places below 2^31, as one number.
+    order = np.lexsort((twins, doc_ids))
+    fresh = (np.diff(doc_ids[order], prepend=doc_ids[order[0]]) != 0) | (np.diff(twins[order], prepend=twins[order[0]]) != 0)
+    rank = np.empty(len(sizes), np.int64)
+    rank[order] = np.cumsum(fresh)
+    where = np.repeat((rank << SHIFT) + starts - begin, sizes)[at] + at
+    later = where != np.repeat(np.minimum.reduceat(where, head), np.diff(head, append=len(at)))
     gone = np.zeros(len(text), bool)
     gone[at[later]] = True
     a, b = runs(gone, np.append(begin, len(text)))
@@ -397,6 +434,7 @@ def removed(docs: DataFrame) -> DataFrame:
     equal in both are one document: they do not repeat each other, and lose the
     same bytes. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     docs = normal(docs)
     found = stored(repeats(docs), "repeated-spans")
     touched, clean = split_by_filter(docs, "doc_id", id_filter(found, "doc_id"))
@@ -430,6 +468,7 @@ def cut_texts(docs: DataFrame) -> DataFrame:
     A character that would be cut in two goes whole. Null texts stay null. Null
     and repeated ids, equal rows and empty tables are as in :func:`removed`.
     """
+    small_batches(docs.sparkSession)
     found = stored(repeats(normal(docs)), "repeated-spans").toDF("__cut_id", "__cut_twin", "__cut_spans")
     own, twin, _ = identity(docs)
     touched, clean = split_by_filter(docs, own, id_filter(found, "__cut_id"))

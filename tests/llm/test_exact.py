@@ -6,13 +6,14 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
 from stationflow.llm import bpe, fingerprints, jaccard, packing, passages, rules, suffixes  # noqa: E402
-from stationflow.llm.common import counters, level_of, prefixes, spans_hash  # noqa: E402
+from stationflow.llm.common import BATCH, counters, level_of, prefixes, spans_hash  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BYTES, LETTERS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -221,6 +222,36 @@ def test_suffix_array_orders_wanted_suffixes():
     assert got.tolist() == sorted(range(801), key=lambda i: text[i:].tobytes())
 
 
+def test_only_windows_that_come_twice_are_sorted(monkeypatch):
+    """Pieces without a repeat are left out before the sort, the rest gives the repeats of all."""
+    rng, asked, sort = np.random.default_rng(7), [], suffixes.suffix_array
+    monkeypatch.setattr(suffixes, "suffix_array", lambda text, keys, wanted: asked.append((len(text), wanted.sum())) or sort(text, keys, wanted))
+    same = bytes(rng.integers(97, 123, 150, dtype=np.uint8))
+    alone = [bytes(rng.integers(97, 123, n, dtype=np.uint8)) for n in (100, 260, 3000)]
+    # Documents 9, null (largest) and 9's other text; a piece of its own that repeats itself.
+    contents = [alone[0], same, alone[1], b"q" * 130, same + b"z", alone[2]]
+    ids, twins = np.array([5, suffixes.NO_ID, 1, 4, 9, 9]), np.array([0, 0, 0, 0, 3, -3])
+    owner, first, last = suffixes.repeated(contents, ids, twins, np.array([0, 40, 0, 7, 10, 0]))
+    assert sorted(zip(owner.tolist(), first.tolist(), last.tolist(), strict=True)) == [(1, 0, 50), (3, 1, 30)]
+    (size, wanted), = asked
+    assert size == 151 + 131 + 152 and wanted == 51 + 31 + 51
+    assert len(suffixes.repeated(alone, ids[:3], twins[:3], np.zeros(3, np.int64))[0]) == 0
+
+
+def test_batches_end_by_their_bytes(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 26))
+        suffixes.removed(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(BATCH)
+        # 100 texts of 1 MB: one batch by number.
+        sizes = spark.range(0, 100, 1, 1).selectExpr("repeat('x', 1000000) AS text").mapInArrow(
+            lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect()
+        assert max(r.n for r in sizes) <= 8
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+
+
 def test_chunk_repeats(docs, texts):
     got = by_id(passages.removed(docs))
     assert set(got) == set(texts)
