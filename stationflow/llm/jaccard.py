@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm.common import (
-    LOWER, U, arrow_map, blocks, counters, id_filter, level_of, mix, prefixes, record, signed, spans_hash, split_by_filter, windows, words,
+    LOWER, SMALL_BLOCK, U, arrow_map, blocks, counters, id_filter, level_of, mix, prefixes, record, signed, small_batches, spans_hash,
+    split_by_filter, windows, words,
 )
 from stationflow.llm.components import components
 from stationflow.session import stored
@@ -117,7 +118,7 @@ def sized(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, s1, s2 (digest of the set), n (its size), parity (its signature) and the signature's fold."""
 
     def work(batch):
-        for first, last, offsets, data in blocks(batch.column("text")):
+        for first, last, offsets, data in blocks(batch.column("text"), SMALL_BLOCK):
             found, begin, owner = shingle_sets(data, offsets, width)
             s1, s2 = digests(found, begin)
             signs = parities(found, owner, last - first)
@@ -145,7 +146,7 @@ def entries(docs: DataFrame, counts: int, width: int, percent: int) -> DataFrame
     """
 
     def keys(batch):
-        for _, _, offsets, data in blocks(batch.column("text")):
+        for _, _, offsets, data in blocks(batch.column("text"), SMALL_BLOCK):
             yield shingle_sets(data, offsets, width)[0]
 
     shared = docs.sparkSession.sparkContext.broadcast(counters(docs, ["text"], keys, counts))
@@ -161,7 +162,7 @@ def entries(docs: DataFrame, counts: int, width: int, percent: int) -> DataFrame
         return True
 
     def work(batch):
-        for first, last, offsets, data in blocks(batch.column("text")):
+        for first, last, offsets, data in blocks(batch.column("text"), SMALL_BLOCK):
             found, begin, owner = shingle_sets(data, offsets, width)
             size = np.diff(begin)
             rarity = level_of(shared.value, found)
@@ -233,7 +234,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, width: int, pe
         return near.select(F.col("doc_id").alias(name), F.col("text").alias(text))
 
     def sets(column):
-        for _, _, offsets, data in blocks(column):
+        for _, _, offsets, data in blocks(column, SMALL_BLOCK):
             found, begin, _ = shingle_sets(data, offsets, width)
             yield from (found[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True))
 
@@ -259,11 +260,13 @@ def labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
 
 
 def mixed(rows: DataFrame) -> DataFrame:
-    """The entries of shingles that several components hold."""
-    several = rows.groupBy("token").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")
-    ).filter("lo < hi").select("token", "size")
-    return rows.join(several, "token")
+    """The entries of shingles that several components hold, with the number of a shingle's entries.
+
+    A window over the shingle's entries, no join of the table with its own groups.
+    """
+    own = Window.partitionBy("token")
+    some = rows.withColumns({"lo": F.min("component").over(own), "hi": F.max("component").over(own), "size": F.count("*").over(own)})
+    return some.filter("lo < hi").drop("lo", "hi")
 
 
 def pairs_left(rows: DataFrame) -> int:
@@ -378,6 +381,7 @@ def joined(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     if one of its texts is. Repeated rows give a row each, an empty table none.
     Ids are below 2^62.
     """
+    small_batches(docs.sparkSession)
     docs = normal(docs)
     rows = stored(sized(docs, width), "shingle-sizes")
     classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))

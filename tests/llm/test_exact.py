@@ -190,6 +190,14 @@ def test_entries_are_labelled_by_class(spark, known):
     assert sorted((r.token, r.rep, r.component) for r in got.collect()) == sorted((t, rep, (known or {}).get(rep, rep)) for t, rep, _, _ in rows)
 
 
+def test_shared_shingles_are_found_without_a_join(spark):
+    """The entries of shingles with several components, from one window: no rows are joined to their own groups."""
+    rows = [(1, 1, 1), (1, 2, 1), (2, 1, 1), (2, 3, 3), (2, 3, 3), (3, 4, 4)]
+    got = jaccard.mixed(spark.createDataFrame(rows, "token long, rep long, component long"))
+    assert sorted(tuple(r) for r in got.collect()) == [(2, 1, 1, 3), (2, 3, 3, 3), (2, 3, 3, 3)]
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def brute_repeats(texts):
     seen, out = set(), {}
     for k in sorted(texts):
