@@ -2,8 +2,8 @@
 
 Features become whole bin numbers once, a byte each, and rows are written in
 blocks, so that a pass hands tasks whole columns instead of values one by one. Each
-tree then grows level by level, and a level is one pass over the table: tasks route their rows through
-the trees so far, add up gradients by open leaf, feature and bin, and executors
+tree then grows level by level, and a level is one pass over the table, for the trial that chooses
+the number of trees and for the final fit at once: tasks route their rows through the trees so far, add up gradients by open leaf, feature and bin, and executors
 add up the tasks' histograms, one task per leaf, and pick its best split. The driver
 gets a few numbers per leaf and holds the trees. Rows are never written again, so a
 lost executor costs a re-read of its share.
@@ -118,8 +118,8 @@ class Model:
     def best_rounds(self) -> int:
         return len(self.trees)
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        out, seen = np.full(x.shape[1], self.base), {}
+    def predict(self, x: np.ndarray, seen: dict | None = None) -> np.ndarray:
+        out, seen = np.full(x.shape[1], self.base), {} if seen is None else seen
         for tree in self.trees:
             out += (self.step * tree.value)[tree.nodes(x, seen)]
         return out
@@ -256,13 +256,18 @@ SPLITS = "flow int, node int, gain double, feature int, split int, l double, ln
 
 
 class Fit:
-    """Trees of all flows, grown side by side in the same passes."""
+    """Trees of all flows, grown side by side in the same passes.
 
-    def __init__(self, data: Binned, parts: Sequence[str], settings: BoostSettings):
-        self.data, self.parts, self.s = data, list(parts), settings
+    Each group of parts has a model of every flow, the first group's come first:
+    the model ``m`` is of the flow ``m % len(flows)`` and learns from the parts of
+    the group ``m // len(flows)``.
+    """
+
+    def __init__(self, data: Binned, groups: Sequence[Sequence[str]], settings: BoostSettings):
+        self.data, self.groups, self.s = data, [list(parts) for parts in groups], settings
         mean = [F.try_divide(F.sum(f"s_{k}"), F.sum(f"n_{k}")) for k in range(len(data.flows))]
-        row = data.blocks.filter(F.col("split").isin(self.parts)).agg(*mean).first()
-        self.models = [Model(f, row[k] or 0.0, (), settings.step) for k, f in enumerate(data.flows)]
+        rows = [data.blocks.filter(F.col("split").isin(parts)).agg(*mean).first() for parts in self.groups]
+        self.models = [Model(f, row[k] or 0.0, (), settings.step) for row in rows for k, f in enumerate(data.flows)]
 
     def allowed(self, k: int, turn: int) -> np.ndarray:
         """The features that a flow's tree may use."""
@@ -275,36 +280,52 @@ class Fit:
     def level(self, turn: int, trees: list[Tree | None], open_nodes: list[list[int]]) -> list[tuple]:
         """The best split of every open node of every flow; a pass over the rows."""
         bins, s = self.data.bins, self.s
-        flows, models = self.data.flows, self.models
-        allowed = [self.allowed(k, turn) for k in range(len(flows))]
+        models, groups = self.models, self.groups
+        n = len(self.data.flows)
+        flows = [m.flow for m in models]
+        allowed = [self.allowed(k % n, turn) for k in range(len(models))]
         # Only features that may split are added up, and the first, which gives a leaf's sum.
         added = [np.flatnonzero(a | (np.arange(len(a)) == 0)) for a in allowed]
+        # The place of each feature among those, -1 for others.
+        slot = [[int(np.searchsorted(a, f)) if f in a else -1 for f in range(len(self.data.features))] for a in added]
         # The place of each counted node's histogram; other nodes come last.
         places = [np.full(1 << LEVELS + 1, len(own), np.int64) for own in open_nodes]
         for own, place in zip(open_nodes, places, strict=True):
             place[own] = np.arange(len(own))
 
-        def add(total, x, rows):
-            used = chance(rows.column("i").to_numpy(), s.seed * 7919 + turn) < s.row_share
+        def add(total, x, rows, split):
+            used = np.flatnonzero(chance(rows.column("i").to_numpy(), s.seed * 7919 + turn) < s.row_share)
+            x = x[:, used]
+            # All models' trees, those of earlier rounds too, look at the same rows, so they share comparisons.
             seen: dict = {}
+            counted = []
             for k, own in enumerate(open_nodes):
-                if not own:
+                if not own or split not in groups[k // n]:
                     continue
-                place = places[k][trees[k].nodes(x, seen)]
-                mine = np.flatnonzero(used & (place < len(own)))
-                near = x[:, mine]
-                g = rows.column(flows[k]).to_numpy(zero_copy_only=False)[mine] - models[k].predict(near)
-                first, size = place[mine] * bins, len(own) * bins
-                for at, f in enumerate(added[k]):
-                    code = first + near[f]
-                    total[k][0, at] += np.bincount(code, g, size)
-                    total[k][1, at] += np.bincount(code, minlength=size)
+                place, g = places[k][trees[k].nodes(x, seen)], rows.column(flows[k]).to_numpy(zero_copy_only=False)[used]
+                mine = None if (inside := place < len(own)).all() else np.flatnonzero(inside)
+                if mine is not None:
+                    place, g = place[mine], g[mine]
+                if 2 * len(g) < len(used):  # few are left to look at
+                    out = models[k].predict(x[:, mine])
+                else:
+                    out = models[k].predict(x, seen)
+                    out = out if mine is None else out[mine]
+                counted.append((k, mine, place * bins, g - out))
+            for f in range(len(x)):
+                column = None
+                for k, mine, first, g in counted:
+                    if (at := slot[k][f]) >= 0:
+                        column = x[f].astype(np.int64) if column is None else column
+                        code = first + (column if mine is None else column[mine])
+                        total[k][0, at] += np.bincount(code, g, total[k].shape[2])
+                        total[k][1, at] += np.bincount(code, minlength=total[k].shape[2])
 
         def partial(batches):
             total = [np.zeros((2, len(added[k]), len(own) * bins)) for k, own in enumerate(open_nodes)]
             for batch in batches:
                 for at in range(batch.num_rows):
-                    add(total, matrix(batch, at), read(batch, "fit", at))
+                    add(total, matrix(batch, at), read(batch, "fit", at), batch.column("split")[at].as_py())
             found = {(k, j): total[k].reshape(2, -1, len(own), bins)[:, :, at] for k, own in enumerate(open_nodes) for at, j in enumerate(own)}
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in found], pa.int32()), pa.array([j for _, j in found], pa.int32()),
@@ -324,11 +345,12 @@ class Fit:
                 [pa.array([v], t) for v, t in zip((k, j, gain, int(added[k][f]), *sums), types, strict=True)], [f.split()[0] for f in SPLITS.split(", ")]
             )
 
-        rows = self.data.blocks.filter(F.col("split").isin(self.parts)).select("n", "x", "fit")
+        parts = {part for k, own in enumerate(open_nodes) if own for part in groups[k // n]}
+        rows = self.data.blocks.filter(F.col("split").isin(sorted(parts))).select("split", "n", "x", "fit")
         return rows.mapInArrow(partial, "flow int, node int, h binary").groupBy("flow", "node").applyInArrow(meet, SPLITS).collect()
 
     def grow(self, turn: int, flows: Sequence[int]) -> None:
-        """One more tree for each of the flows."""
+        """One more tree for each of the models."""
         s, n = self.s, len(self.models)
         depth = min(s.depth, LEVELS)
         trees: list[Tree | None] = [Tree.empty(depth) if k in flows else None for k in range(n)]
@@ -358,8 +380,8 @@ class Fit:
             self.models[k] = replace(self.models[k], trees=(*self.models[k].trees, trees[k]))
 
     def errors(self, part: str) -> list[float]:
-        """The mean absolute error of every flow on a part."""
-        df = predicted(self.data, self.models, part, [])
+        """The mean absolute error of the first group's model of every flow on a part."""
+        df = predicted(self.data, self.models[: len(self.data.flows)], part, [])
         row = df.agg(*[F.avg(F.abs(F.col(f) - F.col(f"{f}_predicted"))) for f in self.data.flows]).first()
         return [x if x is not None else 0.0 for x in row]
 
@@ -395,29 +417,29 @@ def best_round(errors: Sequence[float], patience: int) -> int:
 
 def boosted(data: Binned, parts: Sequence[str], settings: BoostSettings, rounds: Sequence[int] | None = None) -> list[Model]:
     """Models of all flows after a given number of rounds each (default: all)."""
-    fit = Fit(data, parts, settings)
+    fit = Fit(data, [parts], settings)
     rounds = list(rounds or [settings.rounds] * len(data.flows))
     for turn in range(max(rounds)):
         fit.grow(turn, [k for k, n in enumerate(rounds) if turn < n])
     return fit.models
 
 
-def tried(data: Binned, settings: BoostSettings) -> list[list[float]]:
-    """Errors on "valid" after each round of a fit on "train"; a flow stops when its patience runs out."""
-    fit, errors = Fit(data, ["train"], settings), [[] for _ in data.flows]
+def fitted(data: Binned, settings: BoostSettings) -> list[Model]:
+    """Fit on "train", take the best round on "valid", fit on both with that many rounds.
+
+    A round's trees of both fits grow in the same passes, so rows are read once for
+    the two of them. A flow stops when its patience runs out; the final fit's trees
+    past the best round are left out.
+    """
+    n = len(data.flows)
+    fit, errors = Fit(data, [["train"], ["train", "valid"]], settings), [[] for _ in data.flows]
     for turn in range(settings.rounds):
-        going = [k for k, e in enumerate(errors) if len(e) - best_round(e, settings.patience) < settings.patience] if turn else list(range(len(errors)))
+        going = [k for k, e in enumerate(errors) if len(e) - best_round(e, settings.patience) < settings.patience] if turn else list(range(n))
         if not going:
             break
-        fit.grow(turn, going)
+        fit.grow(turn, [*going, *(n + k for k in going)])
         for k, error in enumerate(fit.errors("valid")):
             if k in going:
                 errors[k].append(error)
-    return errors
-
-
-def fitted(data: Binned, settings: BoostSettings) -> list[Model]:
-    """Fit on "train", take the best round on "valid", fit again on both with that many rounds."""
-    errors = tried(data, settings)
-    models = boosted(data, ["train", "valid"], settings, [best_round(e, settings.patience) for e in errors])
-    return [replace(m, validation_mae=tuple(e)) for m, e in zip(models, errors, strict=True)]
+    rounds = [best_round(e, settings.patience) for e in errors]
+    return [replace(m, trees=m.trees[:r], validation_mae=tuple(e)) for m, r, e in zip(fit.models[n:], rounds, errors, strict=True)]

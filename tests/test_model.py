@@ -195,3 +195,24 @@ def test_line_neighbours_count_every_line(spark):
     assert got == {(1, 2): 1, (2, 1): 1, (2, 3): 1, (3, 2): 1, (1, 3): 1, (3, 1): 1}
     weights = {(r.stationID, r.otherID): r.p for r in md.line_weights(md.line_neighbours(stations, 1)).collect()}
     assert sum(p for (a, _), p in weights.items() if a == 2) == pytest.approx(1)
+
+
+def test_trial_and_final_fit_share_their_passes(spark, monkeypatch):
+    """Trees as those of two fits one after the other, in no more passes than the trial needs."""
+    df = stepped(spark).selectExpr("*", "inNums * 0.5 + x % 3 AS outNums")
+    data = bo.binned(df, ["x", "z"], ["inNums", "outNums"], ["k"], bins=16)
+    settings = bo.BoostSettings(rounds=6, patience=1, step=0.9, depth=3, row_share=0.8, feature_share=0.5)
+    passes, level = [], bo.Fit.level
+    monkeypatch.setattr(bo.Fit, "level", lambda self, turn, *rest: passes.append(turn) or level(self, turn, *rest))
+    got = bo.fitted(data, settings)
+    turns = max(len(m.validation_mae) for m in got)
+    assert len(passes) <= turns * settings.depth and set(passes) == set(range(turns))
+    want = bo.boosted(data, ["train", "valid"], settings, [m.best_rounds for m in got])
+    trial = bo.boosted(data, ["train"], settings, [m.best_rounds for m in got])
+    for m, w, t in zip(got, want, trial, strict=True):
+        assert m.best_rounds == bo.best_round(m.validation_mae, 1) and m.base == w.base != t.base
+        for one, other in zip(m.trees, w.trees, strict=True):
+            assert (one.feature == other.feature).all() and (one.split == other.split).all()
+            assert np.allclose(one.value, other.value, rtol=1e-12)
+    best = bo.predicted(data, trial, "valid", ["k"]).selectExpr("avg(abs(inNums - inNums_predicted)) AS i", "avg(abs(outNums - outNums_predicted)) AS o").first()
+    assert [min(m.validation_mae[: m.best_rounds]) for m in got] == pytest.approx([best.i, best.o])
