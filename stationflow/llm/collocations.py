@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import LOWER, U, blocks, mix, owners, prefixes, ranges, record, runs, signed, spans_hash
+from stationflow.llm.common import LOWER, SMALL_BLOCK, U, blocks, mix, owners, prefixes, ranges, record, runs, signed, small_batches, spans_hash
 from stationflow.session import scratch_path, stored
 
 SHARDS = 4
@@ -51,8 +51,8 @@ GAP[[9, 32]] = True
 STOP = np.zeros(256, bool)
 STOP[[*b".,;:!?", 10, 11, 12, 13]] = True
 
-# Hashes that a task gathers before it counts them.
-GATHERED = 1 << 21
+# Hashes that a task gathers before it counts them, and phrases that it holds before it sends them.
+GATHERED = 1 << 19
 
 # The last bits of ``h`` hold a phrase's start (8) and its number of words (3).
 SPARE = 11
@@ -109,7 +109,7 @@ def hashed(batch: pa.RecordBatch):
     langs = batch.column("lang").dictionary_encode()
     salts = mix(np.array([hash_of(x) for x in langs.dictionary.to_pylist()], U))
     own = langs.indices.to_numpy()
-    for first, last, offsets, raw in blocks(batch.column("text")):
+    for first, last, offsets, raw in blocks(batch.column("text"), SMALL_BLOCK):
         data = LOWER[raw]
         start, end, text, piece = pieced(data, offsets)
         if len(start):
@@ -187,7 +187,7 @@ def bundles(found: pa.Table, parts: int):
 
 def texts_of(batches, wanted: np.ndarray, parts: int):
     """Phrases whose slot is wanted, and all words as a phrase of none, with their counts, in bundles."""
-    rows, size, since = [], 0, np.where(wanted, 0, NEVER).astype(np.uint8)
+    rows, size, since = [], 0, np.where(wanted, np.uint8(0), np.uint8(NEVER))
     for batch in batches:
         langs = batch.column("lang").dictionary_encode()
         names, own = langs.dictionary.cast(pa.string()), langs.indices.to_numpy()
@@ -209,10 +209,10 @@ def texts_of(batches, wanted: np.ndarray, parts: int):
                     n=n.astype(np.int64),
                 ))
                 size += len(at)
-            if size >= GATHERED // 4:
+            if size >= GATHERED // 2:
                 found = combined(rows)
                 rows, size = found.to_batches(), 0
-                if len(found) >= GATHERED // 2:
+                if len(found) >= GATHERED:
                     yield from bundles(found, parts)
                     rows = []
     if rows:
@@ -261,6 +261,7 @@ def frequent(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, Data
     the last at most, less what longer phrases overlap with shorter ones.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = spark.read.schema("lang string, text string, shard int").parquet(dealt(docs))
     open_rows, slots, done, last, scan = None, None, [], -1, 0
     # The scans end a cycle after the last one that found a phrase in a free slot that longer ones but the longest build on.
@@ -292,7 +293,7 @@ def frequent(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, Data
                 lists = {c: batch.column(c)[k].values for c in TEXT_NAMES}
                 rows.append(record(share=np.zeros(len(lists["n"]), np.int32), **lists))
                 size += rows[-1].num_rows
-                if size >= GATHERED // 4:
+                if size >= GATHERED // 2:
                     rows, size = combined(rows).to_batches(), 0
         both = combined(rows)
         enough = pc.or_(pc.greater_equal(both.column("n"), least), pc.equal(both.column("words"), 0))

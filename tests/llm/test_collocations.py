@@ -2,12 +2,16 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from compare import difference, duck, type_difference
 
 from stationflow.llm import collocations
+from stationflow.llm.common import BATCH
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -72,3 +76,37 @@ def test_equals_duckdb(spark):
     con, df = duck("/root/testdata/sf0.01"), collocations.op12_collocations(spark, "/root/testdata/sf0.01")
     assert type_difference(df, con, collocations.OP12_SQL) is None
     assert difference(df, con, collocations.OP12_SQL) is None
+
+
+def test_tasks_hold_small_blocks():
+    """What a task's worker holds, in bytes, for texts of 6 MB whose phrases are all counted."""
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(30000)]
+    texts = [" ".join(rng.choices(words, k=1000)) for _ in range(1000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(["en"] * 50), pa.array(texts[k : k + 50])], ["lang", "text"]) for k in range(0, 1000, 50)]
+    seen = np.ones(1 << 24, bool)
+
+    def peak(rows):
+        tracemalloc.start()
+        n = sum(r.num_rows for r in rows)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return n, most
+
+    n, most = peak(collocations.counted(batches, 1, np.zeros(1 << 16, np.uint8)))
+    assert n > 2_000_000
+    assert most < 50e6
+    n, most = peak(collocations.texts_of(batches[:4], seen, 16))
+    assert n > 0
+    assert most < 90e6
+
+
+def test_batches_end_by_their_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(1 << 26))
+        collocations.collocations(spark.createDataFrame([("a b a b", "en")], "text string, lang string"), 2).collect()
+        assert spark.conf.get(key) == str(BATCH)
+    finally:
+        spark.conf.set(key, before)
