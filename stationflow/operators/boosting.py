@@ -1,13 +1,19 @@
 """Gradient boosting by mergeable histograms.
 
-Features become whole bin numbers once, a byte each, and rows are written in
-blocks, so that a pass hands tasks whole columns instead of values one by one. Each
+Features are worked out once: rows are written in blocks, each feature as its distinct
+values and their numbers, and summaries of its quantiles are gathered on the way. The
+numbers then become those of bins, a byte each. A pass so hands tasks whole columns
+instead of values one by one. Each
 tree then grows level by level, and a level is one pass over the table, for the trial that chooses
 the number of trees and for the final fit at once: tasks route their rows through the trees so far, add up gradients by open leaf, feature and bin, and executors
 add up the tasks' histograms, one task per leaf, and pick its best split. The driver
-gets a few numbers per leaf and holds the trees. Rows are never written again, so a
+gets a few numbers per leaf and holds the trees. Bins are never written again, so a
 lost executor costs a re-read of its share.
 
+Over a large table only the smaller leaf of a split is added up; the driver holds the
+histograms of the open leaves, whose number is that of the settings, and takes the other
+leaf as the difference to the split one.
+
 Within a level leaves are split in order of their gain until the tree has all
 its leaves. Squared loss; leaf values and gains are shrunk by L1 and L2.
 """
@@ -16,16 +22,18 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark import TaskContext, cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.operators.quantiles import Learner, Summary
 from stationflow.session import stored
 
 # Tasks get these functions by value, so executors need no copy of the library.
@@ -35,7 +43,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROWS = 16384
 # Blocks are large rows, so a file's groups are ended by their bytes and not by the number of rows.
 BLOCK_FILES = {"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 8, "parquet.page.size.row.check.min": 1}
+# Blocks of a batch at most.
+BATCH = 4
 LEVELS = 12
+# Tables of more rows are large.
+LARGE = 1 << 20
+# Neighbouring rows are added up in as many places, so that an addition need not wait for the one before.
+LANES = 4
+# Distinct values that are told apart one by one.
+FEW = 32
 
 
 @dataclass(frozen=True)
@@ -77,8 +93,8 @@ class Tree:
             at = np.where(self.feature[at] >= 0, 2 * at + 1 + (path >> (depth - 1 - d) & 1), at)
         return at
 
-    def nodes(self, x: np.ndarray, seen: dict) -> np.ndarray:
-        """The node of each row; ``x`` has a row per feature.
+    def paths(self, x: np.ndarray, seen: dict) -> np.ndarray:
+        """The path of each row, a place in ``ends``; ``x`` has a row per feature.
 
         Rows are looked at as bits, a comparison of a column for all of them at
         once; ``seen`` keeps those for other trees on the same ``x``.
@@ -101,7 +117,11 @@ class Tree:
                 break
             path |= np.unpackbits(right, count=x.shape[1]).astype(np.uint16) << np.uint16(depth - 1 - d)
             level = below
-        return self.ends[path]
+        return path
+
+    def nodes(self, x: np.ndarray, seen: dict) -> np.ndarray:
+        """The node of each row."""
+        return self.ends.take(self.paths(x, seen))
 
 
 @dataclass(frozen=True)
@@ -121,7 +141,7 @@ class Model:
     def predict(self, x: np.ndarray, seen: dict | None = None) -> np.ndarray:
         out, seen = np.full(x.shape[1], self.base), {} if seen is None else seen
         for tree in self.trees:
-            out += (self.step * tree.value)[tree.nodes(x, seen)]
+            out += (self.step * tree.value)[tree.ends].take(tree.paths(x, seen))
         return out
 
 
@@ -141,11 +161,20 @@ class Binned:
     kinds: Mapping[str, str]
 
 
-def quantile_edges(df: DataFrame, features: Sequence[str], bins: int) -> dict[str, list[float]]:
-    """Up to ``bins - 1`` cut points per feature, by one aggregate of quantile summaries."""
+def quantile_edges(coded: DataFrame, features: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Up to ``bins - 1`` cut points per feature, from the summaries of all parts."""
     at = [k / bins for k in range(1, bins)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), at, 1000).alias(c) for c in features]).first()
-    return {c: sorted(set(row[c] or ())) for c in features}
+
+    def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = sorted((part, raw) for b in batches for part, raw in zip(b.column("part").to_pylist(), b.column("summary").to_pylist(), strict=True))
+        total = Summary.empty()
+        for _, raw in parts:
+            total = total.merge(Summary.read(raw))
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.quantiles(at)], pa.list_(pa.float64()))], ["feature", "at"])
+
+    rows = coded.filter("feature IS NOT NULL").select("feature", "part", "summary")
+    found = {r.feature: r["at"] for r in rows.groupBy("feature").applyInArrow(meet, "feature int, at array<double>").collect()}
+    return {c: sorted(set(found.get(k, ()))) for k, c in enumerate(features)}
 
 
 def binned(
@@ -154,13 +183,9 @@ def binned(
     """Bin numbers of all features, nulls as 0: the number of cut points below a value.
 
     ``df`` has a column ``split``. Cut points are quantiles of the rows that are
-    not "test", unless given. At most 127 bins.
+    not "test", unless given. At most 127 bins. ``df`` is worked out once.
     """
     source = df.fillna(0, subset=list(features))
-    edges = edges or quantile_edges(source.filter("split <> 'test'"), features, bins)
-
-    # No number exceeds one that is not a number.
-    cuts = [np.array([e for e in edges[c] if e == e], float) for c in features]
     values = [f"__x{k}" for k in range(len(features))]
     keep, flows = tuple(keep), tuple(flows)
     rows = source.select(
@@ -168,33 +193,105 @@ def binned(
         F.monotonically_increasing_id().alias("i"), *[F.col(c).cast("double").alias(v) for c, v in zip(features, values, strict=True)],
     )
     kinds = {c: rows.schema[f"__k{k}"].dataType.simpleString() for k, c in enumerate(keep)}
+    sums = "".join(f", s_{k} double, n_{k} long" for k in range(len(flows)))
+    schema = f"split string, n int, kept binary, fit binary, distinct binary, sizes binary, x binary{sums}, feature int, part int, summary binary"
+    names, learns = [c.split()[0] for c in schema.split(", ")], edges is None
+    arrow = {"string": pa.string(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "long": pa.int64()}
+    types = [arrow[c.split()[1]] for c in schema.split(", ")]
+
+    def row(**values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([values.get(c)], t) for c, t in zip(names, types, strict=True)], names)
 
     def block(part: pa.RecordBatch) -> pa.RecordBatch:
-        x = np.empty((len(cuts), part.num_rows), np.uint8)
-        for row, cut, v in zip(x, cuts, values, strict=True):
-            row[:] = np.searchsorted(cut, part.column(v).to_numpy(zero_copy_only=False), "left")
+        coded = [distinct(part.column(v).to_numpy(zero_copy_only=False)) for v in values]
         own = pa.RecordBatch.from_arrays([part.column(f"__k{k}") for k in range(len(keep))], list(keep))
-        out = {
-            "split": part.column("split").slice(0, 1), "n": pa.array([part.num_rows], pa.int32()), "kept": pa.array([streamed(own)], pa.binary()),
-            "fit": pa.array([streamed(part.select([*flows, "i"]))], pa.binary()), "x": pa.array([x.tobytes()], pa.binary()),
-        }
+        totals = {}
         for k, f in enumerate(flows):
             flow = part.column(f)
-            out |= {f"s_{k}": pa.array([pc.sum(flow).as_py()], pa.float64()), f"n_{k}": pa.array([len(flow) - flow.null_count], pa.int64())}
-        return pa.RecordBatch.from_arrays(list(out.values()), list(out))
-
-    def number(batches):
+            totals |= {f"s_{k}": pc.sum(flow).as_py(), f"n_{k}": len(flow) - flow.null_count}
+        return row(
+            split=part.column("split")[0].as_py(), n=part.num_rows, kept=streamed(own), fit=streamed(part.select([*flows, "i"])),
+            distinct=b"".join(d.tobytes() for d, _ in coded), sizes=np.array([len(d) for d, _ in coded], np.int32).tobytes(), x=b"".join(c.tobytes() for _, c in coded), **totals,
+        )
+
+    def code(batches):
+        learner = Learner(len(values))
+        # Rows of a split wait until they fill a block.
+        waiting: dict = {}
         for batch in gathered(batches):
             split = batch.column("split")
+            if learns and (known := batch.filter(pc.not_equal(split, "test"))).num_rows:
+                learner.add([known.column(v).to_numpy(zero_copy_only=False) for v in values])
             for value in split.unique():
                 same = batch.filter(pc.equal(split, value) if value.is_valid else pc.is_null(split))
-                for first in range(0, same.num_rows, ROWS):
+                if value.as_py() in waiting:
+                    same = pa.concat_batches([waiting[value.as_py()], same])
+                full = same.num_rows - same.num_rows % ROWS
+                for first in range(0, full, ROWS):
                     yield block(same.slice(first, ROWS))
+                waiting[value.as_py()] = pa.concat_batches([same.slice(full)])
+        for rest in waiting.values():
+            if rest.num_rows:
+                yield block(rest)
+        if learns:
+            for k, summary in enumerate(learner.close()):
+                yield row(feature=k, part=TaskContext.get().partitionId(), summary=summary.written())
 
-    sums = "".join(f", s_{k} double, n_{k} long" for k in range(len(flows)))
-    blocks = rows.mapInArrow(number, f"split string, n int, kept binary, fit binary, x binary{sums}")
+    coded = stored(rows.mapInArrow(code, schema), "coded", BLOCK_FILES)
+    edges = edges or quantile_edges(coded, features, bins)
+
+    # No number exceeds one that is not a number.
+    cuts = [np.array([e for e in edges[c] if e == e], float) for c in features]
+
+    def number(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                one = batch.slice(at, 1)
+                n, raw = one.column("n")[0].as_py(), memoryview(one.column("x")[0].as_buffer())
+                known, first, start = np.frombuffer(one.column("distinct")[0].as_buffer()), 0, 0
+                x = np.empty((len(cuts), n), np.uint8)
+                for own, cut, size in zip(x, cuts, np.frombuffer(one.column("sizes")[0].as_buffer(), np.int32).tolist(), strict=True):
+                    codes = np.frombuffer(raw, width(size), n, start)
+                    np.searchsorted(cut, known[first : first + size], "left").astype(np.uint8).take(codes, out=own)
+                    first, start = first + size, start + codes.nbytes
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) if c == "x" else one.column(c) for c in last], last)
+
+    last = ["split", "n", "kept", "fit", "x", *(f"{c}_{k}" for k in range(len(flows)) for c in "sn")]
+    # A task per file, so what is written has the files, and the order, of what was read.
+    with conf(df.sparkSession, "spark.sql.files.openCostInBytes", df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")):
+        part = coded.filter("feature IS NULL").select(*last[:-2 * len(flows)], "distinct", "sizes", *last[-2 * len(flows):])
+        blocks = stored(part.mapInArrow(number, f"split string, n int, kept binary, fit binary, x binary{sums}"), "binned", BLOCK_FILES)
     most = max(len(e) for e in edges.values()) + 1
-    return Binned(stored(blocks, "binned", BLOCK_FILES), tuple(features), flows, most, kinds)
+    return Binned(blocks, tuple(features), flows, most, kinds)
+
+
+@contextmanager
+def conf(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for the queries that are run inside."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def width(size: int) -> type:
+    """The type of numbers below ``size``, which is no more than ``ROWS``."""
+    return np.uint8 if size <= 256 else np.uint16
+
+
+def distinct(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and each value's number among them."""
+    known = np.sort(v)
+    known = known[np.concatenate([[True], known[1:] != known[:-1]])] if len(v) else known
+    if len(known) > FEW:
+        known, codes = np.unique(v, return_inverse=True)
+        return known, codes.astype(width(len(known)))
+    codes = np.zeros(len(v), np.uint8)
+    for low in known[:-1]:
+        codes += v > low
+    return known, codes
 
 
 def streamed(batch: pa.RecordBatch) -> bytes:
@@ -265,6 +362,7 @@ class Fit:
 
     def __init__(self, data: Binned, groups: Sequence[Sequence[str]], settings: BoostSettings):
         self.data, self.groups, self.s = data, [list(parts) for parts in groups], settings
+        self.large = (data.blocks.agg(F.sum("n")).first()[0] or 0) > LARGE
         mean = [F.try_divide(F.sum(f"s_{k}"), F.sum(f"n_{k}")) for k in range(len(data.flows))]
         rows = [data.blocks.filter(F.col("split").isin(parts)).agg(*mean).first() for parts in self.groups]
         self.models = [Model(f, row[k] or 0.0, (), settings.step) for row in rows for k, f in enumerate(data.flows)]
@@ -277,15 +375,14 @@ class Fit:
         out[rng.permutation(n)[: max(1, round(self.s.feature_share * n))]] = True
         return out
 
-    def level(self, turn: int, trees: list[Tree | None], open_nodes: list[list[int]]) -> list[tuple]:
-        """The best split of every open node of every flow; a pass over the rows."""
-        bins, s = self.data.bins, self.s
+    def level(self, turn: int, trees: list[Tree | None], open_nodes: list[list[int]]) -> list:
+        """The best split of every open node of every flow, or of a large table the nodes' histograms; a pass over the rows."""
+        bins, s, large = self.data.bins, self.s, self.large
         models, groups = self.models, self.groups
         n = len(self.data.flows)
         flows = [m.flow for m in models]
         allowed = [self.allowed(k % n, turn) for k in range(len(models))]
-        # Only features that may split are added up, and the first, which gives a leaf's sum.
-        added = [np.flatnonzero(a | (np.arange(len(a)) == 0)) for a in allowed]
+        added = self.added(turn)
         # The place of each feature among those, -1 for others.
         slot = [[int(np.searchsorted(a, f)) if f in a else -1 for f in range(len(self.data.features))] for a in added]
         # The place of each counted node's histogram; other nodes come last.
@@ -293,25 +390,30 @@ class Fit:
         for own, place in zip(open_nodes, places, strict=True):
             place[own] = np.arange(len(own))
 
-        def add(total, x, rows, split):
-            used = np.flatnonzero(chance(rows.column("i").to_numpy(), s.seed * 7919 + turn) < s.row_share)
-            x = x[:, used]
+        def add(total, wide, x, rows, split):
+            used = chance(rows.column("i").to_numpy(), s.seed * 7919 + turn) < s.row_share
+            x = x.compress(used, axis=1)
             # All models' trees, those of earlier rounds too, look at the same rows, so they share comparisons.
             seen: dict = {}
             counted = []
             for k, own in enumerate(open_nodes):
                 if not own or split not in groups[k // n]:
                     continue
-                place, g = places[k][trees[k].nodes(x, seen)], rows.column(flows[k]).to_numpy(zero_copy_only=False)[used]
+                g = rows.column(flows[k]).to_numpy(zero_copy_only=False)[used]
+                place = places[k][trees[k].ends].take(trees[k].paths(x, seen))
                 mine = None if (inside := place < len(own)).all() else np.flatnonzero(inside)
                 if mine is not None:
                     place, g = place[mine], g[mine]
-                if 2 * len(g) < len(used):  # few are left to look at
-                    out = models[k].predict(x[:, mine])
+                if 2 * len(g) < x.shape[1]:  # few are left to look at
+                    out = models[k].predict(x.compress(inside, axis=1))
                 else:
                     out = models[k].predict(x, seen)
                     out = out if mine is None else out[mine]
-                counted.append((k, mine, place * bins, g - out))
+                counted.append((k, mine, place, g - out))
+            if large:
+                by_lanes(total, wide, x, counted)
+                return
+            counted = [(k, mine, place * bins, g) for k, mine, place, g in counted]
             for f in range(len(x)):
                 column = None
                 for k, mine, first, g in counted:
@@ -321,23 +423,74 @@ class Fit:
                         total[k][0, at] += np.bincount(code, g, total[k].shape[2])
                         total[k][1, at] += np.bincount(code, minlength=total[k].shape[2])
 
+        def by_lanes(total, wide, x, counted):
+            """The same sums with neighbouring rows apart and, where it pays, two features at once."""
+            for q in range(n):
+                both = []
+                for k, mine, place, g in counted:
+                    if k % n == q and len(g):
+                        two = len(open_nodes[k]) * bins * bins <= len(g)
+                        size = len(open_nodes[k]) * bins * (bins if two else 1)
+                        lanes = LANES if LANES * size <= len(g) else 1
+                        first = place * (bins * bins if two else bins) + np.arange(len(g)) % lanes * size
+                        both.append((k, mine, first, g, two, size, lanes))
+                        if two and k not in wide:
+                            wide[k] = np.zeros((2, -(-len(added[k]) // 2), size))
+                # Models of a flow may split by the same features, and at their roots count the same rows.
+                for at in range(0, len(added[q]), 2) if both else ():
+                    pair, count = added[q][at : at + 2], None
+                    columns = {}
+                    for k, mine, first, g, two, size, lanes in both:
+                        if two and "pair" not in columns:
+                            columns["pair"] = (x[pair[0]] * np.uint16(bins) + x[pair[-1]]).astype(np.int64)
+                        for j, f in enumerate(pair[:1] if two else pair):
+                            name = "pair" if two else j
+                            if name not in columns:
+                                columns[name] = x[f].astype(np.int64)
+                            code = first + (columns[name] if mine is None else columns[name][mine])
+                            to = wide[k][:, at // 2] if two else total[k][:, at + j]
+                            to[0] += np.bincount(code, g, lanes * size).reshape(lanes, size).sum(0)
+                            own = count if two and open_nodes[k] == [0] else None
+                            if own is None:
+                                own = np.bincount(code, minlength=lanes * size).reshape(lanes, size).sum(0)
+                            if two and open_nodes[k] == [0]:
+                                count = own
+                            to[1] += own
+
+        def unfolded(total, wide):
+            """Sums of pairs, added to those of each feature."""
+            for k, sums in wide.items():
+                sums = sums.reshape(2, -1, len(open_nodes[k]), bins, bins)
+                m = len(added[k])
+                total[k][:, 0::2] += sums.sum(4).reshape(2, -1, total[k].shape[2])
+                total[k][:, 1::2] += sums.sum(3).reshape(2, -1, total[k].shape[2])[:, : m // 2]
+
         def partial(batches):
-            total = [np.zeros((2, len(added[k]), len(own) * bins)) for k, own in enumerate(open_nodes)]
+            total, wide = [np.zeros((2, len(added[k]), len(own) * bins)) for k, own in enumerate(open_nodes)], {}
             for batch in batches:
                 for at in range(batch.num_rows):
-                    add(total, matrix(batch, at), read(batch, "fit", at), batch.column("split")[at].as_py())
+                    add(total, wide, matrix(batch, at), read(batch, "fit", at), batch.column("split")[at].as_py())
+            unfolded(total, wide)
             found = {(k, j): total[k].reshape(2, -1, len(own), bins)[:, :, at] for k, own in enumerate(open_nodes) for at, j in enumerate(own)}
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in found], pa.int32()), pa.array([j for _, j in found], pa.int32()),
                  pa.array([h.tobytes() for h in found.values()], pa.binary())], ["flow", "node", "h"],
             )
 
-        def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def summed(key: tuple, batches: Iterator[pa.RecordBatch]) -> tuple[int, int, np.ndarray]:
             k, j = (x.as_py() for x in key)
             total = np.zeros((2, len(added[k]), bins))
             for batch in batches:
                 for raw in batch.column("h"):
                     total += np.frombuffer(raw.as_py()).reshape(total.shape)
+            return k, j, total
+
+        def together(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            k, j, total = summed(key, batches)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([j], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["flow", "node", "h"])
+
+        def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            k, j, total = summed(key, batches)
             gain, f, *sums = best_split(total[0], total[1], s, allowed[k][added[k]])
             kinds = [f.split()[1] for f in SPLITS.split(", ")]
             types = [pa.int32() if t == "int" else pa.float64() for t in kinds]
@@ -347,7 +500,35 @@ class Fit:
 
         parts = {part for k, own in enumerate(open_nodes) if own for part in groups[k // n]}
         rows = self.data.blocks.filter(F.col("split").isin(sorted(parts))).select("split", "n", "x", "fit")
-        return rows.mapInArrow(partial, "flow int, node int, h binary").groupBy("flow", "node").applyInArrow(meet, SPLITS).collect()
+        tasks = rows.mapInArrow(partial, "flow int, node int, h binary").groupBy("flow", "node")
+        # A few blocks make a batch, so that some are read while others are added up.
+        with conf(self.data.blocks.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH)):
+            return (tasks.applyInArrow(together, "flow int, node int, h binary") if large else tasks.applyInArrow(meet, SPLITS)).collect()
+
+    def added(self, turn: int) -> list[np.ndarray]:
+        """The features that each model adds up: only those that may split, and the first, which gives a leaf's sum."""
+        allowed = [self.allowed(k % len(self.data.flows), turn) for k in range(len(self.models))]
+        return [np.flatnonzero(a | (np.arange(len(a)) == 0)) for a in allowed]
+
+    def splits(self, turn: int, trees: list[Tree | None], open_nodes: list[list[int]], smaller: list[list[int]], held: dict) -> list:
+        """The best split of every open node; of a large table from ``held``, which has the histograms of the level above."""
+        if not self.large:
+            return self.level(turn, trees, open_nodes)
+        added = self.added(turn)
+        found = {(r.flow, r.node): np.frombuffer(r.h).reshape(2, len(added[r.flow]), -1) for r in self.level(turn, trees, smaller)}
+        out = []
+        for k, own in enumerate(open_nodes):
+            for node in own:
+                if (k, node) not in found and node:
+                    rest = held[k, (node - 1) // 2] - found[k, (node - 1 ^ 1) + 1]
+                    rest[0][rest[1] <= 0] = 0.0
+                    found[k, node] = rest
+        held.clear()
+        held.update(found)
+        for (k, node), (sums, counts) in found.items():
+            gain, f, *rest = best_split(sums, counts, self.s, self.allowed(k % len(self.data.flows), turn)[added[k]])
+            out.append(Row(**dict(zip([c.split()[0] for c in SPLITS.split(", ")], (k, node, gain, int(added[k][f]), *rest), strict=True))))
+        return out
 
     def grow(self, turn: int, flows: Sequence[int]) -> None:
         """One more tree for each of the models."""
@@ -355,13 +536,14 @@ class Fit:
         depth = min(s.depth, LEVELS)
         trees: list[Tree | None] = [Tree.empty(depth) if k in flows else None for k in range(n)]
         open_nodes, leaves = [[0] if k in flows else [] for k in range(n)], [1] * n
+        smaller, held = open_nodes, {}
 
         def value(g, count):
             return float(shrunk(g, s.l1) / (count + s.l2)) if count else 0.0
 
         for level in range(depth):
-            found = self.level(turn, trees, open_nodes)
-            open_nodes = [[] for _ in range(n)]
+            found = self.splits(turn, trees, open_nodes, smaller, held)
+            open_nodes, smaller = [[] for _ in range(n)], [[] for _ in range(n)]
             # Leaves of the largest gain first, while there is room.
             for r in sorted(found, key=lambda r: (r.flow, -r.gain, r.node)):
                 tree = trees[r.flow]
@@ -374,6 +556,7 @@ class Fit:
                 tree.value[a], tree.value[a + 1] = value(r.l, r.ln), value(r.g - r.l, r.n - r.ln)
                 leaves[r.flow] += 1
                 open_nodes[r.flow] += [a, a + 1]
+                smaller[r.flow].append(a if 2 * r.ln <= r.n else a + 1)
             if not any(open_nodes):
                 break
         for k in flows:

@@ -216,3 +216,27 @@ def test_trial_and_final_fit_share_their_passes(spark, monkeypatch):
             assert np.allclose(one.value, other.value, rtol=1e-12)
     best = bo.predicted(data, trial, "valid", ["k"]).selectExpr("avg(abs(inNums - inNums_predicted)) AS i", "avg(abs(outNums - outNums_predicted)) AS o").first()
     assert [min(m.validation_mae[: m.best_rounds]) for m in got] == pytest.approx([best.i, best.o])
+
+
+@pytest.mark.parametrize(("depth", "leaves", "bins", "n"), [(3, 8, 8, 700), (5, 12, 8, 700), (4, 31, 4, 3000)])
+def test_large_tables_grow_the_same_trees(spark, monkeypatch, depth, leaves, bins, n):
+    """Only smaller leaves added up, by pairs of features or alone: the trees of the plain sums, in as many passes."""
+    rng = np.random.default_rng(n + depth)
+    x = rng.integers(0, bins, (n, 5))
+    y = np.where(x[:, 0] > 2, 3.0, 0) + np.where(x[:, 1] * x[:, 2] > 4, 2.0, 0) + rng.normal(size=n)
+    z = x[:, 3] * 0.7 + rng.normal(size=n)
+    rows = [(i, "valid" if i % 4 == 0 else "train", *map(int, a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(x, y, z, strict=True))]
+    df = spark.createDataFrame(rows, "k int, split string, a int, b int, c int, d int, e int, inNums double, outNums double").repartition(3)
+    data = bo.binned(df, list("abcde"), ["inNums", "outNums"], ["k"], bins, dict.fromkeys("abcde", range(bins - 1)))
+    settings = bo.BoostSettings(rounds=2, step=0.5, depth=depth, leaves=leaves, row_share=0.9, feature_share=0.8)
+    want, counted, level = bo.fitted(data, settings), [], bo.Fit.level
+    monkeypatch.setattr(bo, "LARGE", 0)
+    monkeypatch.setattr(bo.Fit, "level", lambda self, turn, trees, nodes: counted.append(nodes) or level(self, turn, trees, nodes))
+    got = bo.fitted(data, settings)
+    # No two leaves of a split are added up.
+    assert all(len({(node - 1) // 2 for node in own}) == len(own) for nodes in counted for own in nodes)
+    for m, w in zip(got, want, strict=True):
+        assert m.best_rounds == w.best_rounds and m.validation_mae == pytest.approx(w.validation_mae)
+        for one, other in zip(m.trees, w.trees, strict=True):
+            assert (one.feature == other.feature).all() and (one.split == other.split).all()
+            assert np.allclose(one.value, other.value, rtol=1e-9)
